@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 _UNITS = {
     "microsecond": 1,
@@ -40,6 +41,11 @@ def micros(ts: str | Column) -> Column:
     return F.unix_micros(as_col(ts).cast("timestamp"))
 
 
+def event_time(df: DataFrame, ts: str) -> Column:
+    """``ts`` as TIMESTAMP; left as it is where it is one, so that its watermark stays on it."""
+    return F.col(ts) if isinstance(df.schema[ts].dataType, TimestampType) else F.col(ts).cast("timestamp")
+
+
 def micros_to_ts(us: str | Column) -> Column:
     return F.timestamp_micros(as_col(us))
 

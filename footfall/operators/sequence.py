@@ -71,27 +71,30 @@ def match_sequence(
     group = Window.partitionBy(*key, BLOCK)
     found = _adjacent(rows, group, len(steps)) if contiguity == STRICT else _following(rows, group, len(steps))
 
-    first = F.col("_us")
-    in_time = [F.col(f"_s{i}").isNotNull() & (F.col(f"_s{i}._us") - first < F.lit(within_us)) for i in range(1, len(steps))]
-    complete = F.lit(True)
-    reached = []
-    for ok in in_time:
-        complete = complete & ok
-        reached.append(complete)
+    start = F.col("_us")
+    complete, broken, out = F.lit(True), F.lit(False), [*key, F.col("_row").alias(names[0])]
+    for i, name in enumerate(names[1:], 1):
+        step = F.col(f"_s{i}")
+        in_time = step.isNotNull() & (step["_us"] - start < F.lit(within_us))
+        fits = step["_fits"] if contiguity == STRICT else F.lit(True)
+        broken = broken | (complete & in_time & ~fits)
+        complete = complete & in_time & fits
+        out.append(F.when(complete, step["_row"]).alias(name))
     found = found.filter(F.col("_is0") & F.col(NATIVE))
-    out = [*key, F.col("_row").alias(names[0])]
-    out += [F.when(ok, F.col(f"_s{i}._row")).alias(names[i]) for i, ok in enumerate(reached, 1)]
     if emit_timeouts:
+        # a strict match that another row interrupts is over, not timed out
         status = F.when(complete, "match").otherwise("timeout")
-        return found.select(*out, status.alias("status"))
+        return found.filter(~F.coalesce(broken, F.lit(False))).select(*out, status.alias("status"))
     return found.filter(complete).select(*out)
 
 
 def _adjacent(rows: DataFrame, group, n: int) -> DataFrame:
-    """``_s1 .. _s(n-1)``: the next rows, NULL from the first one that does not fit."""
+    """``_s1 .. _s(n-1)``: the next rows, and whether each fits its step."""
     w = group.orderBy("_us", "_tie")
-    step = F.struct("_us", "_row")
-    leads = [F.lead(F.when(F.col(f"_is{i}"), step), i).over(w).alias(f"_s{i}") for i in range(1, n)]
+    leads = [
+        F.lead(F.struct("_us", "_row", F.col(f"_is{i}").alias("_fits")), i).over(w).alias(f"_s{i}")
+        for i in range(1, n)
+    ]
     return rows.select("*", *leads)
 
 

@@ -40,6 +40,10 @@ def failure_streaks(
         F.coalesce(is_fail, F.lit(False)).alias("_fail"),
     )
     rows = with_block(rows, F.col("_us"), duration_us(block))
+    # rows without key or time are in no streak; saying so here keeps the two uses
+    # of the rows below equal, so that they share one shuffle
+    for c in (*key, BLOCK):
+        rows = rows.filter(F.col(c).isNotNull())
     inside = Window.partitionBy(*key, BLOCK).orderBy("_us", "_tie")
     event = F.struct("_fail", "_us")
     local = rows.select(

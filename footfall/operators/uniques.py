@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.hashing import poly_offset
-from footfall.functions.times import as_col
+from footfall.functions.times import as_col, event_time
 
 
-def _window(ts: str, size: str) -> Column:
-    return F.window(F.col(ts).cast("timestamp"), size)
+def _window(df: DataFrame, ts: str, size: str) -> Column:
+    return F.window(event_time(df, ts), size)
 
 
 def exact_uniques(df: DataFrame, user: str, ts: str, size: str, count: str = "count") -> DataFrame:
@@ -21,14 +21,14 @@ def exact_uniques(df: DataFrame, user: str, ts: str, size: str, count: str = "co
     distinct values; there the same two steps are a de-duplication and a count.
     """
     if df.isStreaming:
-        seen = df.select(_window(ts, size).alias("_w"), user, ts).dropDuplicates(["_w", user])
+        seen = df.select(_window(df, ts, size).alias("_w"), user, ts).dropDuplicates(["_w", user])
         return (
             seen.groupBy("_w")
             .agg(F.count(F.lit(1)).alias(count))
             .select(F.unix_millis("_w.end").alias("window_end"), count)
         )
     return (
-        df.groupBy(_window(ts, size).alias("_w"))
+        df.groupBy(_window(df, ts, size).alias("_w"))
         .agg(F.count_distinct(user).alias(count))
         .select(F.unix_millis("_w.end").alias("window_end"), count)
     )
@@ -43,7 +43,7 @@ def bitmap_rollup(df: DataFrame, user: str | Column, ts: str, size: str) -> Data
     """
     offset = poly_offset(as_col(user))
     offsets = df.select(
-        F.unix_millis(_window(ts, size).end).alias("window_end"), offset.alias("_offset")
+        F.unix_millis(_window(df, ts, size).end).alias("window_end"), offset.alias("_offset")
     ).distinct()
     return (
         offsets.select(
@@ -81,7 +81,7 @@ def bitmap_uniques(df: DataFrame, user: str, ts: str, size: str, count: str = "c
 def sketch_rollup(df: DataFrame, user: str, ts: str, size: str, log_k: int = 12) -> DataFrame:
     """Mergeable HyperLogLog sketches per window; state of a few KiB whatever the number of users."""
     return (
-        df.groupBy(_window(ts, size).alias("_w"))
+        df.groupBy(_window(df, ts, size).alias("_w"))
         .agg(F.hll_sketch_agg(user, log_k).alias("sketch"))
         .select(F.unix_millis("_w.end").alias("window_end"), "sketch")
     )

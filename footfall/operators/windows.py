@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions.times import duration_us, floor_to, micros, step_number
+from footfall.functions.times import duration_us, event_time, floor_to, micros, step_number
 from footfall.operators.blocks import BLOCK
 
 
 def tumbling_counts(df: DataFrame, keys: list[str], ts: str, size: str, count: str = "count") -> DataFrame:
     """Rows per (keys, window).  Partial aggregation makes a salt unnecessary."""
-    win = F.window(F.col(ts).cast("timestamp"), size)
+    win = F.window(event_time(df, ts), size)
     return (
         df.groupBy(*keys, win.alias("_w"))
         .agg(F.count(F.lit(1)).alias(count))
@@ -33,7 +33,7 @@ def salted_tumbling_counts(
     Equal to the one-level count.  Kept for inputs whose map side combines badly;
     the salt is a hash of row columns, so a retried task gives the same rows.
     """
-    win = F.window(F.col(ts).cast("timestamp"), size)
+    win = F.window(event_time(df, ts), size)
     salt = F.pmod(F.xxhash64(*salt_on), F.lit(salts))
     return (
         df.groupBy(win.alias("_w"), salt.alias("_salt"))
@@ -47,7 +47,7 @@ def naive_sliding_counts(
     df: DataFrame, keys: list[str], ts: str, size: str, slide: str, count: str = "count"
 ) -> DataFrame:
     """Sliding counts by Spark's ``window``; the form for streams and the yardstick in tests."""
-    win = F.window(F.col(ts).cast("timestamp"), size, slide)
+    win = F.window(event_time(df, ts), size, slide)
     return (
         df.groupBy(*keys, win.alias("_w"))
         .agg(F.count(F.lit(1)).alias(count))
