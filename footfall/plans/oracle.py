@@ -252,3 +252,20 @@ ORACLES: dict[str, str] = {
         SELECT '/page/' || k AS url, count(*) AS n, count(DISTINCT user_id % 256) AS ips, max(us // 1000000) AS last_ts
         FROM behavior WHERE event_type = 'view' GROUP BY k"""),
 }
+
+#: Windows that the watermark of a stream of views has closed.
+_CLOSED = "window_end <= (SELECT max(us) // 1000 FROM behavior WHERE event_type = 'view')"
+
+ORACLES |= {
+    "stream_page_views": _with(_BEHAVIOR, body=f"SELECT * FROM ({_VIEWS}) WHERE {_CLOSED}"),
+    "stream_unique_visitors": _with(_BEHAVIOR, body=f"SELECT * FROM ({_UNIQUE}) WHERE {_CLOSED}"),
+    "stream_hot_items": _with(_BEHAVIOR, body=f"SELECT * FROM ({_RENAME.format(_HOT_ITEMS)}) WHERE {_CLOSED}"),
+    "stream_hot_items_retract": ORACLES["hot_items"],
+    "stream_page_views_upsert": ORACLES["page_views"],
+    "stream_interval_join": ORACLES["interval_join"],
+    "stream_fail_anchor": ORACLES["fail_anchor"],
+    "stream_fail_last_matched": ORACLES["fail_last_matched"],
+    "stream_click_cap": _with(_BEHAVIOR, _CAPPED, body="""
+        SELECT user_id, event_type, event_id, CASE WHEN n <= 2 THEN 'pass' ELSE 'blacklist' END AS tag
+        FROM numbered WHERE n <= 3"""),
+}

@@ -347,7 +347,10 @@ class SequenceMatch(KeyedProcessor):
         rest = waiting[len(ready):]
         self._replace(self.pending, rest)
         self._replace(self.open_matches, matches)
-        for at_us in [r[0] for r in rest[:1]] + [min(us for us, _ in matches) + self.within_us] * bool(matches):
+        wake = [rest[0][0]] if rest else []
+        if matches:
+            wake.append(min(us for us, _ in matches) + self.within_us)
+        for at_us in wake:
             self.handle.registerTimer(_due_ms(at_us))
         yield from self._frame(out)
 
