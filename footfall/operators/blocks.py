@@ -9,10 +9,15 @@ edge crosses it in one of two exact ways:
   start of a block are also given to the block before (``with_halo``);
 * a *carry*, where it does not: one summary row per (key, block) is scanned per
   key and joined back (see ``streaks`` and ``late``).
+
+A carry costs a summary row per (key, block), so there only keys with many rows
+are split (``split_hot_keys``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +49,28 @@ def with_halo(df: DataFrame, us: Column, block_us: int, horizon_us: int) -> Data
         ),
     ).otherwise(F.array(F.struct(own.alias(BLOCK), F.lit(True).alias(NATIVE))))
     return df.select("*", F.inline(placed))
+
+
+def split_hot_keys(
+    rows: DataFrame, key: Sequence[str], us: str, hot_rows: int, max_hot_keys: int = 200_000
+) -> DataFrame | None:
+    """Adds ``_block`` so that a key with more than ``hot_rows`` rows is cut into time
+    blocks of about that many; all other keys have one block.  None if no key is hot.
+
+    Runs one job that counts rows per key, combined on the map side.  At most
+    ``rows / hot_rows`` keys can be hot; their bounds are broadcast if there are no
+    more than ``max_hot_keys`` of them (some ten MB), and joined by shuffle of the
+    narrow bounds otherwise, where so many hot keys leave none that dominates.
+    """
+    stats = rows.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(us).alias("_lo"), F.max(us).alias("_hi")
+    ).filter(F.col("_n") > hot_rows)
+    pieces = F.ceil(F.col("_n") / F.lit(hot_rows))
+    width = F.call_function("div", F.col("_hi") - F.col("_lo"), pieces) + F.lit(1)
+    bounds = stats.select(*key, "_lo", width.alias("_width"))
+    hot = bounds.limit(max_hot_keys + 1).count()
+    if hot == 0:
+        return None
+    bounds = F.broadcast(bounds) if hot <= max_hot_keys else bounds
+    block = F.coalesce(F.call_function("div", F.col(us) - F.col("_lo"), F.col("_width")), F.lit(0).cast("bigint"))
+    return rows.join(bounds, list(key), "left").withColumn(BLOCK, block).drop("_lo", "_width")

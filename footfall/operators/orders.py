@@ -11,27 +11,27 @@ PAID, PAID_LATE, TIMEOUT, NOT_CREATED = "payed", "payed but already timeout", "t
 
 
 def order_status(
-    df: DataFrame, order: str, ts: str, tie: str, is_create: Column, is_pay: Column, within: str = "15 minutes"
+    df: DataFrame, order: str, ts: str, is_create: Column, is_pay: Column, within: str = "15 minutes"
 ) -> DataFrame:
     """The outcome of each order from its first create and its first pay.
 
-    A pay before its create waits for nothing: it gives ``payed but not created``
-    and the create then runs into its timeout, so such an order has two rows.
-    Two minima per order combine on the map side; no order is gathered.
+    A pay waits for its create only up to its own time: one that comes earlier
+    than its create gives ``payed but not created`` and the create then runs into
+    its timeout, so such an order has two rows.  Two numeric minima per order
+    combine on the map side in a hash aggregate; no order is gathered.
     """
-    limit = duration_us(within)
-    at = F.struct(micros(ts).alias("us"), F.col(tie).alias("tie"))
+    us = micros(ts)
     first = (
         df.filter(is_create | is_pay)
         .groupBy(order)
-        .agg(F.min(F.when(is_create, at)).alias("_create"), F.min(F.when(is_pay, at)).alias("_pay"))
+        .agg(F.min(F.when(is_create, us)).alias("_create"), F.min(F.when(is_pay, us)).alias("_pay"))
     )
     create, pay = F.col("_create"), F.col("_pay")
     outcome = (
         F.when(pay.isNull(), F.array(F.lit(TIMEOUT)))
         .when(create.isNull(), F.array(F.lit(NOT_CREATED)))
         .when(pay < create, F.array(F.lit(NOT_CREATED), F.lit(TIMEOUT)))
-        .when(pay["us"] - create["us"] <= F.lit(limit), F.array(F.lit(PAID)))
+        .when(pay - create <= F.lit(duration_us(within)), F.array(F.lit(PAID)))
         .otherwise(F.array(F.lit(PAID_LATE)))
     )
     return first.select(order, F.explode(outcome).alias("status"))

@@ -46,7 +46,8 @@ def match_sequence(
     if times > 1:
         steps = [(f"{name}_{i + 1}", pred) for i in range(times) for name, pred in steps]
     within_us = duration_us(within)
-    block_us = duration_us(block) if block else 16 * within_us
+    # short blocks split hot keys finely; longer ones copy fewer rows into the halo
+    block_us = duration_us(block) if block else (8 if key else 2) * within_us
     keep = list(columns or dict.fromkeys([ts, tie]))
     names = [name for name, _ in steps]
 

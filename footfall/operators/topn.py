@@ -38,15 +38,15 @@ def top_n(counts: DataFrame, id_col: str, n: int, count: str = "count", by: str
 
 
 def top_n_of_runs(
-    runs: DataFrame, id_col: str, n: int, slide: str, chunk: str, count: str = "count"
+    runs: DataFrame, id_col: str, n: int, slide: str, chunk: str, count: str = "count", salts: int = 64
 ) -> DataFrame:
     """``top_n`` per window end straight from runs, without expanding runs that cannot rank.
 
     Ends are grouped into chunks.  Inside a chunk an id counts at least its
     minimum over all ends (zero where it has a gap), so the n-th largest minimum
     is a floor for the n-th rank at every end of the chunk, and an id whose
-    maximum is below the floor ranks nowhere in it.  Only runs of the other ids
-    are expanded.
+    maximum is below the floor ranks nowhere in it.  Only runs at or above the floor
+    are expanded.  Pays for a long tail of ids whose runs are long.
     """
     slide_ms, chunk_ms = duration_us(slide) // 1000, duration_us(chunk) // 1000
     if chunk_ms % slide_ms:
@@ -78,6 +78,9 @@ def top_n_of_runs(
         .filter(F.col("row_num") == n)
         .select("_chunk", F.col("_least").alias("_floor"))
     )
-    kept = cut.join(floors, "_chunk", "left").filter(F.col("_floor").isNull() | (F.col(count) >= F.col("_floor")))
+    # one floor per chunk, given to each salt so that a busy chunk is spread over tasks
+    floors = floors.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = cut.withColumn("_salt", F.pmod(F.hash(id_col), F.lit(salts)))
+    kept = salted.join(floors, ["_chunk", "_salt"], "left").filter(F.col("_floor").isNull() | (F.col(count) >= F.col("_floor")))
     ends = expand_runs(kept.select(id_col, count, "first_end", "last_end"), slide)
     return top_n(ends, id_col, n, count)

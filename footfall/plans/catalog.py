@@ -87,7 +87,8 @@ def hot_pages(spark, sf_dir):
     return ranked.select("window_end", "url", "count", "row_num")
 
 
-def hot_pages_chunked(spark, sf_dir):
+def hot_pages_daily(spark, sf_dir):
+    """Over a day by the hour: dense counts, where chunks have floors and rows are pruned."""
     ranked = traffic.hot_pages(requests(spark, sf_dir), method="view", size="1 day", slide="1 hour", chunk="6 hours")
     return ranked.select("window_end", "url", "count", "row_num")
 
@@ -240,7 +241,7 @@ def funnel_three_steps(spark, sf_dir):
 def order_status_query(spark, sf_dir):
     kind = F.col("event_type")
     return order_status(
-        events(spark, sf_dir), "user_id", "event_time", "event_id", kind == "signup", kind == "purchase", ORDER_WITHIN
+        events(spark, sf_dir), "user_id", "event_time", kind == "signup", kind == "purchase", ORDER_WITHIN
     )
 
 
@@ -302,7 +303,7 @@ QUERIES: dict[str, Query] = {
     "hot_items_sql": hot_items_sql,
     "hot_items_report": hot_items_report,
     "hot_pages": hot_pages,
-    "hot_pages_chunked": hot_pages_chunked,
+    "hot_pages_daily": hot_pages_daily,
     "hot_pages_late": hot_pages_late,
     "late_split": late_split,
     "page_views": page_views,

@@ -131,7 +131,7 @@ ORACLES: dict[str, str] = {
                || chr(10) AS report
         FROM ({_HOT_ITEMS}) GROUP BY window_end"""),
     "hot_pages": _with(_BEHAVIOR, body=_RENAME.format(_top(_PAGE_COUNTS, "k", 3, "url"))),
-    "hot_pages_chunked": _with(_BEHAVIOR, body=_RENAME.format(_top(
+    "hot_pages_daily": _with(_BEHAVIOR, body=_RENAME.format(_top(
         _sliding("(SELECT k, us FROM behavior WHERE event_type = 'view')", "k", 86_400_000, 3_600_000), "k", 3, "url"))),
     "hot_pages_late": _with(
         _BEHAVIOR,

@@ -45,13 +45,14 @@ def hot_pages(
     slide: str = "5 seconds",
     ts: str = "event_time",
     live_from: Column | None = None,
-    chunk: str | None = None,
+    chunk: str | None = "5 minutes",
     **filters,
 ) -> DataFrame:
     """The most requested URLs per window.
 
-    With ``chunk`` the ranking works on runs and expands only those that can rank,
-    which pays for many URLs with dense traffic.
+    The ranking works on runs and expands only those that can rank within their
+    ``chunk`` of window ends, as most URLs of a site are in its long tail.  With
+    ``chunk=None`` every (url, window) is listed and ranked.
     """
     requests = page_requests(log, **filters)
     if chunk:

@@ -221,15 +221,15 @@ def brute_alerts(ordered, within, chained):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block", ["10 seconds", "7 minutes", "1 day"])
-@pytest.mark.parametrize("within", [2, 120, 600])
-def test_failure_alerts(log, block, within):
+@pytest.mark.parametrize("split", [dict(block="10 seconds"), dict(block="1 day"), dict(hot_rows=100), dict(hot_rows=7), {}])
+@pytest.mark.parametrize("within", [2, 600])
+def test_failure_alerts(log, split, within):
     df, ordered = log
     naive = lambda r: (r[0], r[1].replace(tzinfo=timezone.utc), r[2].replace(tzinfo=timezone.utc))
-    args = (df, ["user"], "ts", "id", F.col("kind") == "fail", f"{within} seconds", block)
-    first = [(*naive(r), int(r[3].split()[-2])) for r in rows(anchored_alerts(*args), "user", "first_fail_time", "last_fail_time", "msg")]
+    args = (df, ["user"], "ts", "id", F.col("kind") == "fail", f"{within} seconds")
+    first = [(*naive(r), int(r[3].split()[-2])) for r in rows(anchored_alerts(*args, **split), "user", "first_fail_time", "last_fail_time", "msg")]
     assert sorted(first) == brute_alerts(ordered, within, chained=False)
-    chain = [(*naive(r), 0) for r in rows(chained_alerts(*args), "user", "first_fail_time", "last_fail_time")]
+    chain = [(*naive(r), 0) for r in rows(chained_alerts(*args, **split), "user", "first_fail_time", "last_fail_time")]
     assert sorted(chain) == brute_alerts(ordered, within, chained=True)
 
 
@@ -327,14 +327,14 @@ def test_order_status(spark):
         (2, "create", 0), (2, "pay", 901),
         (3, "create", 0),
         (4, "pay", 0),
-        (5, "pay", 0), (5, "create", 10),
+        (5, "pay", 0), (5, "create", 10), (7, "pay", 4), (7, "create", 4),
         (6, "create", 0), (6, "pay", 5), (6, "pay", 2000), (6, "other", 1),
     ]
     df = spark.createDataFrame([(o, k, at(s), n) for n, (o, k, s) in enumerate(events)], "id bigint, kind string, ts timestamp, n int")
-    got = order_status(df, "id", "ts", "n", F.col("kind") == "create", F.col("kind") == "pay")
+    got = order_status(df, "id", "ts", F.col("kind") == "create", F.col("kind") == "pay")
     assert rows(got, "id", "status") == [
         (1, "payed"), (2, "payed but already timeout"), (3, "timeout"), (4, "payed but not created"),
-        (5, "payed but not created"), (5, "timeout"), (6, "payed"),
+        (5, "payed but not created"), (5, "timeout"), (6, "payed"), (7, "payed"),
     ]
 
 

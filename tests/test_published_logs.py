@@ -55,7 +55,7 @@ def test_login_alerts(spark, alerts, seconds):
 def test_orders(spark):
     orders = read(spark, "orders")
     assert counts(payments.payment_sequence(orders, "line"), "status") == {"payed": 37, "timeout": 2}
-    status = payments.payment_status(orders, "line")
+    status = payments.payment_status(orders)
     assert counts(status, "status")["payed"] == 37
     assert {r.order_id: r.status for r in status.filter("status <> 'payed'").collect()} == {
         34756: "payed but already timeout", 34767: "timeout", 34768: "payed but not created",

@@ -130,7 +130,7 @@ def test_login_alerts(logs):
 
 def test_payments(logs):
     assert rows(payments.payment_sequence(logs["orders"], "line"), "order_id", "status") == [(1, "payed"), (2, "timeout"), (3, "timeout")]
-    assert rows(payments.payment_status(logs["orders"], "line"), "order_id", "status") == [
+    assert rows(payments.payment_status(logs["orders"]), "order_id", "status") == [
         (1, "payed"), (2, "payed but already timeout"), (3, "timeout"), (4, "payed but not created"),
     ]
 
