@@ -4,7 +4,7 @@ from footfall.operators.matching import interval_join, reconcile, unmatched_righ
 from footfall.operators.orders import order_status
 from footfall.operators.sequence import match_sequence
 from footfall.operators.streaks import anchored_alerts, chained_alerts, failure_streaks
-from footfall.operators.topn import rank_within, top_n, top_n_of_runs
+from footfall.operators.topn import rank_within, top_n, top_n_sliding
 from footfall.operators.uniques import (
     bitmap_rollup,
     bitmap_uniques,
@@ -17,6 +17,8 @@ from footfall.operators.uniques import (
 from footfall.operators.windows import (
     expand_runs,
     naive_sliding_counts,
+    pane_counts,
+    runs_of_panes,
     salted_tumbling_counts,
     sliding_count_runs,
     sliding_counts,

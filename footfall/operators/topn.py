@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions.times import duration_us
-from footfall.operators.windows import expand_runs
+from footfall.functions.times import duration_us, step_number
+from footfall.operators.windows import expand_runs, pane_counts, runs_of_panes
 
 _LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
@@ -37,50 +37,57 @@ def top_n(counts: DataFrame, id_col: str, n: int, count: str = "count", by: str
     return rank_within(counts, [by], [F.col(count).desc(), F.col(id_col).asc()], n)
 
 
-def top_n_of_runs(
-    runs: DataFrame, id_col: str, n: int, slide: str, chunk: str, count: str = "count", salts: int = 64
+def top_n_sliding(
+    df: DataFrame,
+    id_col: str,
+    ts: str,
+    n: int,
+    size: str,
+    slide: str,
+    chunk: str | None = None,
+    live_from: Column | None = None,
+    count: str = "count",
+    salts: int = 64,
 ) -> DataFrame:
-    """``top_n`` per window end straight from runs, without expanding runs that cannot rank.
+    """``top_n`` of sliding counts without listing windows of ids that cannot rank.
 
-    Ends are grouped into chunks.  Inside a chunk an id counts at least its
-    minimum over all ends (zero where it has a gap), so the n-th largest minimum
-    is a floor for the n-th rank at every end of the chunk, and an id whose
-    maximum is below the floor ranks nowhere in it.  Only runs at or above the floor
-    are expanded.  Pays for a long tail of ids whose runs are long.
+    Window ends are grouped into chunks (default half of ``size``).  Panes that
+    count in every end of a chunk give an id a least count for all of it, so the
+    n-th largest of these is a floor below which no id ranks at any of its ends.
+    Runs below the floor are dropped before they are expanded, which in a long
+    tail of ids is nearly all of them.  Both uses of the panes share one shuffle.
     """
-    slide_ms, chunk_ms = duration_us(slide) // 1000, duration_us(chunk) // 1000
-    if chunk_ms % slide_ms:
+    slide_us = duration_us(slide)
+    chunk_us = duration_us(chunk) if chunk else max(duration_us(size) // 2 // slide_us, 1) * slide_us
+    if chunk_us % slide_us:
         raise ValueError("chunk must be a multiple of slide")
+    panes = pane_counts(df, [id_col], ts, size, slide, live_from)
 
-    def chunk_of(end: Column) -> Column:
-        return F.call_function("div", end, F.lit(chunk_ms))
+    lead = F.lit(chunk_us - 1)
+    first_full = step_number(F.col("_start") + lead, chunk_us)
+    last_full = step_number(F.col("_stop"), chunk_us) - F.lit(1)
+    # no filter here: it would move below the pane counts and part the two uses of them
+    chunks = F.when(first_full <= last_full, F.sequence(first_full, last_full))
+    full = panes.select(id_col, "_n", F.explode(chunks).alias("_chunk"))
+    least = full.groupBy("_chunk", id_col).agg(F.sum("_n").alias("_least"))
+    floors = (
+        rank_within(least, ["_chunk"], [F.col("_least").desc(), F.col(id_col)], n)
+        .filter(F.col("row_num") == n)
+        # one floor per chunk, given to each salt so that a busy chunk is spread over tasks
+        .select("_chunk", F.col("_least").alias("_floor"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    )
 
-    cut = runs.select(
-        id_col,
-        count,
-        "first_end",
-        "last_end",
-        F.explode(F.sequence(chunk_of(F.col("first_end")), chunk_of(F.col("last_end")))).alias("_chunk"),
-    ).select(
+    runs = runs_of_panes(panes, [id_col], size, slide, count=count, merge=False)
+    slide_ms, chunk_ms = slide_us // 1000, chunk_us // 1000
+    low, high = (F.call_function("div", F.col(end), F.lit(chunk_ms)) for end in ("first_end", "last_end"))
+    chunk_start = F.col("_chunk") * F.lit(chunk_ms)
+    cut = runs.select("*", F.explode(F.sequence(low, high)).alias("_chunk")).select(
         id_col,
         count,
         "_chunk",
-        F.greatest(F.col("first_end"), F.col("_chunk") * F.lit(chunk_ms)).alias("first_end"),
-        F.least(F.col("last_end"), (F.col("_chunk") + 1) * F.lit(chunk_ms) - F.lit(slide_ms)).alias("last_end"),
-    )
-    covered = F.sum(F.call_function("div", F.col("last_end") - F.col("first_end"), F.lit(slide_ms)) + F.lit(1))
-    bounds = cut.groupBy("_chunk", id_col).agg(
-        F.min(count).alias("_least"), F.max(count).alias("_most"), covered.alias("_covered")
-    )
-    full = bounds.filter(F.col("_covered") == F.lit(chunk_ms // slide_ms))
-    floors = (
-        rank_within(full.select("_chunk", id_col, "_least"), ["_chunk"], [F.col("_least").desc(), F.col(id_col)], n)
-        .filter(F.col("row_num") == n)
-        .select("_chunk", F.col("_least").alias("_floor"))
+        F.pmod(F.hash(id_col), F.lit(salts)).alias("_salt"),
+        F.greatest(F.col("first_end"), chunk_start).alias("first_end"),
+        F.least(F.col("last_end"), chunk_start + F.lit(chunk_ms - slide_ms)).alias("last_end"),
     )
-    # one floor per chunk, given to each salt so that a busy chunk is spread over tasks
-    floors = floors.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = cut.withColumn("_salt", F.pmod(F.hash(id_col), F.lit(salts)))
-    kept = salted.join(floors, ["_chunk", "_salt"], "left").filter(F.col("_floor").isNull() | (F.col(count) >= F.col("_floor")))
-    ends = expand_runs(kept.select(id_col, count, "first_end", "last_end"), slide)
-    return top_n(ends, id_col, n, count)
+    kept = cut.join(floors, ["_chunk", "_salt"], "left").filter(F.col(count) >= F.coalesce("_floor", F.lit(0)))
+    return top_n(expand_runs(kept.select(id_col, count, "first_end", "last_end"), slide), id_col, n, count)

@@ -55,45 +55,37 @@ def naive_sliding_counts(
     )
 
 
-def sliding_count_runs(
-    df: DataFrame,
-    keys: list[str],
-    ts: str,
-    size: str,
-    slide: str,
-    block: str | None = None,
-    live_from: Column | None = None,
-    count: str = "count",
-    merge: bool = True,
+def pane_counts(
+    df: DataFrame, keys: list[str], ts: str, size: str, slide: str, live_from: Column | None = None
 ) -> DataFrame:
-    """Sliding counts as runs: ``count`` holds for every window end in
-    ``[first_end, last_end]`` (epoch ms, step ``slide``).
+    """Rows per (keys, pane of one slide): ``_n`` rows that count in the window ends
+    ``[_start, _stop)``, in epoch µs.
 
-    Runs are cut at block edges (default 24 sizes, so one day for hourly windows)
-    and, with ``merge``, are otherwise as long as possible.  ``live_from`` (epoch
-    µs) is the first window end that a row may still count in, for late rows.
-
-    Shuffles: pane counts on (keys, pane), combined on the map side; then at most
-    four narrow steps per pane on (keys, block).  A task of the second holds one
-    key's panes in one block, whatever the number of rows.
+    ``live_from`` is the first window end that a row may still count in, for late rows.
     """
     size_us, slide_us = duration_us(size), duration_us(slide)
     if size_us % slide_us:
         raise ValueError("size must be a multiple of slide")
+    first = floor_to(micros(ts), slide_us) + F.lit(slide_us)
+    count = F.count(F.lit(1)).alias("_n")
+    if live_from is None:
+        panes = df.groupBy(*keys, first.alias("_start")).agg(count)
+        return panes.withColumn("_stop", F.col("_start") + F.lit(size_us))
+    stop = first + F.lit(size_us)
+    panes = df.groupBy(*keys, F.greatest(first, live_from).alias("_start"), stop.alias("_stop")).agg(count)
+    return panes.filter("_start < _stop")
+
+
+def runs_of_panes(
+    panes: DataFrame, keys: list[str], size: str, slide: str, block: str | None = None, count: str = "count",
+    merge: bool = True,
+) -> DataFrame:
+    """The running sum over panes, as described at ``sliding_count_runs``."""
+    size_us, slide_us = duration_us(size), duration_us(slide)
     block_us = duration_us(block) if block else 24 * size_us
     if block_us % slide_us or block_us < size_us:
         raise ValueError("block must be a multiple of slide and not shorter than size")
 
-    first = floor_to(micros(ts), slide_us) + F.lit(slide_us)
-    stop = first + F.lit(size_us)
-    if live_from is not None:
-        start = F.greatest(first, live_from)
-        panes = df.groupBy(*keys, start.alias("_start"), stop.alias("_stop")).agg(F.count(F.lit(1)).alias("_n"))
-        panes = panes.filter("_start < _stop")
-    else:
-        panes = df.groupBy(*keys, first.alias("_start")).agg(F.count(F.lit(1)).alias("_n"))
-        panes = panes.withColumn("_stop", F.col("_start") + F.lit(size_us))
-
     b0 = step_number(F.col("_start"), block_us)
     b1 = step_number(F.col("_stop") - F.lit(slide_us), block_us)
     edge = b1 * F.lit(block_us)
@@ -134,6 +126,31 @@ def sliding_count_runs(
     )
 
 
+def sliding_count_runs(
+    df: DataFrame,
+    keys: list[str],
+    ts: str,
+    size: str,
+    slide: str,
+    block: str | None = None,
+    live_from: Column | None = None,
+    count: str = "count",
+    merge: bool = True,
+) -> DataFrame:
+    """Sliding counts as runs: ``count`` holds for every window end in
+    ``[first_end, last_end]`` (epoch ms, step ``slide``).
+
+    Runs are cut at block edges (default 24 sizes, so one day for hourly windows)
+    and, with ``merge``, are otherwise as long as possible.
+
+    Shuffles: pane counts on (keys, pane), combined on the map side; then at most
+    four narrow steps per pane on (keys, block).  A task of the second holds one
+    key's panes in one block, whatever the number of rows.
+    """
+    panes = pane_counts(df, keys, ts, size, slide, live_from)
+    return runs_of_panes(panes, keys, size, slide, block, count, merge)
+
+
 def expand_runs(runs: DataFrame, slide: str) -> DataFrame:
     """One row per window end from runs."""
     step_ms = duration_us(slide) // 1000

@@ -89,7 +89,7 @@ def hot_pages(spark, sf_dir):
 
 def hot_pages_daily(spark, sf_dir):
     """Over a day by the hour: dense counts, where chunks have floors and rows are pruned."""
-    ranked = traffic.hot_pages(requests(spark, sf_dir), method="view", size="1 day", slide="1 hour", chunk="6 hours")
+    ranked = traffic.hot_pages(requests(spark, sf_dir), method="view", size="1 day", slide="1 hour")
     return ranked.select("window_end", "url", "count", "row_num")
 
 

@@ -10,10 +10,8 @@ from footfall.operators import (
     exact_uniques,
     salted_tumbling_counts,
     sketch_uniques,
-    sliding_count_runs,
     sliding_counts,
-    top_n,
-    top_n_of_runs,
+    top_n_sliding,
     tumbling_counts,
 )
 
@@ -45,20 +43,10 @@ def hot_pages(
     slide: str = "5 seconds",
     ts: str = "event_time",
     live_from: Column | None = None,
-    chunk: str | None = "5 minutes",
     **filters,
 ) -> DataFrame:
-    """The most requested URLs per window.
-
-    The ranking works on runs and expands only those that can rank within their
-    ``chunk`` of window ends, as most URLs of a site are in its long tail.  With
-    ``chunk=None`` every (url, window) is listed and ranked.
-    """
-    requests = page_requests(log, **filters)
-    if chunk:
-        runs = sliding_count_runs(requests, ["url"], ts, size, slide, live_from=live_from, merge=False)
-        return top_n_of_runs(runs, "url", n, slide, chunk)
-    return top_n(sliding_counts(requests, ["url"], ts, size, slide, live_from=live_from), "url", n)
+    """The most requested URLs per window; most URLs of a site are in its long tail and never listed."""
+    return top_n_sliding(page_requests(log, **filters), "url", ts, n, size, slide, live_from=live_from)
 
 
 def _views(behavior: DataFrame, kind: str) -> DataFrame:

@@ -29,6 +29,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # small inputs that grow inside a stage (sliding windows) keep all cores busy
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)

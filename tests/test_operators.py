@@ -32,7 +32,7 @@ from footfall.operators import (
     sliding_counts,
     split_late,
     top_n,
-    top_n_of_runs,
+    top_n_sliding,
     tumbling_counts,
 )
 
@@ -136,12 +136,11 @@ def test_top_n_breaks_ties_by_id(log):
     assert rows(top_n(counts, "user", 5), "window_end", "user", "count", "row_num") == want
 
 
-@pytest.mark.parametrize("chunk", ["1 minute", "5 minutes", "1 hour"])
-def test_top_n_of_runs(log, chunk):
+@pytest.mark.parametrize("chunk", [None, "1 minute", "5 minutes", "1 hour"])
+def test_top_n_sliding(log, chunk):
     df, _ = log
     counts = naive_sliding_counts(df, ["user"], "ts", "10 minutes", "1 minute")
-    runs = sliding_count_runs(df, ["user"], "ts", "10 minutes", "1 minute", merge=False)
-    got = top_n_of_runs(runs, "user", 3, "1 minute", chunk)
+    got = top_n_sliding(df, "user", "ts", 3, "10 minutes", "1 minute", chunk)
     assert rows(got, "window_end", "user", "count", "row_num") == brute_top(rows(counts, "user", "window_end", "count"), 3)
 
 
