@@ -27,6 +27,12 @@ BLOCK = "_block"
 NATIVE = "_native"
 
 
+def batch_only(df: DataFrame, stream_form: str) -> None:
+    """Row windows do not exist on streams; names what does the same there."""
+    if df.isStreaming:
+        raise ValueError(f"a stream needs {stream_form}")
+
+
 def with_block(df: DataFrame, us: Column, block_us: int) -> DataFrame:
     return df.withColumn(BLOCK, step_number(us, block_us))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.times import local_day, micros
+from footfall.operators.blocks import batch_only
 from footfall.operators.topn import rank_within
 
 PASS, BLACKLIST = "pass", "blacklist"
@@ -28,6 +29,7 @@ def click_cap(
     ``reset='never'`` counts over all days.  A key under attack holds many rows;
     the rank limit applies before the shuffle, so it ships ``cap + 1`` per task.
     """
+    batch_only(df, "streaming.processors.ClickCap")
     if reset not in ("event_day", "never"):
         raise ValueError(f"unknown reset: {reset}")
     day = local_day(micros(ts), day_offset) if reset == "event_day" else F.lit(0).cast("bigint")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.times import duration_us, micros
-from footfall.operators.blocks import BLOCK, NATIVE, with_halo
+from footfall.operators.blocks import BLOCK, NATIVE, batch_only, with_halo
 
 STRICT, RELAXED = "strict", "relaxed"
 
@@ -37,12 +37,14 @@ def match_sequence(
     ``tie`` makes that order total.  ``strict`` wants the steps on adjacent rows;
     ``relaxed`` skips rows until the next one that fits.  ``times`` repeats the
     whole step list, numbering the names.  An empty ``key`` matches over all rows.
+    Rows without a time are not looked at.
 
     Gives the key columns and one struct of ``columns`` per step.  With
     ``emit_timeouts`` a first step whose match is not complete in time is kept,
     with ``status = 'timeout'`` and NULL for the missing steps; complete matches
     have ``status = 'match'``.
     """
+    batch_only(df, "streaming.processors.SequenceMatch")
     if times > 1:
         steps = [(f"{name}_{i + 1}", pred) for i in range(times) for name, pred in steps]
     within_us = duration_us(within)
@@ -67,7 +69,7 @@ def match_sequence(
         rows = rows.filter(any_step)
     elif contiguity != STRICT:
         raise ValueError(f"unknown contiguity: {contiguity}")
-    rows = with_halo(rows, F.col("_us"), block_us, within_us)
+    rows = with_halo(rows.filter(F.col("_us").isNotNull()), F.col("_us"), block_us, within_us)
 
     group = Window.partitionBy(*key, BLOCK)
     found = _adjacent(rows, group, len(steps)) if contiguity == STRICT else _following(rows, group, len(steps))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.times import duration_us, micros, micros_to_ts
-from footfall.operators.blocks import BLOCK, split_hot_keys, with_block
+from footfall.operators.blocks import BLOCK, batch_only, split_hot_keys, with_block
 
 
 def failure_streaks(
@@ -37,6 +37,7 @@ def failure_streaks(
     Keys with more than ``hot_rows`` rows are cut into time blocks; ``block`` cuts
     every key by a fixed length instead and saves the count of rows per key.
     """
+    batch_only(df, "streaming.processors.AnchoredFailures or ChainedFailures")
     gap_us = duration_us(linked_within)
     rows = df.select(
         *key,

@@ -7,6 +7,8 @@ not closed stay open, as in any stream.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from footfall.functions import micros
 from footfall.operators import interval_join, sliding_counts
 from footfall.operators.uniques import exact_uniques
 from footfall.operators.windows import tumbling_counts
-from footfall.session import pin_zone, shared_folder
+from footfall.session import pin_zone, shared_folder, state_partitions
 from footfall.streaming.changelog import apply_changes, retracting_top_n_writer
 from footfall.streaming.processors import AnchoredFailures, ChainedFailures, ClickCap, run_processor
 from footfall.streaming.sinks import Writer, read_latest, run_available, top_n_writer, upsert_writer
@@ -37,10 +39,17 @@ def _of_type(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return _events(spark, sf_dir).filter(F.col("event_type") == kind).withWatermark("event_time", "0 seconds")
 
 
-def _written(spark: SparkSession, label: str, stream: DataFrame, mode: str = "append", make: type | None = None) -> str:
+def _written(
+    spark: SparkSession,
+    label: str,
+    stream: DataFrame,
+    mode: str = "append",
+    make: Callable[[str], Writer] | None = None,
+) -> str:
     folder = shared_folder(spark, label)
-    writer: Writer | None = make(f"{folder}/out") if make else None
-    run_available(stream, f"{folder}/checkpoint", f"{folder}/out", mode, writer)
+    writer = make(f"{folder}/out") if make else None
+    with state_partitions(spark):
+        run_available(stream, f"{folder}/checkpoint", f"{folder}/out", mode, writer)
     return f"{folder}/out"
 
 

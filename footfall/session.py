@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +54,19 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="footfall-")
     return f"{root.rstrip('/')}/footfall/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, per_core: int = 1) -> Iterator[None]:
+    """Streams started inside get state partitions by the number of cores.
+
+    Stateful stages are not coalesced at run time, and the number of a stream's
+    partitions is fixed by its first start, so it should not be left to a default.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(spark.sparkContext.defaultParallelism * per_core, 1)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -302,6 +302,12 @@ def test_interval_join_and_reconcile(spark, tmp_path, behavior):
     same(got, want)
 
 
+def test_batch_forms_name_their_stream_form(behavior_feed):
+    steps = [("a", F.col("behavior") == "view"), ("b", F.col("behavior") == "click")]
+    with pytest.raises(ValueError, match="SequenceMatch"):
+        match_sequence(behavior_feed.stream(), ["user_id"], "event_time", "event_id", steps, "1 hour")
+
+
 def test_sql_over_a_stream(spark, behavior_feed, behavior):
     behavior_feed.stream().createOrReplaceTempView("stream_behavior")
     counts = spark.sql(
