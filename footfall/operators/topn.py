@@ -53,8 +53,9 @@ def top_n_sliding(
 
     Window ends are grouped into chunks (default half of ``size``).  Panes that
     count in every end of a chunk give an id a least count for all of it, so the
-    n-th largest of these is a floor below which no id ranks at any of its ends.
-    Runs below the floor are dropped before they are expanded, which in a long
+    n-th largest of these is a floor below which no id ranks at any of its ends, and
+    an id that only reaches the floor ranks behind all smaller ids that hold it.
+    Runs that cannot rank are dropped before they are expanded, which in a long
     tail of ids is nearly all of them.  Both uses of the panes share one shuffle.
     """
     slide_us = duration_us(slide)
@@ -74,7 +75,12 @@ def top_n_sliding(
         rank_within(least, ["_chunk"], [F.col("_least").desc(), F.col(id_col)], n)
         .filter(F.col("row_num") == n)
         # one floor per chunk, given to each salt so that a busy chunk is spread over tasks
-        .select("_chunk", F.col("_least").alias("_floor"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+        .select(
+            "_chunk",
+            F.col("_least").alias("_floor"),
+            F.col(id_col).alias("_floor_id"),
+            F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+        )
     )
 
     runs = runs_of_panes(panes, [id_col], size, slide, count=count, merge=False)
@@ -89,5 +95,7 @@ def top_n_sliding(
         F.greatest(F.col("first_end"), chunk_start).alias("first_end"),
         F.least(F.col("last_end"), chunk_start + F.lit(chunk_ms - slide_ms)).alias("last_end"),
     )
-    kept = cut.join(floors, ["_chunk", "_salt"], "left").filter(F.col(count) >= F.coalesce("_floor", F.lit(0)))
+    floor = F.col("_floor")
+    can_rank = floor.isNull() | (F.col(count) > floor) | ((F.col(count) == floor) & (F.col(id_col) <= F.col("_floor_id")))
+    kept = cut.join(floors, ["_chunk", "_salt"], "left").filter(can_rank)
     return top_n(expand_runs(kept.select(id_col, count, "first_end", "last_end"), slide), id_col, n, count)
