@@ -65,6 +65,15 @@ def read_latest(spark: SparkSession, path: str, keys: list[str], before: int | N
     return log.groupBy(*keys).agg(latest.alias("_v")).select(*keys, "_v.*")
 
 
+def compact_log(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:
+    """Starts a new log at ``target`` from the current table of the one at ``path``.
+
+    Its rows count as older than any batch, so a stream that goes on there with
+    its checkpoint continues the table; the old log can then be dropped.
+    """
+    _store(read_latest(spark, path, keys), target, -1)
+
+
 def top_n_writer(path: str, id_col: str, n: int, count: str = "count") -> Writer:
     """Ranks the closed windows of a batch.
 

@@ -23,6 +23,7 @@ from footfall.streaming.processors import (
 )
 from footfall.streaming.sinks import (
     append_writer,
+    compact_log,
     print_stream,
     read_latest,
     run_available,
@@ -158,6 +159,17 @@ def test_upsert_keeps_the_latest_value(spark, tmp_path, behavior_feed, behavior)
     same(before_end(read_latest(spark, path, ["window_end"])), tumbling_counts(views(behavior), [], "event_time", "30 days"))
 
 
+def test_a_compacted_log_goes_on(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    table = lambda *rows: spark.createDataFrame(rows, "k string, n int")
+    upsert_writer(old)(table(("a", 1), ("b", 1)), 0)
+    upsert_writer(old)(table(("a", 2)), 1)
+    compact_log(spark, old, new, ["k"])
+    assert spark.read.parquet(new).count() == 2
+    upsert_writer(new)(table(("b", 3), ("c", 3)), 2)
+    assert {(r.k, r.n) for r in read_latest(spark, new, ["k"]).collect()} == {("a", 2), ("b", 3), ("c", 3)}
+
+
 def test_a_retried_batch_is_stored_once(spark, tmp_path):
     write = append_writer(str(tmp_path / "t"))
     df = spark.range(5)
