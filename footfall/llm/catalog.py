@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from footfall.llm.langid import op10_language_id
 from footfall.llm.mixing import mix_sql, op7_poisson_mix
+from footfall.llm.quality import op5_quality
 
 QUERIES = {
+    "op5_quality": op5_quality,
     "op7_poisson_mix": op7_poisson_mix,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES = {

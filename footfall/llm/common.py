@@ -53,10 +53,10 @@ def bounded_sample(
         F.col(label).alias("label"), F.col(text).alias("text"), F.length(text).alias("size"),
         F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.lit(1 << 30)).alias("draw"),
     ).filter(F.col("label").isNotNull() & F.col("size").between(1, longest))
-    totals = sized.groupBy("label").agg(F.sum("size").alias("total"))
-    rate = F.lit(float(chars)) / F.col("total") * (1 << 30)
-    drawn = sized.join(totals.withColumn("rate", rate).drop("total"), "label").filter(F.col("draw") < F.col("rate"))
-    return sorted(((r[0], r[1]) for r in drawn.select("label", "text").collect()), key=lambda r: (str(r[0]), r[1]))
+    chosen = F.lit(False)
+    for value, total in sized.groupBy("label").agg(F.sum("size")).collect():
+        chosen |= (F.col("label") == F.lit(value)) & (F.col("draw") < F.lit(chars / total * (1 << 30)))
+    return sorted(map(tuple, sized.filter(chosen).select("label", "text").collect()), key=lambda r: (str(r[0]), r[1]))
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

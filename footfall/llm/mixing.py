@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.common import table
+from footfall.llm.common import table, work_folder, written
 
 #: 13 hex digits of md5 are 52 bits, which a double holds exactly.
 UNIT = float(1 << 52)
@@ -86,7 +86,8 @@ def poisson_mix(
         F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))
     )
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), drawn.alias("drawn"))
-    rates = source_rates(docs, weights, total, source, text)
+    # a small table, whose size Spark knows before it chooses the join
+    rates = written(source_rates(docs, weights, total, source, text), work_folder(docs.sparkSession, "rates"))
     joined = rows.join(rates, F.col(f"row.{source}").eqNullSafe(F.col("source")))
     copies = F.size(F.filter("cdf", lambda c: F.col("drawn") >= c))
     counted = joined.select("row", "rate", copies.alias("copies")).filter(F.col("copies") > 0)
