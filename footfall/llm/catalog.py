@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from footfall.llm.langid import op10_language_id
 from footfall.llm.mixing import mix_sql, op7_poisson_mix
+from footfall.llm.ngrams import components_sql, op9_ngram_jaccard
 from footfall.llm.quality import op5_quality
 
 QUERIES = {
     "op5_quality": op5_quality,
     "op7_poisson_mix": op7_poisson_mix,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
 }
 
 ORACLES = {
     "op7_poisson_mix": mix_sql(),
+    "op9_ngram_jaccard": components_sql(),
 }
