@@ -6,8 +6,10 @@ from footfall.llm.langid import op10_language_id
 from footfall.llm.mixing import mix_sql, op7_poisson_mix
 from footfall.llm.ngrams import components_sql, op9_ngram_jaccard
 from footfall.llm.quality import op5_quality
+from footfall.llm.store import op3_token_files
 
 QUERIES = {
+    "op3_token_files": op3_token_files,
     "op5_quality": op5_quality,
     "op7_poisson_mix": op7_poisson_mix,
     "op9_ngram_jaccard": op9_ngram_jaccard,
