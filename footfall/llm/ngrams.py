@@ -39,7 +39,7 @@ COUNTED = 0.3
 #: Bits of the bitmap of shared shingles (16 MB), and shingles in more documents than ``COMMON`` come last.
 SHARED_BITS, COMMON, COMMON_KEPT = 1 << 27, 64, 1_000_000
 #: Longs of a document's bitmap, and the rows of a tile that are compared at once.
-LONGS, BLOCK = 16, 1024
+LONGS, BLOCK = 32, 1024
 #: Sizes that can reach 0.8 differ by a factor of 1.25 at most; a band is a little wider.
 BAND = float(np.log(1.26))
 
@@ -190,24 +190,37 @@ def _linked(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     return both.mapInArrow(intersect, "a long, b long")
 
 
-def _tile_pairs(tiles: DataFrame) -> DataFrame:
-    """Distinct pairs of different roots in a tile whose bitmaps leave room for 0.8."""
+def _tile_pairs(tiles: DataFrame, nearest: bool) -> DataFrame:
+    """Distinct pairs of different roots in a tile whose bitmaps leave room for 0.8.
+
+    With ``nearest``, of each node only its best pair and its best with the tile's most
+    frequent root, whose own nodes need none.
+    """
 
     def compare(group: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        own = np.flatnonzero(group["own"])
-        n, bits = group["n"], group["bits"]
+        own, root, node, n = np.flatnonzero(group["own"]), group["root"], group["node"], group["n"]
+        bits = group["bits"]
         ones = np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+        names, counts = np.unique(root, return_counts=True)
+        main = names[counts.argmax()]
+        if nearest:
+            own = own[root[own] != main]
         for i in range(0, len(own), 64):
             rows = own[i : i + 64]
             both = np.bitwise_count(bits[rows][:, None, :] & bits[None, :, :]).sum(axis=2).astype(np.int64)
             room = np.minimum(n[rows, None] - ones[rows, None] + both, n[None] - ones[None] + both)
-            fits = 9 * room >= 4 * (n[rows, None] + n[None])
-            fits &= group["root"][rows, None] != group["root"][None]
-            # a pair counts once: with the smaller set, or within a band the smaller node, on the left
-            fits &= ~group["own"][None] | (group["node"][rows, None] < group["node"][None])
-            fits &= (group["half"][rows, None] != group["half"][None]) | group["alone"][None]
-            x, y = np.nonzero(fits)
-            yield group["node"][rows[x]], group["node"][y]
+            fits = (9 * room >= 4 * (n[rows, None] + n[None])) & (root[rows, None] != root[None])
+            if nearest:
+                alike = both / (ones[rows, None] + ones[None] - both)
+                for allowed in (fits, fits & (root[None] == main)):
+                    some = np.flatnonzero(allowed.any(axis=1))
+                    yield node[rows[some]], node[np.where(allowed[some], alike[some], -1).argmax(axis=1)]
+            else:
+                # a pair counts once: with the lower band or the smaller node on the left, in one pair of blocks
+                fits &= ~group["own"][None] | (node[rows, None] < node[None])
+                fits &= (group["half"][rows, None] != group["half"][None]) | group["alone"][None]
+                x, y = np.nonzero(fits)
+                yield node[rows[x]], node[y]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["token", "band", "x", "y", "node", "n", "root", "own", "half", "alone"]
@@ -294,19 +307,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     several = met.groupBy("token").agg(F.min("node").alias("n0"), F.max("node").alias("n1")).filter("n0 <> n1")
     members = met.join(several.select("token"), "token").withColumn("band", band)
     members = written(members, f"{folder}/members")
-    # first each node meets one other: of the heads of its tiles, the sets with the fewest
-    # shingles of their own, that which it shares the most tiles with
+    # most links of large groups are found by testing few pairs: first each node meets one
+    # other, of the heads of its tiles, the sets with the fewest shingles of their own, that
+    # which it shares the most tiles with
     heads = members.groupBy("token", "band").agg(F.min(F.struct("lone", "node")).alias("head"))
     shared = members.join(heads, ["token", "band"]).select(
         F.col("node").alias("b"), F.col("head.node").alias("a")
     ).filter("a <> b").groupBy("b", "a").count()
-    first = shared.groupBy("b").agg(F.max(F.struct("count", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-    links = written(_linked(first, arrays), f"{folder}/links-1")
-    roots = written(components(links, f"{folder}/first"), f"{folder}/roots-1")
-    # then all that are not connected yet meet in their tiles
-    pairs = written(_tile_pairs(_cross_tiles(members, roots, arrays.select("node", "bits"))), f"{folder}/pairs")
-    links = links.unionByName(written(_linked(pairs, arrays), f"{folder}/links-2"))
-    roots = written(components(links, f"{folder}/second"), f"{folder}/roots-2")
+    pairs = shared.groupBy("b").agg(F.max(F.struct("count", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    links = written(_linked(pairs, arrays), f"{folder}/links-0")
+    roots = written(components(links, f"{folder}/components-0"), f"{folder}/roots-0")
+    # then those in other components meet in their tiles: the nearest, at last all
+    for turn, nearest in ((1, True), (2, False)):
+        tiles = _cross_tiles(members, roots, arrays.select("node", "bits"))
+        pairs = written(_tile_pairs(tiles, nearest), f"{folder}/pairs-{turn}")
+        found = written(_linked(pairs, arrays), f"{folder}/links-{turn}")
+        # a component is a star: its nodes' links to the root stand for all found before
+        links = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(found)
+        roots = written(components(links, f"{folder}/components-{turn}"), f"{folder}/roots-{turn}")
     rooted = sets.select("doc", "text_key", "n", "node").join(roots, "node", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     names = rooted.filter("root is not null").groupBy("root").agg(F.min("doc").alias("least"))
@@ -351,7 +369,8 @@ def components_sql(docs: str = "documents") -> str:
     return rf"""
     WITH RECURSIVE words AS (
       SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-        'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS ws FROM {docs}),
+        'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS ws FROM {docs}),
     sets AS (
       SELECT DISTINCT doc_id, unnest(CASE
         WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
