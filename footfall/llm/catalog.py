@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from footfall.llm.attribution import op8_token_counts
+from footfall.llm.decontamination import leaks_sql, op4_decontamination
 from footfall.llm.langid import op10_language_id
 from footfall.llm.licenses import op1_license_scan, scan_sql
 from footfall.llm.mixing import mix_sql, op7_poisson_mix
 from footfall.llm.ngrams import components_sql, op9_ngram_jaccard
 from footfall.llm.quality import op5_quality
+from footfall.llm.secrets import op6_secret_scan
 from footfall.llm.store import op3_token_files
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op3_token_files": op3_token_files,
+    "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
+    "op6_secret_scan": op6_secret_scan,
     "op7_poisson_mix": op7_poisson_mix,
     "op8_token_counts": op8_token_counts,
     "op9_ngram_jaccard": op9_ngram_jaccard,
@@ -22,6 +26,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_license_scan": scan_sql(),
+    "op4_decontamination": leaks_sql(),
     "op7_poisson_mix": mix_sql(),
     "op9_ngram_jaccard": components_sql(),
 }
