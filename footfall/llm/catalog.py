@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from footfall.llm.ann import op2_nearest_neighbours
 from footfall.llm.attribution import op8_token_counts
 from footfall.llm.decontamination import leaks_sql, op4_decontamination
 from footfall.llm.langid import op10_language_id
@@ -14,6 +15,7 @@ from footfall.llm.store import op3_token_files
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_token_files": op3_token_files,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
