@@ -26,7 +26,7 @@ from footfall.llm.common import table, work_folder, written
 LIST_ROWS, MOST_LISTS, SAMPLE = 512, 1024, 16_384
 #: Rows and queries of a tile.
 BLOCK, QUERY_BLOCK = 4096, 512
-LINKS = 12
+LINKS, BEAM = 12, 8
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -63,7 +63,7 @@ class Graph:
     def search(self, points: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
         """Points and centroids whose distance is within ``ratio`` of the least seen; distances.
 
-        The walk opens a centroid's links while the centroid is within the ratio itself.
+        The walk opens the links of centroids within the ratio, and of the BEAM nearest seen.
         """
         count, k = len(points), len(self.centroids)
         d = np.full((count, k), np.inf)
@@ -75,8 +75,8 @@ class Graph:
                 r, c = rows[a : a + (1 << 16)], cols[a : a + (1 << 16)]
                 d[r, c] = np.sqrt(np.maximum(own[r] - 2 * np.einsum("ij,ij->i", points[r], self.centroids[c]) + norms[c], 0))
             best = d.min(axis=1)
-            # the nearest seen is always opened; the others within the ratio
-            open_now = (d <= np.maximum(best * ratio, best)[:, None]) & ~opened
+            beam = np.partition(d, min(BEAM, k) - 1, axis=1)[:, min(BEAM, k) - 1]
+            open_now = (d <= np.maximum(best * ratio, beam)[:, None]) & np.isfinite(d) & ~opened
             opened |= open_now
             r, c = np.nonzero(open_now)
             seen = np.zeros((count, k), dtype=bool)

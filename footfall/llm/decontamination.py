@@ -132,10 +132,9 @@ def leaks(
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with their columns."""
     folder = work_folder(docs.sparkSession, "clean")
-    held = written(leaks(docs, benchmark, key=key, text=text, **options).select(
-        F.col("doc").alias("__doc"), F.col("text_key").alias("__text_key")
-    ).distinct(), f"{folder}/held")
-    same = F.col(key).eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col(text).cast("string")) == F.col("__text_key"))
+    found = leaks(docs, benchmark, key=key, text=text, **options).select("doc", "text_key").distinct()
+    held = written(found, f"{folder}/held")
+    same = docs[key].eqNullSafe(held["doc"]) & (F.xxhash64(docs[text].cast("string")) == held["text_key"])
     return docs.join(held, same, "left_anti")
 
 

@@ -286,10 +286,10 @@ def _cross_tiles(members: DataFrame, roots: DataFrame, bits: DataFrame) -> DataF
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc``, ``text_key``, ``n_shingles``, ``node``, ``component_id``.
+    """One row per row of ``docs``: ``doc``, ``text_key``, ``n_shingles``, ``root``, ``component_id``.
 
     ``component_id`` is the smallest key that links of similarity 0.8 or more reach.  Rows
-    without words have no node and are their own component.  Rows that repeat a key or a
+    without words have no ``root``, a component's inner name, and are their own component.  Rows that repeat a key or a
     text are judged row by row; a null key is never a component's name unless all of its
     rows lack a key.  An empty table gives an empty result.
     """
@@ -330,7 +330,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     names = rooted.filter("root is not null").groupBy("root").agg(F.min("doc").alias("least"))
     named = rooted.join(names, "root", "left")
     return named.select(
-        "doc", "text_key", F.col("n").alias("n_shingles"), "node",
+        "doc", "text_key", F.col("n").alias("n_shingles"), "root",
         F.when(F.col("root").isNull(), F.col("doc")).otherwise(F.col("least")).alias("component_id"),
     )
 
@@ -342,20 +342,21 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     both key and text stay once, too.
     """
     found = written(near_duplicates(docs, key, text), f"{work_folder(docs.sparkSession, 'kept')}/found")
-    group = F.when(F.col("node").isNull(), F.struct(F.lit(0).alias("kind"), F.col("doc").alias("id")))
-    group = group.otherwise(F.struct(F.lit(1).alias("kind"), F.col("component_id").alias("id")))
+    # rows without words have no root and are told apart by their keys
+    group = F.struct("root", F.when(F.col("root").isNull(), F.col("doc")).alias("doc"))
     order = F.struct(F.col("doc").isNull().alias("keyless"), "doc", "text_key")
     best = found.groupBy(group.alias("group")).agg(F.min(order).alias("row"))
-    stay = best.select(F.col("row.doc").alias("__doc"), F.col("row.text_key").alias("__text_key"))
-    same_row = F.col(key).cast("long").eqNullSafe(F.col("__doc"))
-    same_row &= F.xxhash64(F.col(text).cast("string")) == F.col("__text_key")
-    repeats = found.groupBy(F.col("doc").alias("__doc"), F.col("text_key").alias("__text_key")).count().filter("count > 1")
-    if repeats.isEmpty():
-        return docs.join(stay, same_row, "left_semi")
-    many = repeats.drop("count")
-    once = docs.join(stay, same_row, "left_semi").join(many, same_row, "left_anti")
-    again = docs.join(stay.join(many, ["__doc", "__text_key"], "left_semi"), same_row, "left_semi")
-    return once.unionByName(again.dropDuplicates([key, text]))
+    stay = best.select("row.doc", "row.text_key")
+    row = lambda other: docs[key].cast("long").eqNullSafe(other["doc"]) & (
+        F.xxhash64(docs[text].cast("string")) == other["text_key"]
+    )
+    many = found.groupBy("doc", "text_key").count().filter("count > 1").select("doc", "text_key")
+    if many.isEmpty():
+        return docs.join(stay, row(stay), "left_semi")
+    alone, repeated = (stay.join(many, stay["doc"].eqNullSafe(many["doc"]) & (stay["text_key"] == many["text_key"]), how)
+                       for how in ("left_anti", "left_semi"))
+    again = docs.join(repeated, row(repeated), "left_semi").dropDuplicates([key, text])
+    return docs.join(alone, row(alone), "left_semi").unionByName(again)
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
