@@ -61,8 +61,9 @@ def step_number(us: Column, step: int) -> Column:
 
 
 def bound_text(end_ms: str | Column) -> Column:
-    """A window bound as text with one fractional digit at least, in the session zone."""
-    return F.date_format(F.timestamp_millis(as_col(end_ms)), "yyyy-MM-dd HH:mm:ss.S")
+    """A window bound as text with one fractional digit, or as many as its milliseconds need, in the session zone."""
+    text = F.date_format(F.timestamp_millis(as_col(end_ms)), "yyyy-MM-dd HH:mm:ss.SSS")
+    return F.regexp_replace(text, r"(\.\d\d*?)0+$", "$1")
 
 
 def local_day(us: Column, offset: str) -> Column:

@@ -179,14 +179,22 @@ def sliding_counts(
 def summarize_runs(runs: DataFrame, keys: list[str], slide: str, count: str = "count") -> DataFrame:
     """Windows, total and peak per (keys, UTC day of the window end), without expanding runs.
 
-    Needs runs that do not cross a day, as they are with blocks of whole days.
+    A run that crosses days is cut at their edges, so a row per run and day is summed.
     """
     step_ms, day_ms = duration_us(slide) // 1000, 86_400_000
-    windows = F.call_function("div", F.col("last_end") - F.col("first_end"), F.lit(step_ms)) + F.lit(1)
-    day = F.call_function("div", F.col("first_end"), F.lit(day_ms))
+    div = lambda a, b: F.call_function("div", a, F.lit(b))
+    day_of = lambda ms: div(ms - F.pmod(ms, F.lit(day_ms)), day_ms)
+    days = F.explode(F.sequence(day_of(F.col("first_end")), day_of(F.col("last_end")))).alias("day")
+    cut = runs.select(*keys, count, "first_end", "last_end", days)
+    # ends are first_end plus whole steps; those of a day lie between its two edges
+    start, last = F.col("day") * F.lit(day_ms), F.col("day") * F.lit(day_ms) + F.lit(day_ms - 1)
+    before = F.greatest(start - F.col("first_end") + F.lit(step_ms - 1), F.lit(0))
+    first_step = div(before, step_ms)
+    last_step = div(F.least(last, F.col("last_end")) - F.col("first_end"), step_ms)
     return (
-        runs.withColumn("_windows", windows)
-        .groupBy(*keys, day.alias("day"))
+        cut.withColumn("_windows", last_step - first_step + F.lit(1))
+        .filter("_windows > 0")
+        .groupBy(*keys, "day")
         .agg(
             F.sum("_windows").alias("windows"),
             F.sum(F.col("_windows") * F.col(count)).alias("total"),

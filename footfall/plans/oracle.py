@@ -253,13 +253,11 @@ ORACLES: dict[str, str] = {
         FROM behavior WHERE event_type = 'view' GROUP BY k"""),
 }
 
-#: Windows that the watermark of a stream of views has closed.
-_CLOSED = "window_end <= (SELECT max(us) // 1000 FROM behavior WHERE event_type = 'view')"
-
+#: Streams come to an end, which closes all windows.
 ORACLES |= {
-    "stream_page_views": _with(_BEHAVIOR, body=f"SELECT * FROM ({_VIEWS}) WHERE {_CLOSED}"),
-    "stream_unique_visitors": _with(_BEHAVIOR, body=f"SELECT * FROM ({_UNIQUE}) WHERE {_CLOSED}"),
-    "stream_hot_items": _with(_BEHAVIOR, body=f"SELECT * FROM ({_RENAME.format(_HOT_ITEMS)}) WHERE {_CLOSED}"),
+    "stream_page_views": ORACLES["page_views"],
+    "stream_unique_visitors": ORACLES["unique_visitors"],
+    "stream_hot_items": ORACLES["hot_items"],
     "stream_hot_items_retract": ORACLES["hot_items"],
     "stream_page_views_upsert": ORACLES["page_views"],
     "stream_interval_join": ORACLES["interval_join"],

@@ -1,8 +1,9 @@
 """Catalog queries that run as streams over the driver's tables.
 
 Each reads the table as a file stream, processes what is there, and returns what
-the stream has written to the shared folder.  Windows that the last watermark has
-not closed stay open, as in any stream.
+the stream has written to the shared folder.  Rows may be out of order by ``delay``,
+however they are cut into files and batches; later ones are kept apart (see
+``streaming.late``).  The input ends, so a closing row ends all windows and timers.
 """
 
 from __future__ import annotations
@@ -18,25 +19,40 @@ from footfall.operators.uniques import exact_uniques
 from footfall.operators.windows import tumbling_counts
 from footfall.session import pin_zone, shared_folder, state_partitions
 from footfall.streaming.changelog import apply_changes, retracting_top_n_writer
+from footfall.streaming.late import settled
 from footfall.streaming.processors import AnchoredFailures, ChainedFailures, ClickCap, run_processor
 from footfall.streaming.sinks import Writer, read_latest, run_available, top_n_writer, upsert_writer
 
-#: A micro-batch holds at most this much input, which bounds what one key can bring at once.
+#: A micro-batch of the raw input holds at most this much.  Results do not depend on it.
 BATCH_BYTES = 4 << 30
+DELAY = "1 hour"
+#: Longer than any window, day or join range below.
+CLOSE_AFTER = "2 days"
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def settled_events(
+    spark: SparkSession, sf_dir: str, label: str, delay: str = DELAY, kind: str | None = None, close: bool = True,
+    files_per_trigger: int | None = None,
+) -> tuple[DataFrame, str]:
+    """Events within the delay as a stream, and the folder that has the late ones under ``late``."""
     pin_zone(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     # a plain path must be a folder for a file stream; a pattern may also match one file
-    stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES)
-    stream = stream.parquet(f"{sf_dir}/events.parque[t]")
-    return stream.withColumn("event_time", F.col("ts").cast("timestamp"))
+    stream = spark.readStream.schema(schema)
+    if files_per_trigger:
+        stream = stream.option("maxFilesPerTrigger", files_per_trigger)
+    else:
+        stream = stream.option("maxBytesPerTrigger", BATCH_BYTES)
+    rows = stream.parquet(f"{sf_dir}/events.parque[t]").withColumn("event_time", F.col("ts").cast("timestamp"))
+    if kind:  # filtered first, so that the watermark follows these alone
+        rows = rows.filter(F.col("event_type") == kind)
+    folder = f"{shared_folder(spark, label)}/settled"
+    with state_partitions(spark):
+        return settled(rows, folder, "event_time", delay, CLOSE_AFTER if close else None, files_per_trigger), folder
 
 
-def _of_type(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Events of one type; filtered before the watermark, so that it follows these alone."""
-    return _events(spark, sf_dir).filter(F.col("event_type") == kind).withWatermark("event_time", "0 seconds")
+def _of_type(spark: SparkSession, sf_dir: str, kind: str, **options) -> DataFrame:
+    return settled_events(spark, sf_dir, kind, kind=kind, **options)[0]
 
 
 def _written(
@@ -53,44 +69,44 @@ def _written(
     return f"{folder}/out"
 
 
-def stream_page_views(spark, sf_dir):
-    counts = tumbling_counts(_of_type(spark, sf_dir, "view"), [], "event_time", "1 hour")
+def stream_page_views(spark, sf_dir, **options):
+    counts = tumbling_counts(_of_type(spark, sf_dir, "view", **options), [], "event_time", "1 hour")
     return spark.read.parquet(_written(spark, "page-views", counts))
 
 
-def stream_unique_visitors(spark, sf_dir):
-    counts = exact_uniques(_of_type(spark, sf_dir, "view"), "user_id", "event_time", "1 hour")
+def stream_unique_visitors(spark, sf_dir, **options):
+    counts = exact_uniques(_of_type(spark, sf_dir, "view", **options), "user_id", "event_time", "1 hour")
     return spark.read.parquet(_written(spark, "unique-visitors", counts))
 
 
-def _item_counts(spark, sf_dir):
+def _item_counts(spark, sf_dir, **options):
     item = F.get_json_object("props", "$.k").cast("bigint")
-    views = _of_type(spark, sf_dir, "view").select(item.alias("item_id"), "event_time")
+    views = _of_type(spark, sf_dir, "view", **options).select(item.alias("item_id"), "event_time")
     return sliding_counts(views, ["item_id"], "event_time", "1 hour", "5 minutes")
 
 
-def stream_hot_items(spark, sf_dir):
-    out = _written(spark, "hot-items", _item_counts(spark, sf_dir), make=lambda path: top_n_writer(path, "item_id", 5))
+def stream_hot_items(spark, sf_dir, **options):
+    out = _written(spark, "hot-items", _item_counts(spark, sf_dir, **options), make=lambda path: top_n_writer(path, "item_id", 5))
     return spark.read.parquet(out).select("window_end", "item_id", "count", "row_num")
 
 
-def stream_hot_items_retract(spark, sf_dir):
+def stream_hot_items_retract(spark, sf_dir, **options):
     """The ranking that the change log of the retracting stream leads to; open windows are in it."""
-    out = _written(spark, "hot-items-retract", _item_counts(spark, sf_dir), "update",
+    out = _written(spark, "hot-items-retract", _item_counts(spark, sf_dir, close=False, **options), "update",
                    lambda path: retracting_top_n_writer(path, "item_id", 5))
     changes = spark.read.parquet(f"{out}/changes")
     return apply_changes(changes, ["window_end", "row_num"]).select("window_end", "item_id", "count", "row_num")
 
 
-def stream_page_views_upsert(spark, sf_dir):
+def stream_page_views_upsert(spark, sf_dir, **options):
     """Page views kept in a keyed table by updates; open windows are in it."""
-    counts = tumbling_counts(_of_type(spark, sf_dir, "view"), [], "event_time", "1 hour")
+    counts = tumbling_counts(_of_type(spark, sf_dir, "view", close=False, **options), [], "event_time", "1 hour")
     out = _written(spark, "page-views-upsert", counts, "update", upsert_writer)
     return read_latest(spark, out, ["window_end"])
 
 
-def stream_interval_join(spark, sf_dir):
-    side = lambda kind: _of_type(spark, sf_dir, kind).select("event_id", "user_id", "event_time")
+def stream_interval_join(spark, sf_dir, **options):
+    side = lambda kind: _of_type(spark, sf_dir, kind, **options).select("event_id", "user_id", "event_time")
     pairs = interval_join(
         side("click"), side("purchase"), ("user_id", "user_id"), ("event_time", "event_time"), "-3 hours", "5 hours",
         names=("click", "purchase"),
@@ -99,26 +115,26 @@ def stream_interval_join(spark, sf_dir):
     return spark.read.parquet(_written(spark, "interval-join", ids))
 
 
-def _failures(spark, sf_dir):
-    return _events(spark, sf_dir).select(
-        "user_id", micros("event_time").alias("us"), F.col("event_id").alias("tie"),
+def _failures(spark, sf_dir, **options):
+    return settled_events(spark, sf_dir, "failures", **options)[0].select(
+        "user_id", "event_time", micros("event_time").alias("us"), F.col("event_id").alias("tie"),
         (F.col("event_type") == "error").alias("fail"),
     )
 
 
-def stream_fail_anchor(spark, sf_dir):
-    alerts = run_processor(_failures(spark, sf_dir), ["user_id"], AnchoredFailures(43_200_000_000))
+def stream_fail_anchor(spark, sf_dir, **options):
+    alerts = run_processor(_failures(spark, sf_dir, **options), ["user_id"], AnchoredFailures(43_200_000_000))
     return spark.read.parquet(_written(spark, "fail-anchor", alerts))
 
 
-def stream_fail_last_matched(spark, sf_dir):
-    alerts = run_processor(_failures(spark, sf_dir), ["user_id"], ChainedFailures(43_200_000_000))
+def stream_fail_last_matched(spark, sf_dir, **options):
+    alerts = run_processor(_failures(spark, sf_dir, **options), ["user_id"], ChainedFailures(43_200_000_000))
     return spark.read.parquet(_written(spark, "fail-last-matched", alerts))
 
 
-def stream_click_cap(spark, sf_dir):
+def stream_click_cap(spark, sf_dir, **options):
     day_offset = 28_800_000_000
-    clicks = _events(spark, sf_dir).withWatermark("event_time", "0 seconds").select(
+    clicks = settled_events(spark, sf_dir, "clicks", **options)[0].select(
         "user_id", F.col("event_type").alias("target"), micros("event_time").alias("us"),
         F.col("event_id").alias("tie"), "event_time",
     )

@@ -9,6 +9,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+#: Where local sessions keep working files if they name no folder.
+LOCAL_FOLDER = f"{tempfile.gettempdir()}/footfall-local"
+
 #: Settings the operators are designed for.  Partition counts are left to AQE:
 #: it coalesces small shuffle partitions and splits skewed join partitions.
 SETTINGS = {
@@ -31,6 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", LOCAL_FOLDER)
         # small inputs that grow inside a stage (sliding windows) keep all cores busy
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
     )
@@ -47,26 +51,33 @@ def pin_zone(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's checkpoint directory.
+    """A fresh folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    A machine-local temporary folder is used only where the session names no
-    checkpoint directory, as in local tests.
+    Only a local session, where all are one process, may leave that unset.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="footfall-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = LOCAL_FOLDER
     return f"{root.rstrip('/')}/footfall/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager
 def state_partitions(spark: SparkSession, per_core: int = 1) -> Iterator[None]:
-    """Streams started inside get state partitions by the number of cores.
+    """Streams started inside get state partitions by the number of cores, where nobody has chosen one.
 
     Stateful stages are not coalesced at run time, and the number of a stream's
-    partitions is fixed by its first start, so it should not be left to a default.
+    partitions is fixed by its first start.  A number that the caller has set stays;
+    Spark's default does not suit a local session.
     """
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(max(spark.sparkContext.defaultParallelism * per_core, 1)))
+    chosen = before != "200" or not spark.sparkContext.master.startswith("local")
+    if not chosen:
+        spark.conf.set(name, str(max(spark.sparkContext.defaultParallelism * per_core, 1)))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        if not chosen:
+            spark.conf.set(name, before)

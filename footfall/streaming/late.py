@@ -2,38 +2,85 @@
 
 Spark drops rows behind the watermark without a trace.  Here they are set apart
 before any aggregation, against the largest event time of earlier batches, which
-is when Spark's own watermark moves too.
+is when Spark's own watermark moves too.  What is kept goes to a table that the
+stateful query reads as a stream: it never holds a row behind its watermark.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions.times import duration_us, floor_to, micros
-from footfall.streaming.sinks import Writer, _store
+from footfall.functions.times import duration_us, floor_to, micros, micros_to_ts
+from footfall.streaming.sinks import Writer, _store, run_available
 
 
-def late_splitting_writer(path: str, ts: str, delay: str, size: str, slide: str, lateness: str) -> Writer:
-    """Stores rows under ``main`` and those late for all their windows under ``late``."""
-    size_us, slide_us = duration_us(size), duration_us(slide)
-    delay_us, lateness_us = duration_us(delay), duration_us(lateness)
+def _splitter(path: str, ts: str, is_late: Callable[[Column], Column]) -> Writer:
+    """Stores a batch's rows under ``main`` or ``late``; ``is_late`` gets the largest time (µs) of
+    earlier batches, NULL in the first one.  A batch reads one row of the batch before it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        seen = None
+        spark, seen = batch.sparkSession, None
         if batch_id > 0:
-            peaks = spark.read.parquet(f"{path}/peaks").filter(F.col("batch_id") < batch_id)
-            seen = peaks.agg(F.max("peak")).first()[0]
-        last_end = floor_to(micros(ts), slide_us) + F.lit(size_us)
-        watermark = F.lit(None).cast("bigint") if seen is None else F.lit(seen - delay_us)
-        is_late = F.coalesce(last_end - F.lit(1_000) + F.lit(lateness_us) <= watermark, F.lit(False))
+            seen = spark.read.parquet(f"{path}/peaks/batch_id={batch_id - 1}").first()[0]
+        late = F.coalesce(is_late(F.lit(seen).cast("bigint")), F.lit(False))
         batch.persist()
         try:
-            _store(batch.filter(~is_late), f"{path}/main", batch_id)
-            _store(batch.filter(is_late), f"{path}/late", batch_id)
-            _store(batch.agg(F.max(micros(ts)).alias("peak")), f"{path}/peaks", batch_id)
+            _store(batch.filter(~late), f"{path}/main", batch_id)
+            _store(batch.filter(late), f"{path}/late", batch_id)
+            peak = F.greatest(F.max(micros(ts)), F.lit(seen).cast("bigint"))
+            _store(batch.agg(peak.alias("peak")), f"{path}/peaks", batch_id)
         finally:
             batch.unpersist()
 
     return write
+
+
+def late_rows_writer(path: str, ts: str, delay: str) -> Writer:
+    """Rows at or behind the watermark, ``delay`` before the largest time of earlier batches, are late."""
+    delay_ms = duration_us(delay) // 1000
+
+    def is_late(seen: Column) -> Column:
+        watermark_ms = F.call_function("div", seen, F.lit(1000)) - F.lit(delay_ms)
+        return micros(ts) <= watermark_ms * F.lit(1000)
+
+    return _splitter(path, ts, is_late)
+
+
+def settled(
+    stream: DataFrame, path: str, ts: str, delay: str, close_after: str | None = None, files_per_trigger: int | None = None
+) -> DataFrame:
+    """What ``stream`` holds now without its late rows, as a stream with a watermark of ``delay``.
+
+    Rows that are out of order by less than ``delay`` are kept however the input is cut
+    into files and batches; the others are under ``path``/late.  With ``close_after`` a row
+    of NULLs follows, that much later than the watermark's reach, as a source's end would:
+    it closes all windows and timers of up to that length.  Rows without a time are kept.
+    """
+    spark = stream.sparkSession
+    run_available(stream, f"{path}/splitting", writer=late_rows_writer(path, ts, delay))
+    main = f"{path}/main"
+    if close_after:
+        last, peak = spark.read.parquet(f"{path}/peaks").agg(F.max("batch_id"), F.max("peak")).first()
+        if peak is not None:
+            end = micros_to_ts(F.lit(peak + duration_us(delay) + duration_us(close_after)))
+            nulls = [end.alias(c) if c == ts else F.lit(None).cast(t).alias(c) for c, t in stream.dtypes]
+            _store(spark.range(1).select(*nulls), main, last + 1)
+    source = spark.readStream.schema(stream.schema)
+    if files_per_trigger:
+        source = source.option("maxFilesPerTrigger", files_per_trigger)
+    return source.parquet(f"{main}/batch_id=*").withWatermark(ts, delay)
+
+
+def late_splitting_writer(path: str, ts: str, delay: str, size: str, slide: str, lateness: str) -> Writer:
+    """Stores rows under ``main`` and those late for all their windows under ``late``."""
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    delay_us, lateness_us = duration_us(delay), duration_us(lateness)
+
+    def is_late(seen: Column) -> Column:
+        last_end = floor_to(micros(ts), slide_us) + F.lit(size_us)
+        return last_end - F.lit(1_000) + F.lit(lateness_us) <= seen - F.lit(delay_us)
+
+    return _splitter(path, ts, is_late)

@@ -1,12 +1,15 @@
 """Keyed state machines for streams, on ``transformWithStateInPandas``.
 
-Each processor holds a handful of values per key, never the key's rows.  Input
-frames carry ``us`` (event time, µs) and ``tie``; the rows of a batch are taken in
-that order.  ``run_processor`` wires a processor to a stream.
+Input frames carry ``us`` (event time, µs) and ``tie``.  An ``OrderedProcessor`` keeps
+rows until the watermark has passed them and takes them in that order, so its result
+does not depend on batches; a ``KeyedProcessor`` takes them as they arrive, the rows
+of a batch in that order.  Beyond waiting rows, either holds a handful of values per
+key.  ``run_processor`` wires a processor to a stream.
 """
 
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Iterator
 from typing import Any
 
@@ -77,13 +80,63 @@ def run_processor(stream: DataFrame, key: list[str], processor: KeyedProcessor,
     )
 
 
-class AnchoredFailures(KeyedProcessor):
+class OrderedProcessor(KeyedProcessor):
+    """Takes rows in event time: they wait until no earlier one can come.
+
+    ``columns`` are what ``on_row`` needs of a row, ``us`` and ``tie`` first.  Rows of
+    a NULL key are left out, as the batch operators leave them out.
+    """
+
+    columns: str = ""
+    time_mode = "eventTime"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.waiting = handle.getListState("waiting", self.columns)
+        self.names = [field.split()[0] for field in self.columns.split(", ")]
+        self.row = namedtuple("Row", self.names)
+        super().init(handle)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for frame in rows:
+            if None in key or frame.empty:
+                continue
+            kept = frame[self.names].dropna(subset=["us"]).astype(object)
+            if len(kept):
+                self.waiting.appendList(list(kept.itertuples(index=False, name=None)))
+                low = int(kept["us"].min())
+                first = low if first is None else min(first, low)
+        if first is not None:
+            self.handle.registerTimer(_due_ms(first))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now_us = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[:2]) if self.waiting.exists() else []
+        ready = sum(r[0] <= now_us for r in rows)
+        out = [o for r in rows[:ready] for o in self.on_row(key, self.row(*r))]
+        if ready:
+            rest = rows[ready:]
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(_due_ms(rest[0][0]))
+            else:
+                self.waiting.clear()
+        out += self.on_watermark(key, now_us)
+        yield from self._frame(out)
+
+    def on_watermark(self, key, now_us: int) -> Iterator[tuple]:
+        return iter(())
+
+
+class AnchoredFailures(OrderedProcessor):
     """Warns of each failure less than ``within_us`` after the first of its streak.
 
     Wants a boolean ``fail``.  State: first failure and length of the open streak.
     """
 
     output = "user_id bigint, first_us bigint, last_us bigint, msg string"
+    columns = "us bigint, tie bigint, fail boolean"
 
     def __init__(self, within_us: int, label: str = "login fail in 2s for %d times."):
         self.within_us, self.label = within_us, label
@@ -103,10 +156,11 @@ class AnchoredFailures(KeyedProcessor):
             self.streak.update((first_us, size + 1))
 
 
-class ChainedFailures(KeyedProcessor):
+class ChainedFailures(OrderedProcessor):
     """Warns of each failure at most ``within_us`` after the remembered one, which moves on a match only."""
 
     output = "user_id bigint, first_us bigint, last_us bigint, msg string"
+    columns = "us bigint, tie bigint, fail boolean"
 
     def __init__(self, within_us: int, label: str = "login fail"):
         self.within_us, self.label = within_us, label
@@ -169,15 +223,15 @@ class FailureBursts(KeyedProcessor):
             yield from self._end(key)
 
 
-class ClickCap(KeyedProcessor):
+class ClickCap(OrderedProcessor):
     """Passes ``cap`` rows of a key per day, warns once, drops the rest.
 
-    Days are those of ``day`` (a day number computed from the event); the count is
-    also cleared when the day ends, so idle keys keep no state.
+    Days are those of ``day`` (a day number computed from the event).  As rows come in
+    event time, one day is open at a time; its count goes when the day has ended.
     """
 
     output = "user_id bigint, target string, tie bigint, tag string"
-    time_mode = "eventTime"
+    columns = "us bigint, tie bigint, day bigint"
 
     def __init__(self, cap: int, day_offset_us: int):
         self.cap, self.day_offset_us = cap, day_offset_us
@@ -189,20 +243,17 @@ class ClickCap(KeyedProcessor):
         day, size = int(row.day), 0
         if self.seen.exists():
             stored_day, stored = self.seen.get()
-            if day < stored_day:
-                # the day of this row is over; its count is gone
-                return
             size = stored if day == stored_day else 0
         if size == 0:
-            self.handle.registerTimer(((day + 1) * 86_400_000_000 - self.day_offset_us) // 1000)
+            self.handle.registerTimer(_due_ms((day + 1) * 86_400_000_000 - self.day_offset_us))
         if size < self.cap:
             yield (key[0], key[1], int(row.tie), "pass")
         elif size == self.cap:
             yield (key[0], key[1], int(row.tie), "blacklist")
         self.seen.update((day, size + 1))
 
-    def on_timer(self, key, at_ms):
-        if self.seen.exists() and self.seen.get()[0] < (at_ms * 1000 + self.day_offset_us) // 86_400_000_000:
+    def on_watermark(self, key, now_us):
+        if self.seen.exists() and self.seen.get()[0] < (now_us + self.day_offset_us) // 86_400_000_000:
             self.seen.clear()
         return iter(())
 
