@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ LIST_ROWS, MOST_LISTS, SAMPLE = 512, 1024, 16_384
 #: Rows and queries of a tile.
 BLOCK, QUERY_BLOCK = 4096, 512
 LINKS, BEAM = 12, 8
+#: Rows of results that a task merges, about 24 bytes each.
+HELD_ROWS = 1_000_000
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -117,11 +120,11 @@ def _norm(v: str) -> Column:
 def _tile_products(tiles: DataFrame, width: int, most: int) -> DataFrame:
     """In each tile, of every query its best postings with their products."""
 
-    def best(data: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def best(data: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
         asks = data["side"] == 1
         q, v, qid, vid = data["v"][asks], data["v"][~asks], data["id"][asks], data["id"][~asks]
         if not len(q) or not len(v):
-            return
+            return None
         rough = q @ v.T
         rough[qid[:, None] == vid[None]] = -np.inf
         if len(v) > most:
@@ -133,15 +136,30 @@ def _tile_products(tiles: DataFrame, width: int, most: int) -> DataFrame:
         r, c = np.nonzero((rough >= (floor - slack)[:, None]) & np.isfinite(rough))
         # component after component, as a reader would add them
         score = np.cumsum(q[r] * v[c], axis=1)[:, -1] if len(r) else np.zeros(0)
-        order = np.lexsort((vid[c], -score, r))
-        r, c, score = r[order], c[order], score[order]
-        place = np.arange(len(r)) - np.searchsorted(r, r, "left")
-        keep = place < most
-        yield pa.RecordBatch.from_arrays([pa.array(qid[r[keep]]), pa.array(vid[c[keep]]), pa.array(score[keep])], names=["query", "id", "score"])
+        return first_of_each(qid[r], vid[c], score)
+
+    def first_of_each(q: np.ndarray, v: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The best of each query; a posting that several lists hold counts once."""
+        order = np.lexsort((v, -score, q))
+        q, v, score = q[order], v[order], score[order]
+        new = np.concatenate([[True], (q[1:] != q[:-1]) | (v[1:] != v[:-1])])[: len(q)]
+        q, v, score = q[new], v[new], score[new]
+        keep = np.arange(len(q)) - np.searchsorted(q, q, "left") < most
+        return q[keep], v[keep], score[keep]
+
+    def merged(held: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return first_of_each(*(np.concatenate([h[i] for h in held]) for i in range(3)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
+        rest, held, size = None, [], 0
+        record = lambda rows: pa.RecordBatch.from_arrays([pa.array(x) for x in rows], names=["query", "id", "score"])
+
+        def tiles_of(batch: pa.RecordBatch | None) -> Iterator[dict[str, np.ndarray]]:
+            nonlocal rest
+            if batch is None:
+                if rest is not None and len(rest["id"]):
+                    yield rest
+                return
             data = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("list", "x", "y", "side", "id")}
             data["v"] = _matrix(batch.column("v"), width)
             if rest is not None:
@@ -149,10 +167,23 @@ def _tile_products(tiles: DataFrame, width: int, most: int) -> DataFrame:
             keys = np.stack([data[k] for k in ("list", "x", "y")])
             cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                yield from best({k: x[a:b] for k, x in data.items()})
+                yield {k: x[a:b] for k, x in data.items()}
             rest = {k: x[cuts[-1] :] for k, x in data.items()}
-        if rest is not None and len(rest["id"]):
-            yield from best(rest)
+
+        # the tiles of a partition are merged before they leave it, in bounded memory
+        for batch in chain(batches, [None]):
+            for found in map(best, tiles_of(batch)):
+                if found is not None:
+                    held.append(found)
+                    size += len(found[0])
+                if size > 2 * HELD_ROWS:
+                    held = [merged(held)]
+                    size = len(held[0][0])
+                    if size > HELD_ROWS:
+                        yield record(held[0])
+                        held, size = [], 0
+        if held:
+            yield record(merged(held))
 
     dealt = tiles.repartition("list", "x", "y").sortWithinPartitions("list", "x", "y")
     return dealt.mapInArrow(scan, "query long, id long, score double")
