@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm.common import sliced, table
-from footfall.llm.tokens import encode, tokenizer_path
+from footfall.llm.tokens import encode, remembered, tokenizer_path
 
 
 def section_ends(text: str, separator: str = "\n") -> np.ndarray:
@@ -81,6 +81,8 @@ def section_tokens(
                     names=["key", "section", "first_char", "end_char", "n_tokens", "crossing"],
                 )
 
+        remembered.cache_clear()  # the worker lives on and does other work
+
     kind = rows.schema["key"].dataType.simpleString()
     counted = rows.mapInArrow(
         count, f"key {kind}, section long, first_char long, end_char long, n_tokens long, crossing long"

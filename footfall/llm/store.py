@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.common import sliced, table, work_folder
 from footfall.llm.mph import PerfectHash, fingerprints
-from footfall.llm.tokens import encode, load, tokenizer_path
+from footfall.llm.tokens import encode, load, remembered, tokenizer_path
 
 MAGIC, END = 0x31_5344_4953_4B54, 1
 MANIFEST = "shard int, documents long, ids long, first_key long, last_key long, start long"
@@ -114,7 +114,7 @@ class Shard:
 
 def write_store(
     docs: DataFrame, folder: str, tokenizer: str | None = None, key: str = "doc_id", text: str = "text",
-    shard_chars: int = 16 << 20,
+    shard_chars: int = 48 << 20,
 ) -> DataFrame:
     """Encodes every whole text and writes the store; returns the manifest.
 
@@ -144,6 +144,7 @@ def write_store(
                 yield ids.astype(f"<u{width}").tobytes()
 
         _put(folder, f"shard-{shard}.ids", payload())
+        remembered.cache_clear()  # the worker lives on and does other work
         if not keys:
             return
         index = Shard.build(width, np.concatenate(keys), np.concatenate(keyed), np.concatenate(counts))
