@@ -227,16 +227,25 @@ ORACLES: dict[str, str] = {
         FROM bought"""),
     "order_status": _with(
         _BEHAVIOR,
-        """firsts AS (
-          SELECT user_id,
-                 min(us) FILTER (event_type = 'signup') AS c, min(us) FILTER (event_type = 'purchase') AS p
-          FROM behavior WHERE event_type IN ('signup', 'purchase') GROUP BY user_id
+        """orders AS (
+          SELECT user_id, us, CASE event_type WHEN 'signup' THEN 0 ELSE 1 END AS k, event_id
+          FROM behavior WHERE event_type IN ('signup', 'purchase')
+        )""",
+        """placed AS (
+          SELECT o.*,
+                 (SELECT arg_min({'k': n.k, 'us': n.us}, (n.us, n.k, n.event_id)) FROM orders n
+                  WHERE n.user_id = o.user_id AND (n.us, n.k, n.event_id) > (o.us, o.k, o.event_id)) AS after,
+                 (SELECT arg_max(p.k, (p.us, p.k, p.event_id)) FROM orders p
+                  WHERE p.user_id = o.user_id AND (p.us, p.k, p.event_id) < (o.us, o.k, o.event_id)) AS before
+          FROM orders o
         )""",
         body="""
-        SELECT user_id, 'payed' AS status FROM firsts WHERE p >= c AND p - c <= 43200000000
-        UNION ALL SELECT user_id, 'payed but already timeout' FROM firsts WHERE p - c > 43200000000
-        UNION ALL SELECT user_id, 'timeout' FROM firsts WHERE c IS NOT NULL AND (p IS NULL OR p < c)
-        UNION ALL SELECT user_id, 'payed but not created' FROM firsts WHERE p IS NOT NULL AND (c IS NULL OR p < c)"""),
+        SELECT user_id, 'payed' AS status FROM placed WHERE k = 0 AND after.k = 1 AND after.us - us <= 43200000000
+        UNION ALL SELECT user_id, 'payed but already timeout' FROM placed
+          WHERE k = 0 AND after.k = 1 AND after.us - us > 43200000000
+        UNION ALL SELECT user_id, 'timeout' FROM placed
+          WHERE k = 0 AND (after IS NULL OR after.k = 0 AND after.us - us > 43200000000)
+        UNION ALL SELECT user_id, 'payed but not created' FROM placed WHERE k = 1 AND coalesce(before, 1) = 1"""),
     "interval_join": _with(_BEHAVIOR, _PAIRS, body="SELECT * FROM pairs"),
     "reconcile": _with(_BEHAVIOR, _PAIRS, body="""
         SELECT click_id, purchase_id, 'matched' AS tag FROM pairs

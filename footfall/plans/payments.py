@@ -19,9 +19,9 @@ def payment_sequence(orders: DataFrame, tie: str, within: str = "15 minutes") ->
     return matches.select("order_id", status.alias("status"))
 
 
-def payment_status(orders: DataFrame, within: str = "15 minutes") -> DataFrame:
+def payment_status(orders: DataFrame, within: str = "15 minutes", tie: str = "event_type") -> DataFrame:
     kind = F.col("event_type")
-    return order_status(orders, "order_id", "event_time", kind == "create", kind == "pay", within)
+    return order_status(orders, "order_id", "event_time", tie, kind == "create", kind == "pay", within)
 
 
 def payments(orders: DataFrame) -> DataFrame:

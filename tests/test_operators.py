@@ -328,13 +328,18 @@ def test_order_status(spark):
         (4, "pay", 0),
         (5, "pay", 0), (5, "create", 10), (7, "pay", 4), (7, "create", 4),
         (6, "create", 0), (6, "pay", 5), (6, "pay", 2000), (6, "other", 1),
+        # repeats: paid, re-armed and paid, a lone pay, timed out before the next, timed out at the end
+        (8, "create", 0), (8, "pay", 5), (8, "create", 10), (8, "create", 20), (8, "pay", 915), (8, "pay", 916),
+        (8, "create", 2000), (8, "create", 3000),
     ]
     df = spark.createDataFrame([(o, k, at(s), n) for n, (o, k, s) in enumerate(events)], "id bigint, kind string, ts timestamp, n int")
-    got = order_status(df, "id", "ts", F.col("kind") == "create", F.col("kind") == "pay")
-    assert rows(got, "id", "status") == [
-        (1, "payed"), (2, "payed but already timeout"), (3, "timeout"), (4, "payed but not created"),
-        (5, "payed but not created"), (5, "timeout"), (6, "payed"), (7, "payed"),
-    ]
+    for hot_rows in (100, 2):
+        got = order_status(df, "id", "ts", "n", F.col("kind") == "create", F.col("kind") == "pay", hot_rows=hot_rows)
+        assert rows(got, "id", "status") == [
+            (1, "payed"), (2, "payed but already timeout"), (3, "timeout"), (4, "payed but not created"),
+            (5, "payed but not created"), (5, "timeout"), (6, "payed"), (6, "payed but not created"), (7, "payed"),
+            (8, "payed"), (8, "payed"), (8, "payed but not created"), (8, "timeout"), (8, "timeout"),
+        ]
 
 
 # --- two tables ------------------------------------------------------------
@@ -402,3 +407,21 @@ def test_durations_and_bounds(spark):
         duration_us("")
     df = spark.createDataFrame([(BASE * 1000,), (BASE * 1000 + 500,)], "ms bigint").select(bound_text("ms").alias("t"))
     assert rows(df, "t") == [("2024-01-01 00:00:00.0",), ("2024-01-01 00:00:00.5",)]
+
+
+def test_bound_text_keeps_milliseconds(spark):
+    ends = [(BASE * 1000 + ms,) for ms in (0, 1, 120, 250, 1250)]
+    got = [r.t[-4:].lstrip("0:") for r in spark.createDataFrame(ends, "ms bigint").select(bound_text("ms").alias("t")).collect()]
+    assert [g[g.index("."):] for g in got] == [".0", ".001"[-4:], ".12", ".25", ".25"]
+
+
+def test_summaries_cut_runs_at_midnight(spark):
+    from footfall.operators import summarize_runs
+
+    df = spark.createDataFrame([("k", at(86_400 * 3 + 30))], "key string, ts timestamp")
+    runs = sliding_count_runs(df, ["key"], "ts", "2 days", "1 hour")
+    want = sliding_counts(df, ["key"], "ts", "2 days", "1 hour").groupBy("key", F.expr("window_end div 86400000").alias("day"))
+    want = want.agg(F.count("*").alias("windows"), F.sum("count").alias("total"), F.max("count").alias("peak"))
+    got = summarize_runs(runs, ["key"], "1 hour")
+    cols = ["day", "windows", "total", "peak"]
+    assert rows(got, *cols) == rows(want, *cols) and got.count() == 3
