@@ -425,3 +425,17 @@ def test_summaries_cut_runs_at_midnight(spark):
     got = summarize_runs(runs, ["key"], "1 hour")
     cols = ["day", "windows", "total", "peak"]
     assert rows(got, *cols) == rows(want, *cols) and got.count() == 3
+
+
+def test_an_outlier_does_not_undo_the_cut_of_a_hot_key(spark):
+    from footfall.operators.blocks import split_hot_keys
+
+    times = F.when(F.col("id") == 7, 0).otherwise(BASE * 1_000_000 + F.col("id") * 1000)
+    rows_ = spark.range(20_000).select(F.lit(1).alias("k"), times.cast("bigint").alias("us"))
+    rows_ = rows_.unionByName(spark.range(5).select(F.lit(2).alias("k"), F.col("id").alias("us")))
+    sizes = {(r.k, r._block): r["count"] for r in split_hot_keys(rows_, ["k"], "us", 1000).groupBy("k", "_block").count().collect()}
+    assert sum(sizes.values()) == 20_005 and sizes[2, 0] == 5
+    assert max(sizes.values()) <= 2000 and len(sizes) >= 19
+    same = spark.range(3000).select(F.lit(1).alias("k"), F.when(F.col("id") < 2000, 5).otherwise(F.col("id")).alias("us"))
+    counts = split_hot_keys(same, ["k"], "us", 500).groupBy("_block").count().collect()
+    assert sum(r["count"] for r in counts) == 3000 and max(r["count"] for r in counts) <= 2500

@@ -64,7 +64,7 @@ def test_ranks_are_limited_before_the_shuffle(plans, name):
 
 
 def test_counts_hash_and_combine_before_the_shuffle(plans):
-    for name in ("page_views", "order_status", "channel_counts"):
+    for name in ("page_views", "channel_counts"):
         assert "HashAggregate" in plans[name] and "partial_" in plans[name] and "SortAggregate" not in plans[name]
 
 
