@@ -43,7 +43,6 @@ ORDER_WITHIN = "12 hours"
 # a jitter of up to an hour, fixed per event, makes an arrival order with late rows
 JITTER = "event_id * 7919 % 3600 * 1000000"
 LATE = dict(delay="1 minute", size="10 minutes", slide="5 seconds", lateness="5 minutes")
-HOUR_US = 3_600_000_000
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +94,7 @@ def hot_pages_daily(spark, sf_dir):
 
 def _late_events(df: DataFrame) -> DataFrame:
     arrival = micros("event_time") + F.expr(JITTER)
-    return split_late(df, "event_time", arrival, "event_id", block=HOUR_US, **LATE)
+    return split_late(df, "event_time", arrival, "event_id", **LATE)
 
 
 def late_split(spark, sf_dir):

@@ -376,12 +376,15 @@ def test_reconcile(log, lower, upper):
 # --- late rows -------------------------------------------------------------
 
 
-@pytest.mark.parametrize("block", [1, 50, 10_000])
-def test_late_rows(spark, block):
+@pytest.mark.parametrize("spread", ["even", "outlier", "burst"])
+def test_late_rows(spark, spread, monkeypatch):
+    monkeypatch.setattr("footfall.operators.late.BLOCK_ROWS", 100)
     rnd = random.Random(3)
     data = [(i, 2 * i - rnd.choice([0, 0, 0, rnd.randrange(400)])) for i in range(2000)]
     df = spark.createDataFrame([(i, at(s)) for i, s in data], "id bigint, ts timestamp").repartition(5)
-    got = split_late(df, "ts", "id", "id", "1 second", "60 seconds", "10 seconds", "30 seconds", block)
+    # the arrival order is that of the ids, however arrivals are spread over time
+    arrival = {"even": "id", "outlier": "if(id = 1999, 1000000000000, id)", "burst": "id div 1500"}[spread]
+    got = split_late(df, "ts", F.expr(arrival), "id", "1 second", "60 seconds", "10 seconds", "30 seconds")
     want, counts, seen = [], Counter(), None
     for i, s in data:
         wm = None if seen is None else seen - 1000
