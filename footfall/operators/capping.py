@@ -12,6 +12,8 @@ from footfall.operators.blocks import batch_only
 from footfall.operators.topn import rank_within
 
 PASS, BLACKLIST = "pass", "blacklist"
+#: Fixed value: the warning's text.
+WARNING = "click over {} times today"
 
 
 def click_cap(
@@ -45,4 +47,4 @@ def passed(tagged: DataFrame) -> DataFrame:
 
 
 def blacklist(tagged: DataFrame, key: Sequence[str], cap: int = 100) -> DataFrame:
-    return tagged.filter(F.col("tag") == BLACKLIST).select(*key, F.lit(f"click over {cap} times today").alias("msg"))
+    return tagged.filter(F.col("tag") == BLACKLIST).select(*key, F.lit(WARNING.format(cap)).alias("msg"))

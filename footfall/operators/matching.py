@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions.times import duration_us, micros, step_number
 
+#: The names of the outputs.
 MATCHED, LEFT_ONLY, RIGHT_ONLY = "matched", "unmatched-pays", "unmatched-receipts"
 
 

@@ -18,6 +18,10 @@ from footfall.functions.times import duration_us, micros, micros_to_ts
 from footfall.operators.blocks import BLOCK, batch_only, split_hot_keys, with_block
 
 
+#: The texts of the warnings of streaks within two seconds.
+ANCHORED_TEXT, CHAINED_TEXT = "login fail in 2s for %d times.", "login fail"
+
+
 def failure_streaks(
     df: DataFrame,
     key: Sequence[str],
@@ -146,7 +150,7 @@ def anchored_alerts(
     within: str = "2 seconds",
     block: str | None = None,
     hot_rows: int = 5_000_000,
-    label: str = "login fail in 2s for %d times.",
+    label: str = ANCHORED_TEXT,
 ) -> DataFrame:
     """A warning for each failure less than ``within`` after the first of its streak.
 
@@ -171,7 +175,7 @@ def chained_alerts(
     within: str = "2 seconds",
     block: str | None = None,
     hot_rows: int = 5_000_000,
-    label: str = "login fail",
+    label: str = CHAINED_TEXT,
 ) -> DataFrame:
     """A warning for each failure at most ``within`` after the last matched one of its streak.
 
