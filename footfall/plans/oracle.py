@@ -267,6 +267,8 @@ ORACLES |= {
     "stream_page_views": ORACLES["page_views"],
     "stream_unique_visitors": ORACLES["unique_visitors"],
     "stream_hot_items": ORACLES["hot_items"],
+    "stream_hot_pages": ORACLES["hot_pages"],
+    "stream_channel_counts_daily": ORACLES["channel_counts_daily"],
     "stream_hot_items_retract": ORACLES["hot_items"],
     "stream_page_views_upsert": ORACLES["page_views"],
     "stream_interval_join": ORACLES["interval_join"],

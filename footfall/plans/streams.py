@@ -10,16 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions import micros
-from footfall.operators import interval_join, sliding_counts
+from footfall.operators import interval_join, sliding_counts, summarize_runs, top_n
 from footfall.operators.uniques import exact_uniques
-from footfall.operators.windows import tumbling_counts
+from footfall.operators.windows import expand_runs, tumbling_counts
 from footfall.session import pin_zone, shared_folder, state_partitions
 from footfall.streaming.changelog import apply_changes, retracting_top_n_writer
 from footfall.streaming.late import settled
+from footfall.streaming.panes import close_windows, sliding_writer
 from footfall.streaming.processors import AnchoredFailures, ChainedFailures, ClickCap, run_processor
 from footfall.streaming.sinks import Writer, read_latest, run_available, top_n_writer, upsert_writer
 
@@ -31,7 +32,7 @@ CLOSE_AFTER = "2 days"
 
 
 def settled_events(
-    spark: SparkSession, sf_dir: str, label: str, delay: str = DELAY, kind: str | None = None, close: bool = True,
+    spark: SparkSession, sf_dir: str, label: str, delay: str = DELAY, kind: Column | None = None, close: bool = True,
     files_per_trigger: int | None = None,
 ) -> tuple[DataFrame, str]:
     """Events within the delay as a stream, and the folder that has the late ones under ``late``."""
@@ -44,15 +45,15 @@ def settled_events(
     else:
         stream = stream.option("maxBytesPerTrigger", BATCH_BYTES)
     rows = stream.parquet(f"{sf_dir}/events.parque[t]").withColumn("event_time", F.col("ts").cast("timestamp"))
-    if kind:  # filtered first, so that the watermark follows these alone
-        rows = rows.filter(F.col("event_type") == kind)
+    if kind is not None:  # filtered first, so that the watermark follows these alone, and the closing row stays
+        rows = rows.filter(kind)
     folder = f"{shared_folder(spark, label)}/settled"
     with state_partitions(spark):
         return settled(rows, folder, "event_time", delay, CLOSE_AFTER if close else None, files_per_trigger), folder
 
 
 def _of_type(spark: SparkSession, sf_dir: str, kind: str, **options) -> DataFrame:
-    return settled_events(spark, sf_dir, kind, kind=kind, **options)[0]
+    return settled_events(spark, sf_dir, kind, kind=F.col("event_type") == kind, **options)[0]
 
 
 def _written(
@@ -144,6 +145,33 @@ def stream_click_cap(spark, sf_dir, **options):
     return out.select("user_id", F.col("target").alias("event_type"), F.col("tie").alias("event_id"), "tag")
 
 
+def _swept(spark, label, panes, keys, size, slide, then=None):
+    folder = f"{shared_folder(spark, label)}"
+    with state_partitions(spark):
+        run_available(panes, f"{folder}/checkpoint", writer=sliding_writer(f"{folder}/windows", keys, size, slide, then))
+    return close_windows(spark, f"{folder}/windows", keys, size, slide, then)
+
+
+def stream_hot_pages(spark, sf_dir, **options):
+    """The three most requested pages of ten minutes, every five seconds."""
+    url = F.get_json_object("props", "$.k").cast("bigint")
+    views = _of_type(spark, sf_dir, "view", **options).select(url.alias("url"), "event_time")
+    panes = tumbling_counts(views, ["url"], "event_time", "5 seconds")
+    ranked = lambda runs: top_n(expand_runs(runs, "5 seconds"), "url", 3)
+    out = _swept(spark, "hot-pages", panes, ["url"], "10 minutes", "5 seconds", ranked)
+    return out.select("window_end", "url", "count", "row_num")
+
+
+def stream_channel_counts_daily(spark, sf_dir, **options):
+    """Windows of an hour every five seconds by channel and behaviour, summed up by day."""
+    channel = (F.get_json_object("props", "$.k").cast("bigint") % 3).alias("channel")
+    rows = settled_events(spark, sf_dir, "channels", kind=F.col("event_type") != "unstall", **options)[0]
+    rows = rows.select(channel, F.col("event_type").alias("behavior"), "event_time")
+    panes = tumbling_counts(rows, ["channel", "behavior"], "event_time", "5 seconds")
+    runs = _swept(spark, "channels", panes, ["channel", "behavior"], "1 hour", "5 seconds")
+    return summarize_runs(runs, ["channel", "behavior"], "5 seconds")
+
+
 STREAM_QUERIES = {
     "stream_page_views": stream_page_views,
     "stream_unique_visitors": stream_unique_visitors,
@@ -154,4 +182,6 @@ STREAM_QUERIES = {
     "stream_fail_anchor": stream_fail_anchor,
     "stream_fail_last_matched": stream_fail_last_matched,
     "stream_click_cap": stream_click_cap,
+    "stream_hot_pages": stream_hot_pages,
+    "stream_channel_counts_daily": stream_channel_counts_daily,
 }
