@@ -15,6 +15,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -70,8 +71,29 @@ class KeyedProcessor(StatefulProcessor):
         pass
 
 
+#: What stands for NULL on the way to Python, where a NULL would turn a batch's integers to floats.
+_FILL = {"bigint": 0, "int": 0, "boolean": False, "string": ""}
+_KEYLESS = "_keyless"
+
+
+def _filled(stream: DataFrame, key: list[str], columns: str) -> DataFrame:
+    """Rows with a time, without NULLs in keys and columns; rows that lack a key are marked.
+
+    They are not filtered out: a filter would move below the watermark, which they may advance.
+    """
+    types = dict(stream.dtypes)
+    fill = lambda c: F.coalesce(c, F.lit(_FILL[types[c]]).cast(types[c]))
+    names = dict.fromkeys([*key, *(field.split()[0] for field in columns.split(", "))])
+    missing = F.lit(False)
+    for c in key:
+        missing = missing | F.col(c).isNull()
+    return stream.filter(F.col("us").isNotNull()).withColumns({_KEYLESS: missing, **{c: fill(c) for c in names}})
+
+
 def run_processor(stream: DataFrame, key: list[str], processor: KeyedProcessor, mode: str = "append") -> DataFrame:
     use_rocksdb(stream.sparkSession)
+    if isinstance(processor, OrderedProcessor):
+        stream, key = _filled(stream, key, processor.columns), [*key, _KEYLESS]
     return stream.groupBy(*key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.output,
@@ -84,7 +106,8 @@ class OrderedProcessor(KeyedProcessor):
     """Takes rows in event time: they wait until no earlier one can come.
 
     ``columns`` are what ``on_row`` needs of a row, ``us`` and ``tie`` first.  Rows of
-    a NULL key are left out, as the batch operators leave them out.
+    a NULL key are left out, as the batch operators leave them out; ``run_processor``
+    adds to the key whether it is one.
     """
 
     columns: str = ""
@@ -99,10 +122,8 @@ class OrderedProcessor(KeyedProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for frame in rows:
-            if None in key or frame.empty:
-                continue
-            kept = frame[self.names].dropna(subset=["us"]).astype(object)
-            if len(kept):
+            kept = frame[self.names].astype(object)
+            if len(kept) and not key[-1]:
                 self.waiting.appendList(list(kept.itertuples(index=False, name=None)))
                 low = int(kept["us"].min())
                 first = low if first is None else min(first, low)

@@ -223,6 +223,7 @@ def failures(behavior):
 def test_failure_alerts(spark, tmp_path, failures, processor, batch):
     feed = Feed(spark, str(tmp_path), EVENT)
     feed.add(failures.filter("tie < 400")).add(failures.filter("tie >= 400"))
+    feed.add([(None, int(at(10_000_000).timestamp()) * 1_000_000, None, None, at(10_000_000))])
     got = feed.run(run_processor(feed.stream(), ["user_id"], processor(12 * 3_600_000_000)))
     want = batch(failures, ["user_id"], "event_time", "tie", F.col("fail"), "12 hours")
     want = want.select("user_id", micros("first_fail_time").alias("first_us"), micros("last_fail_time").alias("last_us"), "msg")
@@ -249,6 +250,8 @@ def test_click_cap(spark, tmp_path, behavior):
     rows = rows.withColumn("day", day)
     feed = Feed(spark, str(tmp_path), rows.schema)
     feed.add(rows.filter("tie < 500")).add(rows.filter("tie >= 500"))
+    # rows wait for the watermark; one far ahead without a key ends the stream
+    feed.add([(None, None, int(at(10_000_000).timestamp()) * 1_000_000, None, at(10_000_000), None)])
     got = feed.run(run_processor(feed.stream(), ["user_id", "target"], ClickCap(2, 28_800_000_000)))
     want = click_cap(rows, ["user_id", "target"], "event_time", "tie", 2).select("user_id", "target", "tie", "tag")
     assert want.filter("tag = 'blacklist'").count() > 5
