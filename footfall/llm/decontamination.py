@@ -2,9 +2,15 @@
 
 A document's windows have the size of a benchmark item.  Each gets a 64-bit SimHash of its
 words; the items' fingerprints are indexed in four blocks of 16 bits, each with all keys
-up to two bits away.  Two fingerprints at most 11 bits apart agree up to two bits in some
-block, so the index finds all within that radius.  What it finds is verified by the exact
-similarity of the shingles, weighted by how often they occur.
+up to three bits away.  Two fingerprints at most 15 bits apart agree up to three bits in
+some block, so the index finds all within that radius.  What it finds is verified by the
+exact similarity of the shingles, weighted by how often they occur.
+
+A fingerprint can differ in more bits although the similarity is reached: edits at an edge
+or in a run change up to a ninth of the words, and repeated words weigh more.  A pair that
+reaches it shares that part of the item's shingles, so the window has one of the item's
+rarest ones, as many as may be missing and one more.  Windows further away than the radius
+are found by these, so none is lost.
 
 Windows are laid where they can match: a window that reaches the similarity has a shingle
 of the item, so a window begins where the shared shingle has it begin, once per run of
@@ -18,13 +24,13 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from footfall.llm.common import lower_ascii, table, work_folder, written
 from footfall.llm.licenses import WORD
 
-WORDS, RADIUS, BLOCKS = 5, 11, 4
+WORDS, RADIUS, BLOCKS = 5, 15, 4
 #: All changes of a 16-bit block by up to RADIUS // BLOCKS bits.
 CHANGES = [sum(1 << b for b in bits) for n in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), n)]
 #: Benchmark shingles up to which they are broadcast, some 100 bytes each.
@@ -65,8 +71,20 @@ def _numbered(hashes: Column) -> Column:
 def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     words = benchmark.select(F.col(item).alias("item"), _words(F.col(text)).alias("item_words"))
     sized = words.filter(F.size("item_words") > 0).withColumn("n", F.size("item_words"))
-    sized = sized.withColumn("k", F.least(F.col("n"), F.lit(WORDS)))
-    return sized.withColumn("print", simhash("item_words"))
+    sized = sized.withColumn("k", F.least(F.col("n"), F.lit(WORDS))).distinct()
+    return sized.withColumn("print", simhash("item_words")).withColumn("row", F.monotonically_increasing_id())
+
+
+def _rare(items: DataFrame, similarity: int) -> DataFrame:
+    """``hash``, ``n`` and ``row`` of the rarest shingles of each item, one of which any window that reaches the similarity has."""
+    every = items.select("row", "n", "print", F.posexplode(_shingles(F.col("item_words"), F.col("k"))).alias("t", "hash"))
+    often = every.groupBy("hash").agg(F.count("*").alias("often"))
+    count = F.count("*").over(Window.partitionBy("row"))
+    rank = F.row_number().over(Window.partitionBy("row").orderBy("often", "hash", "t"))
+    ranked = every.join(often, "hash").select("hash", "n", "row", "print", count.alias("all"), rank.alias("rank"))
+    # what is shared is at least this part of all
+    kept = ranked.filter(F.col("rank") <= F.col("all") - F.ceil(F.col("all") * similarity / 100) + 1)
+    return kept.select("hash", F.col("n").alias("item_n"), "row", F.col("print").alias("item_print")).distinct()
 
 
 def leaks(
@@ -104,16 +122,22 @@ def leaks(
     if windows is None:
         windows = rows.filter(F.lit(False)).selectExpr("doc", "text_key", "0 as start", "0 as n", "0 as k", "words as window")
     windows = windows.groupBy("doc", "text_key", "start", "n").agg(F.first("k").alias("k"), F.first("window").alias("window"))
-    windows = written(windows.withColumn("print", simhash("window")), f"{folder}/windows")
+    windows = windows.withColumn("print", simhash("window")).withColumn("at", F.monotonically_increasing_id())
+    windows = written(windows, f"{folder}/windows")
     changes = F.array(*[F.lit(c).cast("long") for c in CHANGES])
-    index = items.select("item", F.col("n").alias("item_n"), F.col("print").alias("item_print"), "item_words", F.explode(_block_keys("print")).alias("at"))
-    near = index.select("item", "item_n", "item_print", "item_words", "at.block", F.explode(F.transform(changes, lambda c: c.bitwiseXOR(F.col("at.key")))).alias("key"))
-    probes = windows.select("doc", "text_key", "start", "n", "k", "window", "print", F.explode(_block_keys("print")).alias("at"))
-    probes = probes.select("doc", "text_key", "start", "n", "k", "window", "print", "at.block", "at.key")
+    index = items.select("row", F.col("n").alias("item_n"), F.col("print").alias("item_print"), F.explode(_block_keys("print")).alias("of"))
+    near = index.select("row", "item_n", "item_print", "of.block", F.explode(F.transform(changes, lambda c: c.bitwiseXOR(F.col("of.key")))).alias("key"))
+    probes = windows.select("at", "n", "print", F.explode(_block_keys("print")).alias("of")).select("at", "n", "print", "of.block", "of.key")
     found = probes.join(near, (probes.n == near.item_n) & (probes.block == near.block) & (probes.key == near.key))
-    found = found.filter(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-    # two fingerprints may agree in several blocks
-    pairs = found.groupBy("doc", "text_key", "start", "item", "item_words").agg(F.first("k").alias("k"), F.first("window").alias("window"))
+    apart = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
+    found = found.filter(apart <= RADIUS).select("at", "row")
+    rare = written(_rare(items, similarity), f"{folder}/rare")
+    if rare.count() <= BROADCAST_ROWS:
+        rare = F.broadcast(rare)
+    parts = windows.select("at", "n", "print", F.explode(F.array_distinct(_shingles(F.col("window"), F.col("k")))).alias("hash"))
+    far = parts.join(rare, (parts.n == rare.item_n) & (parts.hash == rare.hash)).filter(apart > RADIUS).select("at", "row")
+    # two fingerprints may agree in several blocks, two texts in several shingles
+    pairs = found.unionByName(far).distinct().join(windows.drop("n", "print"), "at").join(items.select("row", "item", "item_words"), "row")
     a, b = _numbered(_shingles(F.col("window"), F.col("k"))), _numbered(_shingles(F.col("item_words"), F.col("k")))
     both = F.size(F.array_intersect("a", "b"))
     scored = pairs.select("doc", "text_key", "start", "item", a.alias("a"), b.alias("b")).select(

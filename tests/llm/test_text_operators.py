@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from oracle_check import difference
 from pyspark.sql import functions as F
 
 from footfall.llm import attribution, decontamination, langid, licenses, mixing, ngrams, quality, secrets, store, tokens
@@ -71,6 +72,43 @@ def test_all_prints_within_the_radius_meet():
         assert any(change >> (16 * b) & 65535 in decontamination.CHANGES for b in range(4))
 
 
+#: (words of an item, words changed) that just keep the similarity: at the edges, and in a run in the middle.
+EDITS = {
+    "edges": [(13, [0]), (22, [0, 21]), (32, [0, 1, 31]), (46, [0, 1, 44, 45]), (103, [0, 1, 2, 3, 4, 5, 99, 100, 101, 102, 98])],
+    "run": [(130, range(60, 70)), (220, range(90, 110)), (400, range(180, 220))],
+}
+
+
+def edited(each):
+    """Items of distinct words, each with a document that holds it edited; last, items whose words repeat."""
+    rng, docs, items = np.random.default_rng(7), [], []
+    for n, places in [e for edits in EDITS.values() for e in edits]:
+        for _ in range(each):
+            words = [f"w{x}" for x in rng.integers(1 << 40, size=n)]
+            changed = [f"v{x}" if i in places else w for i, (w, x) in enumerate(zip(words, rng.integers(1 << 40, size=n)))]
+            items.append((len(items), " ".join(words)))
+            docs.append((len(docs), " ".join(["so", *changed, "on"])))
+    for i in range(each):
+        words = [f"u{i}x{x}" for x in range(100)]
+        items.append((len(items), " ".join(["la"] * 11 + words)))
+        docs.append((len(docs), " ".join([f"lo{i}"] * 11 + words)))
+    return docs, items
+
+
+def test_edits_at_edges_and_in_runs_are_found(spark, tmp_path):
+    docs, items = edited(20)
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.leaks(docs, items)
+    assert found.filter("doc = item").select("doc").distinct().count() == docs.count()
+    for name, rows in (("documents", docs), ("benchmark", items)):
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}/*.parquet')")
+    got = found.selectExpr("doc doc_id", "item item_id", "similarity", "first_word", "places")
+    assert difference(got, con, decontamination.leaks_sql()) is None
+
+
 # quality and language
 
 
