@@ -3,7 +3,8 @@
 Centroids are fitted on a bounded sample; every vector is posted to the list of its nearest
 centroid and, if it lies near a boundary, to those of others almost as near.  Long lists are
 cut into blocks of even size.  A query walks a graph of the centroids in memory and reads
-the lists whose distance is within a ratio of the nearest one's.  Blocks of queries meet
+the lists whose distance is within a ratio of the nearest one's; where these hold too few
+rows, the ratio is taken of the distance up to which lists hold enough.  Blocks of queries meet
 blocks of postings in tiles, where products are taken in double precision.
 
 Inner products become distances by one more coordinate: with M the largest norm, a vector
@@ -105,6 +106,16 @@ def balanced_centroids(sample: np.ndarray, k: int, rounds: int = 12, seed: int =
     return centroids
 
 
+def _covering(points: np.ndarray, centroids: np.ndarray, sizes: np.ndarray, enough: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    """Points and centroids within ``ratio`` of the distance up to which lists hold ``enough`` keys; all if none do."""
+    squares = (points**2).sum(axis=1)[:, None] - 2 * points @ centroids.T + (centroids**2).sum(axis=1)
+    d = np.sqrt(np.maximum(squares, 0))
+    order = np.argsort(d, axis=1)
+    held = np.cumsum(sizes[order], axis=1) >= enough
+    reach = np.where(held.any(axis=1), d[np.arange(len(d)), order[np.arange(len(d)), held.argmax(axis=1)]] * ratio, np.inf)
+    return np.nonzero(d <= reach[:, None])
+
+
 def _valid(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """Keyed vectors with finite components that are not all zero."""
     v = F.col(vector)
@@ -203,7 +214,9 @@ def nearest(
     do rows without key or of another length than most.  Ties in the product go to the
     smaller key.  Rows that repeat a key count once, with their best product.  A vector is
     posted to at most ``copies`` lists within ``replicate`` times its least distance, a
-    query reads all lists within ``prune`` times its own; no list is cut short.  The
+    query reads all lists within ``prune`` times its own, or, if those hold less than twice
+    ``k`` keys, times the distance up to which lists hold that many; no list is cut short.
+    So a query gets ``k`` rows whenever there are as many other keys.  The
     centroids are fitted on about SAMPLE vectors drawn by a hash of their keys.
     """
     spark = vectors.sparkSession
@@ -240,12 +253,21 @@ def nearest(
             # on the sphere of radius M, where all lifted vectors lie
             x = np.concatenate([x * (most / np.sqrt((x * x).sum(axis=1)))[:, None], np.zeros((len(x), 1))], axis=1)
             (r, c), _ = shared.value.search(x, prune)
+            short = np.flatnonzero(np.bincount(r, homes[c], len(x)) < enough)
+            if len(short):
+                more_r, more_c = _covering(x[short], shared.value.centroids, homes, enough, prune)
+                kept = ~np.isin(r, short)
+                r, c = np.concatenate([r[kept], short[more_r]]), np.concatenate([c[kept], more_c])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c.astype(np.int32)), *batch.select(["id", "v"]).take(pa.array(r)).columns], names=["list", "id", "v"]
             )
 
     kind = f"list int, id long, v {valid.schema['v'].dataType.simpleString()}"
     postings = written(valid.mapInArrow(post, kind), f"{folder}/postings")
+    # each key counts in one of its lists, so that sums over lists are of different keys
+    homes, enough = np.zeros(lists), 2 * (k + 1)
+    for row in postings.groupBy("id").agg(F.min("list").alias("list")).groupBy("list").count().collect():  # a row a list
+        homes[row["list"]] = row["count"]
     asking = _valid(vectors.filter(F.coalesce(queries, F.lit(False))), key, vector).filter(F.size("v") == width).dropDuplicates(["id"])
     probes = written(asking.mapInArrow(ask, kind), f"{folder}/probes")
     cut = _blocks(postings, BLOCK).join(_blocks(probes, QUERY_BLOCK).withColumnRenamed("blocks", "asked"), "list")

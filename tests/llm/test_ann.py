@@ -51,6 +51,22 @@ def test_ties_norms_and_odd_vectors(spark, copies, monkeypatch):
     assert got == brute(list(range(len(good))), vectors, [i for i in range(len(good)) if i % 20 == 0], 12)
 
 
+def test_tight_small_clusters_and_outliers(spark, monkeypatch):
+    monkeypatch.setattr(ann, "LIST_ROWS", 16)
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centres = unit(rng.normal(size=(80, 8)))
+    vectors = np.concatenate([np.repeat(centres, 8, axis=0) + rng.normal(size=(640, 8)) * 1e-6, unit(rng.normal(size=(60, 8)))])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(table, F.col("vec_id") % 5 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(list(range(len(rows))), vectors, [i for i in range(len(rows)) if i % 5 == 0], 20)
+    assert {q: len(own) for q, own in got.items()} == dict.fromkeys(want, 20)
+    assert sum(len(got[q] & {v for v, _ in own}) for q, own in want.items()) >= 0.9 * 20 * len(want)
+
+
 def test_few_and_no_rows(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<double>")
     asked = F.col("vec_id") % 20 == 0
