@@ -17,8 +17,8 @@ def test_query_matches_sql(spark, name):
     assert difference(QUERIES[name](spark, SF), connect(SF), ORACLES[name]) is None
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, tmp_path):
