@@ -14,6 +14,7 @@ from footfall.llm.quality import op5_quality
 from footfall.llm.repeats import op13_substring_dedup, repeats_sql
 from footfall.llm.secrets import op6_secret_scan
 from footfall.llm.store import op3_token_files
+from footfall.llm.trie import op12_prefix_trie, trie_sql
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
     "op11_filter_audit": op11_filter_audit,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_substring_dedup": op13_substring_dedup,
 }
 
@@ -36,5 +38,6 @@ ORACLES = {
     "op7_poisson_mix": mix_sql(),
     "op9_ngram_jaccard": components_sql(),
     "op11_filter_audit": audit_sql(),
+    "op12_prefix_trie": trie_sql(),
     "op13_substring_dedup": repeats_sql(),
 }
