@@ -3,12 +3,8 @@
 Operators that need the rows of a key in order partition by (key, block), never
 by the key alone, so a key that holds a large share of all rows is spread over
 as many tasks as there are blocks in its time span.  What has to cross a block
-edge crosses it in one of two exact ways:
-
-* a *halo*, where the operator looks ahead by a bounded time only: rows near the
-  start of a block are also given to the block before (``with_halo``);
-* a *carry*, where it does not: one summary row per (key, block) is scanned per
-  key and joined back (see ``streaks`` and ``late``).
+edge is a *carry*: one summary row per (key, block) is scanned per key and joined
+back (see ``streaks``).  Orders over a whole table, and patterns, use ``cuts``.
 
 A carry costs a summary row per (key, block), so there only keys with many rows
 are split (``split_hot_keys``).
@@ -24,7 +20,6 @@ from pyspark.sql import functions as F
 from footfall.functions.times import step_number
 
 BLOCK = "_block"
-NATIVE = "_native"
 
 
 def batch_only(df: DataFrame, stream_form: str) -> None:
@@ -37,26 +32,6 @@ def with_block(df: DataFrame, us: Column, block_us: int) -> DataFrame:
     return df.withColumn(BLOCK, step_number(us, block_us))
 
 
-def with_halo(df: DataFrame, us: Column, block_us: int, horizon_us: int) -> DataFrame:
-    """Adds ``_block`` and ``_native``; copies a row to the block before its own
-    when it lies less than ``horizon_us`` after that block's end.
-
-    Exact for look-ahead below ``horizon_us`` because a block is at least that long.
-    """
-    if block_us < horizon_us:
-        raise ValueError("a block must be at least as long as the look-ahead")
-    own = step_number(us, block_us)
-    near_start = F.pmod(us, F.lit(block_us)) < F.lit(horizon_us)
-    placed = F.when(
-        near_start,
-        F.array(
-            F.struct(own.alias(BLOCK), F.lit(True).alias(NATIVE)),
-            F.struct((own - F.lit(1)).alias(BLOCK), F.lit(False).alias(NATIVE)),
-        ),
-    ).otherwise(F.array(F.struct(own.alias(BLOCK), F.lit(True).alias(NATIVE))))
-    return df.select("*", F.inline(placed))
-
-
 #: A hot key is cut into this many blocks at most.
 MOST_BLOCKS = 1000
 

@@ -5,7 +5,7 @@ are sorted by range instead: cuts follow one another in the order, each with abo
 rows, whatever the keys are; a key of many rows just has many cuts.  What an operator needs
 from beyond a cut's edge is one row per cut, or a few:
 
-* ``running_before`` carries one aggregate a cut;
+* ``running_before`` and ``running_after`` carry one aggregate a cut;
 * ``with_next_rows`` gives a cut the first rows behind its end.
 
 The cuts are a table in the shared folder, so that all that read them see the same ones, also
@@ -37,23 +37,21 @@ def ordered_cuts(df: DataFrame, order: Sequence[str], label: str, parts: int | N
     return df.sparkSession.read.schema(placed.withColumn(CUT, F.lit(0)).schema).parquet(folder)
 
 
-def running_before(
-    cuts: DataFrame, key: Sequence[str], order: Sequence[str],
-    totals: dict[str, tuple[Callable[[Column], Column], Column]], combine: dict[str, Callable[[Column, Column], Column]],
-) -> DataFrame:
-    """Adds each of ``totals``, (aggregate, column), over the earlier rows of the key; null if there are none.
+Totals = dict[str, tuple[Callable[[Column], Column], Column]]
+Combine = dict[str, Callable[[Column, Column], Column]]
 
-    ``cuts`` are in order of (``key``, ``order``).  A cut has one key at most that goes on from
-    a cut before, so the carried rows are no more than the cuts, and are broadcast.
-    ``combine`` puts a carried and a local total together; it must ignore nulls.
-    """
-    inside = Window.partitionBy(CUT, *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*key).orderBy(CUT).rowsBetween(Window.unboundedPreceding, -1)
+
+def _running(cuts: DataFrame, key: Sequence[str], order: Sequence[str], totals: Totals, combine: Combine, before: bool) -> DataFrame:
+    reach = (Window.unboundedPreceding, -1) if before else (1, Window.unboundedFollowing)
+    inside = Window.partitionBy(CUT, *key).orderBy(*order).rowsBetween(*reach)
+    line = Window.partitionBy(*key).orderBy(CUT)
+    beyond = line.rowsBetween(*reach)
+    turn = Window.partitionBy(*key).orderBy(CUT if before else F.desc(CUT))
     per_cut = cuts.groupBy(CUT, *key).agg(*[agg(c).alias(f"_t_{name}") for name, (agg, c) in totals.items()])
     carried = per_cut.select(
         F.col(CUT).alias("_at"), *[F.col(k).alias(f"_k_{i}") for i, k in enumerate(key)],
-        F.row_number().over(Window.partitionBy(*key).orderBy(CUT)).alias("_turn"),
-        *[agg(F.col(f"_t_{name}")).over(earlier).alias(f"_c_{name}") for name, (agg, _) in totals.items()],
+        F.row_number().over(turn).alias("_turn"),
+        *[agg(F.col(f"_t_{name}")).over(beyond).alias(f"_c_{name}") for name, (agg, _) in totals.items()],
     ).filter("_turn > 1")
     same = F.col(CUT) == F.col("_at")
     for i, k in enumerate(key):
@@ -64,6 +62,21 @@ def running_before(
     return joined.select(*[F.col(f"`{c}`") for c in cuts.columns], *out)
 
 
+def running_before(cuts: DataFrame, key: Sequence[str], order: Sequence[str], totals: Totals, combine: Combine) -> DataFrame:
+    """Adds each of ``totals``, (aggregate, column), over the earlier rows of the key; null if there are none.
+
+    ``cuts`` are in order of (``key``, ``order``).  A cut has one key at most that goes on from
+    a cut before, so the carried rows are no more than the cuts, and are broadcast.
+    ``combine`` puts a carried and a local total together; it must ignore nulls.
+    """
+    return _running(cuts, key, order, totals, combine, True)
+
+
+def running_after(cuts: DataFrame, key: Sequence[str], order: Sequence[str], totals: Totals, combine: Combine) -> DataFrame:
+    """The same over the later rows of the key."""
+    return _running(cuts, key, order, totals, combine, False)
+
+
 def running_sum(left: Column, right: Column) -> Column:
     return F.coalesce(left, F.lit(0)) + F.coalesce(right, F.lit(0))
 

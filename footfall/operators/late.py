@@ -2,59 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.times import duration_us, floor_to, micros
-from footfall.operators.blocks import BLOCK
+from footfall.operators.cuts import CUT, ordered_cuts, running_before
 
 ON_TIME, REFIRE, LATE = "on_time", "refire", "late"
 
 
-#: Blocks of arrivals: at most so many (a power of two), each of about so many rows.
-MOST_BLOCKS, BLOCK_ROWS = 1 << 14, 100_000
-
-
-def _block(rows: DataFrame, arrival: str) -> Column:
-    """The number of the block that an arrival lies in, by quantiles of all arrivals.
-
-    One job sketches the quantiles; the driver gets MOST_BLOCKS numbers at the most.  A
-    row finds its block by binary search.
-    """
-    count = rows.agg(F.count(arrival)).first()[0]
-    levels = min(MOST_BLOCKS, max(1, -(-count // BLOCK_ROWS))).bit_length()
-    shares = F.array(*[F.lit(i / (1 << levels)) for i in range(1, 1 << levels)])
-    cuts = rows.agg(F.percentile_approx(arrival, shares, 4 << levels)).first()[0]
-    if not cuts:
-        return F.lit(0)
-    held, halves = F.array(*[F.lit(c) for c in cuts]), F.array(*[F.lit(1 << k) for k in reversed(range(levels))])
-    return F.aggregate(
-        halves, F.lit(0), lambda low, half: F.when(F.element_at(held, low + half) < F.col(arrival), low + half).otherwise(low)
-    )
-
-
-def with_watermark_before(df: DataFrame, ts: str, arrival: str | Column, tie: str, delay: str) -> DataFrame:
+def with_watermark_before(
+    df: DataFrame, ts: str, arrival: str | Column, tie: str, delay: str, parts: int | None = None
+) -> DataFrame:
     """Adds ``watermark_us``: the largest event time that arrived before the row, less ``delay``.
 
-    The order is global.  Rows are cut into blocks at quantiles of the arrivals, so a burst
-    is spread like any other rows; only rows of one and the same arrival stay together.
-    Each block keeps a running maximum, and one maximum per block is carried on.
+    The order is global.  Rows are sorted by arrival into row-balanced cuts, so a burst is
+    spread like any other rows; only rows of one arrival and tie stay together.  Each cut keeps
+    a running maximum, and one maximum per cut is carried on.  The rows are read once, and
+    written as cuts to the shared folder; ``parts`` is the number of cuts at most.
     """
     order = F.col(arrival) if isinstance(arrival, str) else arrival
     keyed = df.withColumn("_us", micros(ts)).withColumn("_arrival", order.cast("bigint"))
-    keyed = keyed.withColumn(BLOCK, _block(keyed.select("_arrival"), "_arrival"))
-
-    earlier = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)  # over one row a block
-    carry = keyed.groupBy(BLOCK).agg(F.max("_us").alias("_peak")).select(
-        BLOCK, F.max("_peak").over(earlier).alias("_carry")
-    )
-    inside = Window.partitionBy(BLOCK).orderBy("_arrival", tie).rowsBetween(Window.unboundedPreceding, -1)
-    local = keyed.withColumn("_seen", F.max("_us").over(inside))
-    return (
-        local.join(carry, BLOCK)
-        .withColumn("watermark_us", F.greatest("_seen", "_carry") - F.lit(duration_us(delay)))
-        .drop(BLOCK, "_us", "_arrival", "_seen", "_carry")
-    )
+    place = ["_arrival", tie]
+    cuts = ordered_cuts(keyed, place, "arrivals", parts)
+    seen = running_before(cuts, [], place, {"_seen": (F.max, F.col("_us"))}, {"_seen": F.greatest})
+    return seen.withColumn("watermark_us", F.col("_seen") - F.lit(duration_us(delay))).drop(CUT, "_us", "_arrival", "_seen")
 
 
 def split_late(
@@ -66,6 +38,7 @@ def split_late(
     size: str,
     slide: str,
     lateness: str,
+    parts: int | None = None,
 ) -> DataFrame:
     """Tags each row by what its arrival does to its windows.
 
@@ -76,7 +49,7 @@ def split_late(
     ``sliding_counts(live_from=...)``.
     """
     size_us, slide_us, lateness_us = duration_us(size), duration_us(slide), duration_us(lateness)
-    marked = with_watermark_before(df, ts, arrival, tie, delay)
+    marked = with_watermark_before(df, ts, arrival, tie, delay, parts)
     us, wm = micros(ts), F.col("watermark_us")
     first_end = floor_to(us, slide_us) + F.lit(slide_us)
     last_end = floor_to(us, slide_us) + F.lit(size_us)

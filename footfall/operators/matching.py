@@ -1,13 +1,13 @@
 """Interval join and reconciliation of two event tables.
 
-In batch both sides are put into time buckets and joined on (key, bucket), so the
-pairs of a hot key are found bucket by bucket on many tasks.  One side keeps a
-single copy of each row; the other is copied to the buckets its interval touches.
+In batch both sides are put into time buckets, so the pairs of a hot key are found bucket
+by bucket on many tasks.  For the join one side keeps a single copy of each row, and the
+other is copied to the buckets its interval touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.times import duration_us, micros, step_number
@@ -74,18 +74,6 @@ def interval_join(
     return one.join(many, _condition(*names, low, high, True), how).select(*names)
 
 
-def unmatched_right(
-    left: DataFrame, right: DataFrame, on: tuple[str, str], ts: tuple[str, str], lower: str, upper: str,
-    names: tuple[str, str],
-) -> DataFrame:
-    """Right rows with no partner.  Here the right side keeps the single copy."""
-    low, high = _signed_us(lower), _signed_us(upper)
-    mirrored = (names[1], names[0])
-    many, one = _sides(left, right, on, ts, names)
-    one, many = _bucketed(one, many.drop(names[0]), mirrored, -high, -low)
-    return one.join(many, _condition(*mirrored, -high, -low, True), "left_anti").select(names[1])
-
-
 def reconcile(
     left: DataFrame,
     right: DataFrame,
@@ -96,12 +84,45 @@ def reconcile(
     names: tuple[str, str] = ("pay", "receipt"),
     tags: tuple[str, str, str] = (MATCHED, LEFT_ONLY, RIGHT_ONLY),
 ) -> DataFrame:
-    """Pairs, left rows without a partner and right rows without one, told apart by ``tag``."""
+    """Pairs, left rows without a partner and right rows without one, told apart by ``tag``.
+
+    In batch each side is read and shuffled once.  Left times are moved by ``lower``, so that
+    a pair is a right row at most ``upper - lower`` behind a left one.  Both sides lie in
+    buckets of four times that span, rows near a bucket's edge in the next one, too.  Sorted
+    together, a left row's partners are a range frame, and the last left row before a right
+    one tells whether it has any.  Rows without key or time have no partner.
+    """
     if left.isStreaming or right.isStreaming:
         both = interval_join(left, right, on, ts, lower, upper, names, "fullOuter")
         tag = F.when(F.col(names[1]).isNull(), tags[1]).when(F.col(names[0]).isNull(), tags[2]).otherwise(tags[0])
         return both.withColumn("tag", tag)
-    kept = interval_join(left, right, on, ts, lower, upper, names, "left")
-    kept = kept.withColumn("tag", F.when(F.col(names[1]).isNull(), tags[1]).otherwise(tags[0]))
-    lone = unmatched_right(left, right, on, ts, lower, upper, names).withColumn("tag", F.lit(tags[2]))
-    return kept.unionByName(lone, allowMissingColumns=True)
+    low, high = _signed_us(lower), _signed_us(upper)
+    span = high - low
+    step = max(4 * span, 1_000)
+
+    def side(at: int, df: DataFrame, moved: int, reach: int) -> DataFrame:
+        row, x = F.struct("*").alias(names[at]), micros(ts[at]) + F.lit(moved)
+        rows = df.select(F.col(on[at]).alias("_key"), x.alias("_x"), row, F.lit(at == 0).alias("_left"))
+        own, other = step_number(F.col("_x"), step), step_number(F.col("_x") + F.lit(reach), step)
+        known = F.col("_key").isNotNull() & F.col("_x").isNotNull()
+        place = lambda bucket, native: F.struct(bucket.alias("_bucket"), F.lit(native).alias("_native"))
+        # rows that can have no partner are dealt by a hash of all they hold
+        places = F.when(~known, F.array(place(F.pmod(F.xxhash64(names[at]), F.lit(1 << 20)), True)))
+        places = places.when(own == other, F.array(place(own, True))).otherwise(F.array(place(own, True), place(other, False)))
+        return rows.select("*", known.alias("_known"), F.inline(places))
+
+    both = side(0, left, low, span).unionByName(side(1, right, 0, -span), allowMissingColumns=True)
+    bucket = Window.partitionBy("_key", "_known", "_bucket").orderBy("_x")
+    partners = F.collect_list(F.when(F.col("_known") & ~F.col("_left"), F.col(names[1]))).over(bucket.rangeBetween(0, span))
+    last = F.max(F.when(F.col("_known") & F.col("_left"), F.col("_x"))).over(bucket.rangeBetween(Window.unboundedPreceding, 0))
+    met = both.select("*", partners.alias("_partners"), last.alias("_last")).filter("_native")
+    matched = F.coalesce(F.col("_last") >= F.col("_x") - F.lit(span), F.lit(False))
+    none = F.array(F.lit(None).cast(both.schema[names[1]].dataType))
+    out = (
+        F.when(F.col("_left") & (F.size("_partners") > 0), F.col("_partners"))
+        .when(F.col("_left"), none)
+        .when(~matched, F.array(F.col(names[1])))
+    )
+    each = met.select("_left", names[0], F.explode(out).alias(names[1]))
+    tag = F.when(~F.col("_left"), tags[2]).when(F.col(names[1]).isNull(), tags[1]).otherwise(tags[0])
+    return each.select(*names, tag.alias("tag"))

@@ -35,6 +35,7 @@ from footfall.operators import (
     top_n_sliding,
     tumbling_counts,
 )
+from footfall.operators.cuts import ordered_cuts
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 BASE = int(START.timestamp())
@@ -258,14 +259,14 @@ def brute_matches(seq, kinds, within, strict):
     return out
 
 
-@pytest.mark.parametrize("block", ["5 minutes", "1 hour", "1 day"])
+@pytest.mark.parametrize("parts", [1, 60])
 @pytest.mark.parametrize("contiguity", ["strict", "relaxed"])
-def test_sequences(log, block, contiguity):
+def test_sequences(log, parts, contiguity):
     df, ordered = log
     kinds = ["fail", "ok", "fail"]
     steps = [(f"s{i}", F.col("kind") == k) for i, k in enumerate(kinds)]
     got = match_sequence(
-        df, ["user"], "ts", "id", steps, "5 minutes", contiguity, emit_timeouts=True, columns=["id"], block=block
+        df, ["user"], "ts", "id", steps, "5 minutes", contiguity, emit_timeouts=True, columns=["id"], parts=parts
     )
     got = got.select("user", F.array_compact(F.array("s0.id", "s1.id", "s2.id")).alias("ids"), "status")
     want = sorted((u, ids, st) for u, seq in ordered.items() for ids, st in brute_matches(seq, kinds, 300, contiguity == "strict"))
@@ -273,19 +274,48 @@ def test_sequences(log, block, contiguity):
     assert sum(st == "match" for _, _, st in want) > 50
 
 
-@pytest.mark.parametrize("block", ["10 seconds", "1 minute", "1 day"])
-def test_repeats_without_a_key(log, block):
+@pytest.mark.parametrize("parts", [1, 120])
+def test_repeats_without_a_key(log, parts):
     df, ordered = log
     flat = sorted(((s, i, k) for seq in ordered.values() for i, k, s in seq))
     seq = [(i, k, s) for s, i, k in flat]
     got = match_sequence(
-        df, [], "ts", "id", [("fails", F.col("kind") == "fail")], "10 seconds", times=3, columns=["id"], block=block
+        df, [], "ts", "id", [("fails", F.col("kind") == "fail")], "10 seconds", times=3, columns=["id"], parts=parts
     )
     got = got.select("fails_1.id", F.col("fails_2.id").alias("b"), F.col("fails_3.id").alias("c"))
     want = sorted(tuple(ids) for ids, st in brute_matches(seq, ["fail"] * 3, 10, True) if st == "match")
     assert rows(got, "id", "b", "c") == want
 
 
+@pytest.mark.parametrize("contiguity", ["strict", "relaxed"])
+def test_four_steps_over_many_cuts(log, contiguity):
+    """Chains that reach over several cuts, with and without a key."""
+    df, ordered = log
+    kinds = ["ok", "fail", "fail", "ok"]
+    steps = [(f"s{i}", F.col("kind") == k) for i, k in enumerate(kinds)]
+    flat = sorted(((s, i, k) for seq in ordered.values() for i, k, s in seq))
+    for key, seqs in ((["user"], ordered.values()), ([], [[(i, k, s) for s, i, k in flat]])):
+        got = match_sequence(df, key, "ts", "id", steps, "1 hour", contiguity, columns=["id"], parts=150)
+        want = sorted(tuple(ids) for seq in seqs for ids, st in brute_matches(seq, kinds, 3600, contiguity == "strict") if st == "match")
+        assert rows(got, "s0.id", "s1.id", "s2.id", "s3.id") == want
+
+
+def test_a_hot_key_inside_the_limit_is_cut(spark):
+    """Nine tenths of the rows are one key's, all inside ``within``: no cut holds over twice its share."""
+    df = spark.range(20_000).select(
+        "id", F.when(F.col("id") % 10 > 0, 0).otherwise(F.col("id")).alias("user"), F.timestamp_millis(F.col("id")).alias("ts"),
+        F.when(F.col("id") % 3 > 0, "fail").otherwise("ok").alias("kind"),
+    )
+    steps = [("a", F.col("kind") == "fail"), ("b", F.col("kind") == "ok")]
+    cuts = ordered_cuts(df, ["user", "ts", "id"], "test", 20)
+    assert cuts.groupBy("_cut").count().agg(F.max("count")).first()[0] < 2 * 20_000 / 20
+    for contiguity in ("strict", "relaxed"):
+        one = match_sequence(df, ["user"], "ts", "id", steps, "1 hour", contiguity, columns=["id"], parts=1)
+        many = match_sequence(df, ["user"], "ts", "id", steps, "1 hour", contiguity, columns=["id"], parts=20)
+        assert rows(one, "user", "a.id", "b.id") == rows(many, "user", "a.id", "b.id")
+        assert many.count() > 5000
+
+
 def test_sequence_limit_is_strict(spark):
     df = spark.createDataFrame(
         [(1, "create", at(0), 0), (1, "pay", at(900), 1), (2, "create", at(0), 2), (2, "pay", at(899), 3)],
@@ -377,14 +407,13 @@ def test_reconcile(log, lower, upper):
 
 
 @pytest.mark.parametrize("spread", ["even", "outlier", "burst"])
-def test_late_rows(spark, spread, monkeypatch):
-    monkeypatch.setattr("footfall.operators.late.BLOCK_ROWS", 100)
+def test_late_rows(spark, spread):
     rnd = random.Random(3)
     data = [(i, 2 * i - rnd.choice([0, 0, 0, rnd.randrange(400)])) for i in range(2000)]
     df = spark.createDataFrame([(i, at(s)) for i, s in data], "id bigint, ts timestamp").repartition(5)
     # the arrival order is that of the ids, however arrivals are spread over time
     arrival = {"even": "id", "outlier": "if(id = 1999, 1000000000000, id)", "burst": "id div 1500"}[spread]
-    got = split_late(df, "ts", F.expr(arrival), "id", "1 second", "60 seconds", "10 seconds", "30 seconds")
+    got = split_late(df, "ts", F.expr(arrival), "id", "1 second", "60 seconds", "10 seconds", "30 seconds", parts=20)
     want, counts, seen = [], Counter(), None
     for i, s in data:
         wm = None if seen is None else seen - 1000
