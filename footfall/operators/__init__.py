@@ -1,6 +1,7 @@
+from footfall.operators.bursts import failure_bursts
 from footfall.operators.capping import blacklist, click_cap, passed
 from footfall.operators.late import split_late, with_watermark_before
-from footfall.operators.matching import interval_join, reconcile
+from footfall.operators.matching import first_come_match, interval_join, reconcile
 from footfall.operators.orders import order_status
 from footfall.operators.sequence import match_sequence
 from footfall.operators.streaks import anchored_alerts, chained_alerts, failure_streaks

@@ -48,8 +48,12 @@ def split_late(
     ``live_from_us``, the first window end that the row still counts in, for
     ``sliding_counts(live_from=...)``.
     """
+    return window_tags(with_watermark_before(df, ts, arrival, tie, delay, parts), ts, size, slide, lateness)
+
+
+def window_tags(marked: DataFrame, ts: str, size: str, slide: str, lateness: str) -> DataFrame:
+    """Adds ``live_from_us`` and ``tag`` by ``watermark_us``, the watermark before the row."""
     size_us, slide_us, lateness_us = duration_us(size), duration_us(slide), duration_us(lateness)
-    marked = with_watermark_before(df, ts, arrival, tie, delay, parts)
     us, wm = micros(ts), F.col("watermark_us")
     first_end = floor_to(us, slide_us) + F.lit(slide_us)
     last_end = floor_to(us, slide_us) + F.lit(size_us)

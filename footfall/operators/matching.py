@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions.times import duration_us, micros, step_number
+from footfall.operators.blocks import batch_only
+from footfall.operators.cuts import ordered_cuts, running_after, running_before, running_sum
 
 #: The names of the outputs.
 MATCHED, LEFT_ONLY, RIGHT_ONLY = "matched", "unmatched-pays", "unmatched-receipts"
@@ -126,3 +128,52 @@ def reconcile(
     each = met.select("_left", names[0], F.explode(out).alias(names[1]))
     tag = F.when(~F.col("_left"), tags[2]).when(F.col(names[1]).isNull(), tags[1]).otherwise(tags[0])
     return each.select(*names, tag.alias("tag"))
+
+
+def first_come_match(
+    rows: DataFrame, key: str, ts: str, tie: str, is_left: Column, left_wait: str = "5 seconds",
+    right_wait: str = "3 seconds", tags: tuple[str, str, str] = (MATCHED, LEFT_ONLY, RIGHT_ONLY), parts: int | None = None,
+) -> DataFrame:
+    """First come, first matched, of the rows of both sides in order of (``ts``, ``tie``).
+
+    A row waits for one of the other side, up to and including the time its side waits.  The
+    pair is ``matched`` and over.  A further row of the side that waits takes its place, and the
+    one before has no result; a row whose time is over is unmatched.  Gives ``key``, the
+    ``tie`` of both as ``left_tie`` and ``right_tie``, and ``tag``.  Rows without key or time
+    take no part.
+
+    Rows that could match the one before them form chains, in which the first matches the
+    second, the third the fourth.  A row's place in its chain is a running count less the count
+    at the chain's start, both carried over row-balanced cuts, so a hot key is no hot task.
+    """
+    batch_only(rows, "streaming.processors.TwoStreamMatch")
+    narrow = rows.select(F.col(key).alias("_key"), micros(ts).alias("_us"), F.col(tie).alias("_tie"), is_left.alias("_left"))
+    narrow = narrow.filter("_key IS NOT NULL AND _us IS NOT NULL AND _left IS NOT NULL")
+    order = ["_us", "_tie"]
+    cuts = ordered_cuts(narrow, ["_key", *order], "first-come", parts)
+    row = F.struct("_us", "_tie", "_left")
+    near = running_before(
+        cuts, ["_key"], order, {"_n": (F.sum, F.lit(1)), "_before": (F.max, row)},
+        {"_n": running_sum, "_before": lambda carried, local: F.coalesce(local, carried)},
+    )
+    near = running_after(
+        near, ["_key"], order, {"_after": (F.min, row)}, {"_after": lambda carried, local: F.coalesce(local, carried)}
+    )
+    wait = lambda r: F.when(r["_left"], F.lit(duration_us(left_wait))).otherwise(F.lit(duration_us(right_wait)))
+    meets = lambda a, b: (b["_us"] - a["_us"] <= wait(a)) & (a["_left"] != b["_left"])
+    starts = ~F.coalesce(meets(F.col("_before"), row), F.lit(False))
+    near = near.withColumn("_starts", F.when(starts, F.col("_n")))
+    chained = running_before(
+        near, ["_key"], order, {"_chain": (F.max, F.col("_starts"))}, {"_chain": F.greatest}
+    ).withColumn("_chain", F.coalesce("_starts", "_chain"))
+    after = F.col("_after")
+    first = (F.col("_n") - F.col("_chain")) % 2 == 0
+    pairs = F.coalesce(meets(row, after), F.lit(False))
+    replaced = F.coalesce((after["_left"] == F.col("_left")) & (after["_us"] - F.col("_us") <= wait(row)), F.lit(False))
+    lone = chained.filter(first & ~(~pairs & replaced))
+    own, other = F.col("_tie"), F.when(pairs, after["_tie"])
+    tag = F.when(pairs, tags[0]).when(F.col("_left"), tags[1]).otherwise(tags[2])
+    return lone.select(
+        F.col("_key").alias(key), F.when(F.col("_left"), own).otherwise(other).alias("left_tie"),
+        F.when(F.col("_left"), other).otherwise(own).alias("right_tie"), tag.alias("tag"),
+    )

@@ -14,7 +14,7 @@ PAID, PAID_LATE, TIMEOUT, NOT_CREATED = "payed", "payed but already timeout", "t
 
 def order_status(
     df: DataFrame, order: str, ts: str, tie: str, is_create: Column, is_pay: Column, within: str = "15 minutes",
-    hot_rows: int = 5_000_000,
+    hot_rows: int = 5_000_000, late_within: str | None = None,
 ) -> DataFrame:
     """The outcomes of each order, from all its creates and pays in order of (``ts``, ``tie``), creates first
     among rows of one time.
@@ -23,7 +23,8 @@ def order_status(
     and ``payed but already timeout`` beyond it; either ends the wait.  A further create
     takes the place of one that still waits; after the limit, or at the end, a create
     without pay gives ``timeout``.  A pay that no create waits for gives ``payed but not
-    created``, as it waits only up to its own time.
+    created``, as it waits only up to its own time.  With ``late_within`` a create is held so
+    much longer than the limit; a pay beyond that finds it timed out.
 
     So an outcome depends on neighbouring rows alone.  Rows are narrow; orders with more
     than ``hot_rows`` rows are cut into time blocks whose first and last rows are passed on.
@@ -53,12 +54,15 @@ def order_status(
             F.coalesce("_before", "_last").alias("_before"), F.coalesce("_after", "_next").alias("_after"),
         )
     limit = F.col("_us") + F.lit(duration_us(within))
-    after = F.col("_after")
+    held_us = None if late_within is None else duration_us(within) + duration_us(late_within)
+    after, before = F.col("_after"), F.col("_before")
+    gone = F.lit(False) if held_us is None else after["_us"] > F.col("_us") + F.lit(held_us)
+    forgotten = F.lit(False) if held_us is None else F.col("_us") > before["_us"] + F.lit(held_us)
     created = (
         F.when(after.isNull(), TIMEOUT)
         .when(after["_create"], F.when(after["_us"] > limit, TIMEOUT))
-        .otherwise(F.when(after["_us"] <= limit, PAID).otherwise(PAID_LATE))
+        .otherwise(F.when(after["_us"] <= limit, PAID).when(gone, TIMEOUT).otherwise(PAID_LATE))
     )
-    unmatched = ~F.coalesce(F.col("_before._create"), F.lit(False))
+    unmatched = ~F.coalesce(before["_create"] & ~forgotten, F.lit(False))
     status = F.when(F.col("_create"), created).otherwise(F.when(unmatched, NOT_CREATED))
     return near.select(order, status.alias("status")).filter(F.col("status").isNotNull())

@@ -18,6 +18,8 @@ from footfall.operators import (
     blacklist,
     chained_alerts,
     click_cap,
+    failure_bursts,
+    first_come_match,
     interval_join,
     match_sequence,
     order_status,
@@ -266,6 +268,27 @@ def reconcile_query(spark, sf_dir):
     )
 
 
+def two_stream_match(spark, sf_dir):
+    """Clicks wait five hours for a purchase of their user, purchases three hours for a click; first come, first matched."""
+    sides = events(spark, sf_dir).filter(F.col("event_type").isin("click", "purchase"))
+    out = first_come_match(sides, "user_id", "event_time", "event_id", F.col("event_type") == "click", "5 hours", "3 hours")
+    return out.select(F.col("left_tie").alias("click_id"), F.col("right_tie").alias("purchase_id"), "tag")
+
+
+def fail_bursts(spark, sf_dir):
+    failed = F.col("event_type") == "error"
+    return _alerts(failure_bursts(events(spark, sf_dir), ["user_id"], "event_time", "event_id", failed, STREAK_WITHIN))
+
+
+def order_status_held(spark, sf_dir):
+    """A create that is not paid in time is held a day longer for a late pay."""
+    kind = F.col("event_type")
+    return order_status(
+        events(spark, sf_dir), "user_id", "event_time", "event_id", kind == "signup", kind == "purchase", ORDER_WITHIN,
+        late_within="1 day",
+    )
+
+
 def kafka_decode(spark, sf_dir):
     """Behaviour rows through the topic format: CSV lines in a binary ``value``, decoded again."""
     rows = behavior(spark, sf_dir).select(
@@ -322,7 +345,10 @@ QUERIES: dict[str, Query] = {
     "signup_purchase": signup_purchase,
     "signup_timeout": signup_timeout,
     "funnel_three_steps": funnel_three_steps,
+    "fail_bursts": fail_bursts,
     "order_status": order_status_query,
+    "order_status_held": order_status_held,
+    "two_stream_match": two_stream_match,
     "interval_join": interval_join_query,
     "reconcile": reconcile_query,
     "kafka_decode": kafka_decode,

@@ -105,6 +105,69 @@ pairs AS (
 )"""
 
 
+# state machines, event by event
+
+_HELD = """
+orders AS (
+  SELECT user_id, us, event_type = 'signup' AS made,
+         row_number() OVER (PARTITION BY user_id ORDER BY us, event_type = 'purchase', event_id) AS n
+  FROM behavior WHERE event_type IN ('signup', 'purchase')
+),
+fold AS (
+  SELECT user_id, n, CASE WHEN made THEN us END AS held, CASE WHEN NOT made THEN 'payed but not created' END AS status,
+         false AS expired
+  FROM orders WHERE n = 1
+  UNION ALL
+  SELECT o.user_id, o.n, CASE WHEN o.made THEN o.us END,
+         CASE WHEN o.made THEN CASE WHEN o.us - f.held > 43200000000 AND o.us - f.held <= 129600000000 THEN 'timeout' END
+              WHEN f.held IS NULL OR o.us - f.held > 129600000000 THEN 'payed but not created'
+              WHEN o.us - f.held <= 43200000000 THEN 'payed' ELSE 'payed but already timeout' END,
+         coalesce(o.us - f.held > 129600000000, false)
+  FROM fold f JOIN orders o ON o.user_id = f.user_id AND o.n = f.n + 1
+)"""
+
+_FIRST_COME = """
+both_ AS (
+  SELECT user_id, us, event_id, event_type AS kind, CASE event_type WHEN 'click' THEN 18000000000 ELSE 10800000000 END AS wait,
+         row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) AS n
+  FROM behavior WHERE event_type IN ('click', 'purchase')
+),
+fold AS (
+  SELECT user_id, n, event_id AS held, kind AS side, us + wait AS due, false AS matched, CAST(NULL AS BIGINT) AS click_id,
+         CAST(NULL AS BIGINT) AS purchase_id, CAST(NULL AS BIGINT) AS lone_click, CAST(NULL AS BIGINT) AS lone_purchase
+  FROM both_ WHERE n = 1
+  UNION ALL
+  SELECT user_id, n, CASE WHEN NOT meets THEN event_id END, CASE WHEN NOT meets THEN kind END,
+         CASE WHEN NOT meets THEN us + wait END, meets,
+         CASE WHEN meets THEN CASE kind WHEN 'click' THEN event_id ELSE held END END,
+         CASE WHEN meets THEN CASE kind WHEN 'click' THEN held ELSE event_id END END,
+         CASE WHEN us > due AND side = 'click' THEN held END,
+         CASE WHEN us > due AND side <> 'click' THEN held END
+  FROM (SELECT x.*, f.held, f.side, f.due, coalesce(x.us <= f.due AND f.side <> x.kind, false) AS meets
+        FROM fold f JOIN both_ x ON x.user_id = f.user_id AND x.n = f.n + 1)
+)"""
+
+_BURSTS = """
+ordered AS (
+  SELECT user_id, us, event_type = 'error' AS fail, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) AS n
+  FROM behavior
+),
+fold AS (
+  SELECT user_id, n, CASE WHEN fail THEN us END AS open_us, CASE WHEN fail THEN us END AS open_last,
+         CASE WHEN fail THEN 1 END AS open_size, CAST(NULL AS BIGINT) AS first_us, CAST(NULL AS BIGINT) AS last_us, 0 AS size
+  FROM ordered WHERE n = 1
+  UNION ALL
+  SELECT o.user_id, o.n,
+         CASE WHEN NOT o.fail THEN NULL WHEN f.open_us IS NULL OR o.us > f.open_us + 43200000000 THEN o.us ELSE f.open_us END,
+         CASE WHEN o.fail THEN o.us END,
+         CASE WHEN NOT o.fail THEN NULL WHEN f.open_us IS NULL OR o.us > f.open_us + 43200000000 THEN 1 ELSE f.open_size + 1 END,
+         CASE WHEN o.us > f.open_us + 43200000000 THEN f.open_us END,
+         CASE WHEN o.us > f.open_us + 43200000000 THEN f.open_last END,
+         CASE WHEN o.us > f.open_us + 43200000000 THEN f.open_size ELSE 0 END
+  FROM fold f JOIN ordered o ON o.user_id = f.user_id AND o.n = f.n + 1
+)"""
+
+
 def _with(*parts: str, body: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{', '.join(parts)} {body}"
 
@@ -246,6 +309,22 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT user_id, 'timeout' FROM placed
           WHERE k = 0 AND (after IS NULL OR after.k = 0 AND after.us - us > 43200000000)
         UNION ALL SELECT user_id, 'payed but not created' FROM placed WHERE k = 1 AND coalesce(before, 1) = 1"""),
+    "order_status_held": _with(_BEHAVIOR, _HELD, recursive=True, body="""
+        SELECT user_id, status FROM fold WHERE status IS NOT NULL
+        UNION ALL SELECT user_id, 'timeout' FROM fold WHERE expired
+        UNION ALL SELECT user_id, 'timeout' FROM fold f WHERE held IS NOT NULL
+          AND n = (SELECT max(n) FROM orders o WHERE o.user_id = f.user_id)"""),
+    "two_stream_match": _with(_BEHAVIOR, _FIRST_COME, recursive=True, body="""
+        SELECT click_id, purchase_id, 'matched' AS tag FROM fold WHERE matched
+        UNION ALL SELECT lone_click, NULL, 'unmatched-pays' FROM fold WHERE lone_click IS NOT NULL
+        UNION ALL SELECT NULL, lone_purchase, 'unmatched-receipts' FROM fold WHERE lone_purchase IS NOT NULL
+        UNION ALL SELECT CASE WHEN side = 'click' THEN held END, CASE WHEN side <> 'click' THEN held END,
+                 CASE WHEN side = 'click' THEN 'unmatched-pays' ELSE 'unmatched-receipts' END
+          FROM fold f WHERE held IS NOT NULL AND n = (SELECT max(n) FROM both_ o WHERE o.user_id = f.user_id)"""),
+    "fail_bursts": _with(_BEHAVIOR, _BURSTS, recursive=True, body="""
+        SELECT user_id, first_us, last_us, 'login fail in 2s for ' || size || ' times.' AS msg FROM fold WHERE size >= 2
+        UNION ALL SELECT user_id, open_us, open_last, 'login fail in 2s for ' || open_size || ' times.' FROM fold f
+          WHERE open_size >= 2 AND n = (SELECT max(n) FROM ordered o WHERE o.user_id = f.user_id)"""),
     "interval_join": _with(_BEHAVIOR, _PAIRS, body="SELECT * FROM pairs"),
     "reconcile": _with(_BEHAVIOR, _PAIRS, body="""
         SELECT click_id, purchase_id, 'matched' AS tag FROM pairs
@@ -274,6 +353,18 @@ ORACLES |= {
     "stream_interval_join": ORACLES["interval_join"],
     "stream_fail_anchor": ORACLES["fail_anchor"],
     "stream_fail_last_matched": ORACLES["fail_last_matched"],
+    "stream_fail_bursts": ORACLES["fail_bursts"],
+    "stream_order_status": ORACLES["order_status_held"],
+    "stream_two_stream_match": ORACLES["two_stream_match"],
+    "stream_late_split": ORACLES["late_split"],
+    "stream_late_rows": _with(
+        _BEHAVIOR,
+        """arrived AS (
+          SELECT event_id, user_id, us, max(us) OVER (ORDER BY us + event_id * 7919 % 3600 * 1000000, event_id
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+          FROM behavior WHERE event_type = 'view'
+        )""",
+        body="SELECT event_id, user_id FROM arrived WHERE us <= (seen // 1000 - 1200000) * 1000"),
     "stream_click_cap": _with(_BEHAVIOR, _CAPPED, body="""
         SELECT user_id, event_type, event_id, CASE WHEN n <= 2 THEN 'pass' ELSE 'blacklist' END AS tag
         FROM numbered WHERE n <= 3"""),

@@ -1,14 +1,16 @@
 """Catalog queries that run as streams over the driver's tables.
 
 Each reads the table as a file stream, processes what is there, and returns what
-the stream has written to the shared folder.  Rows may be out of order by ``delay``,
-however they are cut into files and batches; later ones are kept apart (see
-``streaming.late``).  The input ends, so a closing row ends all windows and timers.
+the stream has written to the shared folder.  Rows arrive batch by batch, and in a batch in
+order of ``event_id``; those that are ``delay`` or more behind the largest time before them are
+late (see ``streaming.late``) and kept apart, for ``stream_late_rows`` to return.  All that is
+there is one batch, unless ``files_per_trigger`` says otherwise; a batch's rows go through
+the query before those of the next.  The input ends, so a closing row ends all windows and timers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,48 +19,59 @@ from footfall.functions import micros
 from footfall.operators import interval_join, sliding_counts, summarize_runs, top_n
 from footfall.operators.uniques import exact_uniques
 from footfall.operators.windows import expand_runs, tumbling_counts
+from footfall.plans.catalog import JITTER, LATE
 from footfall.session import pin_zone, shared_folder, state_partitions
 from footfall.streaming.changelog import apply_changes, retracting_top_n_writer
-from footfall.streaming.late import settled
+from footfall.streaming.late import Settled, late_splitting_writer, run_settled, settled
 from footfall.streaming.panes import close_windows, sliding_writer
-from footfall.streaming.processors import AnchoredFailures, ChainedFailures, ClickCap, run_processor
+from footfall.streaming.processors import (
+    AnchoredFailures,
+    ChainedFailures,
+    ClickCap,
+    FailureBursts,
+    OrderStatus,
+    TwoStreamMatch,
+    run_processor,
+)
 from footfall.streaming.sinks import Writer, read_latest, run_available, top_n_writer, upsert_writer
 
-#: A micro-batch of the raw input holds at most this much.  Results do not depend on it.
-BATCH_BYTES = 4 << 30
 DELAY = "1 hour"
-#: Longer than any window, day or join range below.
+#: Longer than any window, day, wait or join range below.
 CLOSE_AFTER = "2 days"
+#: State machines wake up by the hour, as rows wait for an hour.
+GRAIN_MS = 3_600_000
 
 
-def settled_events(
-    spark: SparkSession, sf_dir: str, label: str, delay: str = DELAY, kind: Column | None = None, close: bool = True,
-    files_per_trigger: int | None = None,
-) -> tuple[DataFrame, str]:
-    """Events within the delay as a stream, and the folder that has the late ones under ``late``."""
+def _events(spark: SparkSession, sf_dir: str, kind: Column | None = None, files_per_trigger: int | None = None) -> DataFrame:
     pin_zone(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    # a plain path must be a folder for a file stream; a pattern may also match one file
     stream = spark.readStream.schema(schema)
     if files_per_trigger:
         stream = stream.option("maxFilesPerTrigger", files_per_trigger)
-    else:
-        stream = stream.option("maxBytesPerTrigger", BATCH_BYTES)
+    # a plain path must be a folder for a file stream; a pattern may also match one file
     rows = stream.parquet(f"{sf_dir}/events.parque[t]").withColumn("event_time", F.col("ts").cast("timestamp"))
-    if kind is not None:  # filtered first, so that the watermark follows these alone, and the closing row stays
-        rows = rows.filter(kind)
-    folder = f"{shared_folder(spark, label)}/settled"
+    # filtered first, so that the watermark follows these alone
+    return rows if kind is None else rows.filter(kind)
+
+
+def settled_events(
+    spark: SparkSession, sf_dir: str, label: str, delay: str = DELAY, kind: Column | None = None, close: bool = True,
+    files_per_trigger: int | None = None,
+) -> Settled:
+    """Events within the delay; its folder has the late ones under ``late``."""
+    rows, folder = _events(spark, sf_dir, kind, files_per_trigger), f"{shared_folder(spark, label)}/settled"
     with state_partitions(spark):
-        return settled(rows, folder, "event_time", delay, CLOSE_AFTER if close else None, files_per_trigger), folder
+        return settled(rows, folder, "event_time", delay, ["event_id"], CLOSE_AFTER if close else None)
 
 
-def _of_type(spark: SparkSession, sf_dir: str, kind: str, **options) -> DataFrame:
-    return settled_events(spark, sf_dir, kind, kind=F.col("event_type") == kind, **options)[0]
+def _of_type(spark: SparkSession, sf_dir: str, kind: str, **options) -> Settled:
+    return settled_events(spark, sf_dir, kind, kind=F.col("event_type") == kind, **options)
 
 
 def _written(
     spark: SparkSession,
     label: str,
+    sources: Sequence[Settled],
     stream: DataFrame,
     mode: str = "append",
     make: Callable[[str], Writer] | None = None,
@@ -66,34 +79,37 @@ def _written(
     folder = shared_folder(spark, label)
     writer = make(f"{folder}/out") if make else None
     with state_partitions(spark):
-        run_available(stream, f"{folder}/checkpoint", f"{folder}/out", mode, writer)
+        run_settled(sources, lambda: run_available(stream, f"{folder}/checkpoint", f"{folder}/out", mode, writer))
     return f"{folder}/out"
 
 
 def stream_page_views(spark, sf_dir, **options):
-    counts = tumbling_counts(_of_type(spark, sf_dir, "view", **options), [], "event_time", "1 hour")
-    return spark.read.parquet(_written(spark, "page-views", counts))
+    views = _of_type(spark, sf_dir, "view", **options)
+    counts = tumbling_counts(views.rows, [], "event_time", "1 hour")
+    return spark.read.parquet(_written(spark, "page-views", [views], counts))
 
 
 def stream_unique_visitors(spark, sf_dir, **options):
-    counts = exact_uniques(_of_type(spark, sf_dir, "view", **options), "user_id", "event_time", "1 hour")
-    return spark.read.parquet(_written(spark, "unique-visitors", counts))
+    views = _of_type(spark, sf_dir, "view", **options)
+    counts = exact_uniques(views.rows, "user_id", "event_time", "1 hour")
+    return spark.read.parquet(_written(spark, "unique-visitors", [views], counts))
 
 
 def _item_counts(spark, sf_dir, **options):
     item = F.get_json_object("props", "$.k").cast("bigint")
-    views = _of_type(spark, sf_dir, "view", **options).select(item.alias("item_id"), "event_time")
-    return sliding_counts(views, ["item_id"], "event_time", "1 hour", "5 minutes")
+    views = _of_type(spark, sf_dir, "view", **options)
+    items = views.rows.select(item.alias("item_id"), "event_time")
+    return [views], sliding_counts(items, ["item_id"], "event_time", "1 hour", "5 minutes")
 
 
 def stream_hot_items(spark, sf_dir, **options):
-    out = _written(spark, "hot-items", _item_counts(spark, sf_dir, **options), make=lambda path: top_n_writer(path, "item_id", 5))
+    out = _written(spark, "hot-items", *_item_counts(spark, sf_dir, **options), make=lambda path: top_n_writer(path, "item_id", 5))
     return spark.read.parquet(out).select("window_end", "item_id", "count", "row_num")
 
 
 def stream_hot_items_retract(spark, sf_dir, **options):
     """The ranking that the change log of the retracting stream leads to; open windows are in it."""
-    out = _written(spark, "hot-items-retract", _item_counts(spark, sf_dir, close=False, **options), "update",
+    out = _written(spark, "hot-items-retract", *_item_counts(spark, sf_dir, close=False, **options), "update",
                    lambda path: retracting_top_n_writer(path, "item_id", 5))
     changes = spark.read.parquet(f"{out}/changes")
     return apply_changes(changes, ["window_end", "row_num"]).select("window_end", "item_id", "count", "row_num")
@@ -101,74 +117,128 @@ def stream_hot_items_retract(spark, sf_dir, **options):
 
 def stream_page_views_upsert(spark, sf_dir, **options):
     """Page views kept in a keyed table by updates; open windows are in it."""
-    counts = tumbling_counts(_of_type(spark, sf_dir, "view", close=False, **options), [], "event_time", "1 hour")
-    out = _written(spark, "page-views-upsert", counts, "update", upsert_writer)
+    views = _of_type(spark, sf_dir, "view", close=False, **options)
+    counts = tumbling_counts(views.rows, [], "event_time", "1 hour")
+    out = _written(spark, "page-views-upsert", [views], counts, "update", upsert_writer)
     return read_latest(spark, out, ["window_end"])
 
 
 def stream_interval_join(spark, sf_dir, **options):
-    side = lambda kind: _of_type(spark, sf_dir, kind, **options).select("event_id", "user_id", "event_time")
+    sides = [_of_type(spark, sf_dir, kind, **options) for kind in ("click", "purchase")]
     pairs = interval_join(
-        side("click"), side("purchase"), ("user_id", "user_id"), ("event_time", "event_time"), "-3 hours", "5 hours",
+        *[side.rows.select("event_id", "user_id", "event_time") for side in sides], ("user_id", "user_id"), ("event_time", "event_time"), "-3 hours", "5 hours",
         names=("click", "purchase"),
     )
     ids = pairs.select(F.col("click.event_id").alias("click_id"), F.col("purchase.event_id").alias("purchase_id"))
-    return spark.read.parquet(_written(spark, "interval-join", ids))
+    return spark.read.parquet(_written(spark, "interval-join", sides, ids))
 
 
-def _failures(spark, sf_dir, **options):
-    return settled_events(spark, sf_dir, "failures", **options)[0].select(
+def _machine(spark, label, source, rows, key, processor):
+    processor.grain_ms = GRAIN_MS
+    return spark.read.parquet(_written(spark, label, [source], run_processor(rows, key, processor)))
+
+
+def _failures(spark, sf_dir, label, processor, **options):
+    events = settled_events(spark, sf_dir, label, **options)
+    rows = events.rows.select(
         "user_id", "event_time", micros("event_time").alias("us"), F.col("event_id").alias("tie"),
         (F.col("event_type") == "error").alias("fail"),
     )
+    return _machine(spark, label, events, rows, ["user_id"], processor)
 
 
 def stream_fail_anchor(spark, sf_dir, **options):
-    alerts = run_processor(_failures(spark, sf_dir, **options), ["user_id"], AnchoredFailures(43_200_000_000))
-    return spark.read.parquet(_written(spark, "fail-anchor", alerts))
+    return _failures(spark, sf_dir, "fail-anchor", AnchoredFailures(43_200_000_000), **options)
 
 
 def stream_fail_last_matched(spark, sf_dir, **options):
-    alerts = run_processor(_failures(spark, sf_dir, **options), ["user_id"], ChainedFailures(43_200_000_000))
-    return spark.read.parquet(_written(spark, "fail-last-matched", alerts))
+    return _failures(spark, sf_dir, "fail-last-matched", ChainedFailures(43_200_000_000), **options)
+
+
+def stream_fail_bursts(spark, sf_dir, **options):
+    return _failures(spark, sf_dir, "fail-bursts", FailureBursts(43_200_000_000), **options)
 
 
 def stream_click_cap(spark, sf_dir, **options):
     day_offset = 28_800_000_000
-    clicks = settled_events(spark, sf_dir, "clicks", **options)[0].select(
+    events = settled_events(spark, sf_dir, "clicks", **options)
+    clicks = events.rows.select(
         "user_id", F.col("event_type").alias("target"), micros("event_time").alias("us"),
         F.col("event_id").alias("tie"), "event_time",
     )
     clicks = clicks.withColumn("day", F.expr(f"(us + {day_offset}) div 86400000000"))
-    tagged = run_processor(clicks, ["user_id", "target"], ClickCap(2, day_offset))
-    out = spark.read.parquet(_written(spark, "click-cap", tagged))
+    out = _machine(spark, "click-cap", events, clicks, ["user_id", "target"], ClickCap(2, day_offset))
     return out.select("user_id", F.col("target").alias("event_type"), F.col("tie").alias("event_id"), "tag")
 
 
-def _swept(spark, label, panes, keys, size, slide, then=None):
-    folder = f"{shared_folder(spark, label)}"
+def stream_order_status(spark, sf_dir, **options):
+    """Sign-ups and purchases as creates and pays; a late pay is waited for a day longer."""
+    kind = F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "purchase", "pay")
+    events = settled_events(spark, sf_dir, "orders", kind=kind.isNotNull(), **options)
+    rows = events.rows.select(
+        "user_id", kind.alias("kind"), micros("event_time").alias("us"), F.col("event_id").alias("tie"), "event_time"
+    )
+    out = _machine(spark, "orders", events, rows, ["user_id"], OrderStatus(43_200_000_000, 86_400_000_000))
+    return out.select(F.col("order_id").alias("user_id"), "status")
+
+
+def stream_two_stream_match(spark, sf_dir, **options):
+    """Clicks wait five hours for a purchase of their user, purchases three hours for a click."""
+    side = F.when(F.col("event_type") == "click", "pay").when(F.col("event_type") == "purchase", "receipt")
+    events = settled_events(spark, sf_dir, "match", kind=side.isNotNull(), **options)
+    rows = events.rows.select(
+        F.col("user_id").cast("string").alias("tx_id"), side.alias("side"), micros("event_time").alias("us"),
+        F.col("event_id").alias("tie"), "event_time",
+    )
+    out = _machine(spark, "match", events, rows, ["tx_id"], TwoStreamMatch(18_000_000_000, 10_800_000_000))
+    return out.select(F.col("pay_tie").alias("click_id"), F.col("receipt_tie").alias("purchase_id"), "tag")
+
+
+def stream_late_split(spark, sf_dir, files_per_trigger=None):
+    """``late_split`` on a stream: rows arrive by their jittered times, each is judged by those before it."""
+    rows = _events(spark, sf_dir, files_per_trigger=files_per_trigger)
+    rows = rows.select("event_id", "event_time", (micros("event_time") + F.expr(JITTER)).alias("arrival"))
+    folder = shared_folder(spark, "late-split")
+    writer = late_splitting_writer(folder, "event_time", LATE["delay"], LATE["size"], LATE["slide"], LATE["lateness"], ["arrival", "event_id"])
+    run_available(rows, f"{folder}/splitting", writer=writer)
+    both = spark.read.parquet(f"{folder}/kept").unionByName(spark.read.parquet(f"{folder}/late"))
+    return both.select("event_id", "tag", "watermark_us")
+
+
+def stream_late_rows(spark, sf_dir, delay="20 minutes", files_per_trigger=None):
+    """Views that are late by the plain delay rule, if they arrive by their jittered times."""
+    rows = _events(spark, sf_dir, F.col("event_type") == "view", files_per_trigger)
+    rows = rows.withColumn("arrival", micros("event_time") + F.expr(JITTER))
+    folder = f"{shared_folder(spark, 'late-rows')}/settled"
+    settled(rows, folder, "event_time", delay, ["arrival", "event_id"])
+    return spark.read.parquet(f"{folder}/late").select("event_id", "user_id")
+
+
+def _swept(spark, label, sources, panes, keys, size, slide, then=None):
+    folder = shared_folder(spark, label)
+    writer = sliding_writer(f"{folder}/windows", keys, size, slide, then)
     with state_partitions(spark):
-        run_available(panes, f"{folder}/checkpoint", writer=sliding_writer(f"{folder}/windows", keys, size, slide, then))
+        run_settled(sources, lambda: run_available(panes, f"{folder}/checkpoint", writer=writer))
     return close_windows(spark, f"{folder}/windows", keys, size, slide, then)
 
 
 def stream_hot_pages(spark, sf_dir, **options):
     """The three most requested pages of ten minutes, every five seconds."""
     url = F.get_json_object("props", "$.k").cast("bigint")
-    views = _of_type(spark, sf_dir, "view", **options).select(url.alias("url"), "event_time")
-    panes = tumbling_counts(views, ["url"], "event_time", "5 seconds")
+    views = _of_type(spark, sf_dir, "view", **options)
+    panes = tumbling_counts(views.rows.select(url.alias("url"), "event_time"), ["url"], "event_time", "5 seconds")
     ranked = lambda runs: top_n(expand_runs(runs, "5 seconds"), "url", 3)
-    out = _swept(spark, "hot-pages", panes, ["url"], "10 minutes", "5 seconds", ranked)
+    out = _swept(spark, "hot-pages", [views], panes, ["url"], "10 minutes", "5 seconds", ranked)
     return out.select("window_end", "url", "count", "row_num")
 
 
 def stream_channel_counts_daily(spark, sf_dir, **options):
     """Windows of an hour every five seconds by channel and behaviour, summed up by day."""
     channel = (F.get_json_object("props", "$.k").cast("bigint") % 3).alias("channel")
-    rows = settled_events(spark, sf_dir, "channels", kind=F.col("event_type") != "unstall", **options)[0]
-    rows = rows.select(channel, F.col("event_type").alias("behavior"), "event_time")
+    events = settled_events(spark, sf_dir, "channels", kind=F.col("event_type") != "unstall", **options)
+    rows = events.rows.select(channel, F.col("event_type").alias("behavior"), "event_time")
     panes = tumbling_counts(rows, ["channel", "behavior"], "event_time", "5 seconds")
-    runs = _swept(spark, "channels", panes, ["channel", "behavior"], "1 hour", "5 seconds")
+    runs = _swept(spark, "channels", [events], panes, ["channel", "behavior"], "1 hour", "5 seconds")
     return summarize_runs(runs, ["channel", "behavior"], "5 seconds")
 
 
@@ -181,7 +251,12 @@ STREAM_QUERIES = {
     "stream_interval_join": stream_interval_join,
     "stream_fail_anchor": stream_fail_anchor,
     "stream_fail_last_matched": stream_fail_last_matched,
+    "stream_fail_bursts": stream_fail_bursts,
     "stream_click_cap": stream_click_cap,
+    "stream_order_status": stream_order_status,
+    "stream_two_stream_match": stream_two_stream_match,
+    "stream_late_split": stream_late_split,
+    "stream_late_rows": stream_late_rows,
     "stream_hot_pages": stream_hot_pages,
     "stream_channel_counts_daily": stream_channel_counts_daily,
 }

@@ -1,86 +1,126 @@
 """Late-row side output for streams.
 
-Spark drops rows behind the watermark without a trace.  Here they are set apart
-before any aggregation, against the largest event time of earlier batches, which
-is when Spark's own watermark moves too.  What is kept goes to a table that the
-stateful query reads as a stream: it never holds a row behind its watermark.
+Spark drops rows behind the watermark without a trace, and what it drops depends on how the
+input is cut into batches.  Here each row is judged by the rows that arrived before it: inside
+a batch by a running maximum over row-balanced cuts, across batches by one carried maximum.
+So the late rows are the same however the input is cut, as long as its order is; and what is
+kept is never behind Spark's own watermark, which follows whole batches only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.functions.times import duration_us, floor_to, micros, micros_to_ts
+from footfall.functions.times import duration_us, micros, micros_to_ts
+from footfall.operators.cuts import CUT, ordered_cuts, running_before
+from footfall.operators.late import LATE, window_tags
 from footfall.streaming.sinks import Writer, _store, run_available
 
 
-def _splitter(path: str, ts: str, is_late: Callable[[Column], Column]) -> Writer:
-    """Stores a batch's rows under ``main`` or ``late``; ``is_late`` gets the largest time (µs) of
-    earlier batches, NULL in the first one.  A batch reads one row of the batch before it."""
+def _splitter(
+    path: str, ts: str, arrival: Sequence[str], mark: Callable[[DataFrame, Column], DataFrame], late: Column
+) -> Writer:
+    """Stores a batch's rows under ``kept`` or ``late``.
+
+    ``mark`` adds columns to rows, given the largest time (µs) that arrived before each, NULL for the
+    first.  A batch reads one row of the batch before it.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, seen = batch.sparkSession, None
+        spark, before = batch.sparkSession, None
         if batch_id > 0:
-            seen = spark.read.parquet(f"{path}/peaks/batch_id={batch_id - 1}").first()[0]
-        late = F.coalesce(is_late(F.lit(seen).cast("bigint")), F.lit(False))
-        batch.persist()
-        try:
-            _store(batch.filter(~late), f"{path}/main", batch_id)
-            _store(batch.filter(late), f"{path}/late", batch_id)
-            peak = F.greatest(F.max(micros(ts)), F.lit(seen).cast("bigint"))
-            _store(batch.agg(peak.alias("peak")), f"{path}/peaks", batch_id)
-        finally:
-            batch.unpersist()
+            before = spark.read.parquet(f"{path}/peaks/batch_id={batch_id - 1}").first()[0]
+        before = F.lit(before).cast("bigint")
+        cuts = ordered_cuts(batch.withColumn("_us", micros(ts)), arrival, "late")
+        seen = running_before(cuts, [], arrival, {"_seen": (F.max, F.col("_us"))}, {"_seen": F.greatest})
+        marked = mark(seen, F.greatest("_seen", before)).drop("_us", "_seen", CUT)
+        is_late = F.coalesce(late, F.lit(False))
+        _store(marked.filter(~is_late), f"{path}/kept", batch_id)
+        _store(marked.filter(is_late), f"{path}/late", batch_id)
+        _store(cuts.agg(F.greatest(F.max("_us"), before).alias("peak")), f"{path}/peaks", batch_id)
 
     return write
 
 
-def late_rows_writer(path: str, ts: str, delay: str) -> Writer:
-    """Rows at or behind the watermark, ``delay`` before the largest time of earlier batches, are late."""
+def late_rows_writer(path: str, ts: str, delay: str, arrival: Sequence[str]) -> Writer:
+    """Rows at or behind the watermark, ``delay`` before the largest time that arrived earlier, are late."""
     delay_ms = duration_us(delay) // 1000
 
-    def is_late(seen: Column) -> Column:
+    def mark(rows: DataFrame, seen: Column) -> DataFrame:
         watermark_ms = F.call_function("div", seen, F.lit(1000)) - F.lit(delay_ms)
-        return micros(ts) <= watermark_ms * F.lit(1000)
+        return rows.withColumn("_late", micros(ts) <= watermark_ms * F.lit(1000))
+
+    return _splitter(path, ts, arrival, mark, F.col("_late"))
+
+
+class Settled:
+    """What a stream holds now without its late rows, batch by batch.
+
+    ``rows`` is a stream with a watermark.  It finds a batch's rows once ``release`` has moved
+    them to ``main``, all at once: a batch that came in parts could fall behind the watermark
+    of its first part.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, rows: DataFrame, batches: Sequence[Sequence[int]]):
+        self.spark, self.folder, self.rows, self.batches = spark, folder, rows, [list(b) for b in batches]
 
-    return _splitter(path, ts, is_late)
+    def release(self) -> bool:
+        """Moves the next batch; False if there is none."""
+        if not self.batches:
+            return False
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        main = hadoop.Path(f"{self.folder}/main")
+        files = main.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.mkdirs(main)
+        for batch_id in self.batches.pop(0):
+            name = f"batch_id={batch_id}"
+            if not files.rename(hadoop.Path(f"{self.folder}/kept/{name}"), hadoop.Path(f"{self.folder}/main/{name}")):
+                raise OSError(f"could not release {self.folder}/kept/{name}")
+        return True
 
 
 def settled(
-    stream: DataFrame, path: str, ts: str, delay: str, close_after: str | None = None, files_per_trigger: int | None = None
-) -> DataFrame:
-    """What ``stream`` holds now without its late rows, as a stream with a watermark of ``delay``.
-
-    Rows that are out of order by less than ``delay`` are kept however the input is cut
-    into files and batches; the others are under ``path``/late.  With ``close_after`` a row
-    of NULLs follows, that much later than the watermark's reach, as a source's end would:
-    it closes all windows and timers of up to that length.  Rows without a time are kept.
+    stream: DataFrame, path: str, ts: str, delay: str, arrival: Sequence[str], close_after: str | None = None
+) -> Settled:
+    """What ``stream`` holds now without its late rows, to be released batch by batch.
+
+    A row is late if it is ``delay`` or more behind the largest time that arrived before it: in
+    an earlier batch, or in its own by the columns ``arrival``.  Late rows are under
+    ``path``/late.  With ``close_after`` a row of NULLs follows, that much later than the
+    watermark's reach, as a source's end would: it closes all windows and timers of up to that
+    length.  Rows without a time are kept.
     """
     spark = stream.sparkSession
-    run_available(stream, f"{path}/splitting", writer=late_rows_writer(path, ts, delay))
-    main = f"{path}/main"
-    if close_after:
-        last, peak = spark.read.parquet(f"{path}/peaks").agg(F.max("batch_id"), F.max("peak")).first()
-        if peak is not None:
-            end = micros_to_ts(F.lit(peak + duration_us(delay) + duration_us(close_after)))
-            nulls = [end.alias(c) if c == ts else F.lit(None).cast(t).alias(c) for c, t in stream.dtypes]
-            _store(spark.range(1).select(*nulls), main, last + 1)
-    source = spark.readStream.schema(stream.schema)
-    if files_per_trigger:
-        source = source.option("maxFilesPerTrigger", files_per_trigger)
-    return source.parquet(f"{main}/batch_id=*").withWatermark(ts, delay)
-
-
-def late_splitting_writer(path: str, ts: str, delay: str, size: str, slide: str, lateness: str) -> Writer:
-    """Stores rows under ``main`` and those late for all their windows under ``late``."""
-    size_us, slide_us = duration_us(size), duration_us(slide)
-    delay_us, lateness_us = duration_us(delay), duration_us(lateness)
-
-    def is_late(seen: Column) -> Column:
-        last_end = floor_to(micros(ts), slide_us) + F.lit(size_us)
-        return last_end - F.lit(1_000) + F.lit(lateness_us) <= seen - F.lit(delay_us)
-
-    return _splitter(path, ts, is_late)
+    run_available(stream, f"{path}/splitting", writer=late_rows_writer(path, ts, delay, arrival))
+    peaks = spark.read.parquet(f"{path}/peaks").orderBy("batch_id").collect()  # one row a batch
+    batches = [[r.batch_id] for r in peaks]
+    if close_after and peaks and peaks[-1].peak is not None:
+        end = micros_to_ts(F.lit(peaks[-1].peak + duration_us(delay) + duration_us(close_after)))
+        nulls = [end.alias(c) if c == ts else F.lit(None).cast(t).alias(c) for c, t in stream.dtypes]
+        last = peaks[-1].batch_id + 1
+        _store(spark.range(1).select(*nulls), f"{path}/kept", last)
+        batches[-1].append(last)
+    rows = spark.readStream.schema(stream.schema).parquet(f"{path}/main/batch_id=*").withWatermark(ts, delay)
+    return Settled(spark, path, rows, batches)
+
+
+def run_settled(sources: Sequence[Settled], run: Callable[[], None]) -> None:
+    """Calls ``run``, which processes what its streams hold, after each release of a batch of all ``sources``."""
+    while any([source.release() for source in sources]):
+        run()
+
+
+def late_splitting_writer(
+    path: str, ts: str, delay: str, size: str, slide: str, lateness: str, arrival: Sequence[str]
+) -> Writer:
+    """Stores rows under ``kept`` and those late for all their windows under ``late``, with ``tag`` and
+    ``watermark_us`` as ``split_late`` has them."""
+
+    def mark(rows: DataFrame, seen: Column) -> DataFrame:
+        marked = rows.withColumn("watermark_us", seen - F.lit(duration_us(delay)))
+        return window_tags(marked, ts, size, slide, lateness)
+
+    return _splitter(path, ts, arrival, mark, F.col("tag") == LATE)

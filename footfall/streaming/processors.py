@@ -1,10 +1,9 @@
 """Keyed state machines for streams, on ``transformWithStateInPandas``.
 
 Input frames carry ``us`` (event time, µs) and ``tie``.  An ``OrderedProcessor`` keeps
-rows until the watermark has passed them and takes them in that order, so its result
-does not depend on batches; a ``KeyedProcessor`` takes them as they arrive, the rows
-of a batch in that order.  Beyond waiting rows, either holds a handful of values per
-key.  ``run_processor`` wires a processor to a stream.
+rows until the watermark has passed them and takes them, and its timers, in order of time,
+so its result does not depend on batches or arrival.  Beyond waiting rows it holds a
+handful of values per key.  ``run_processor`` wires a processor to a stream.
 """
 
 from __future__ import annotations
@@ -18,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from footfall.operators.matching import LEFT_ONLY, MATCHED, RIGHT_ONLY
+from footfall.operators.orders import NOT_CREATED, PAID, PAID_LATE, TIMEOUT
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -36,7 +38,7 @@ def _due_ms(us: int) -> int:
 
 
 class KeyedProcessor(StatefulProcessor):
-    """Collects the rows that ``on_row`` and ``on_timer`` give into one frame per call."""
+    """What processors share: the DDL of the result, and result rows as a frame."""
 
     #: DDL of the result
     output: str = ""
@@ -50,23 +52,11 @@ class KeyedProcessor(StatefulProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         raise NotImplementedError
 
-    def on_row(self, key, row) -> Iterator[tuple]:
-        raise NotImplementedError
-
-    def on_timer(self, key, at_ms: int) -> Iterator[tuple]:
-        return iter(())
-
     def _frame(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
         if rows:
             names = [field.split()[0] for field in self.output.split(", ")]
             yield pd.DataFrame(rows, columns=names)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        yield from self._frame([out for row in _ordered(rows) for out in self.on_row(key, row)])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._frame(list(self.on_timer(key, expiredTimerInfo.getExpiryTimeInMs())))
-
     def close(self) -> None:
         pass
 
@@ -103,21 +93,48 @@ def run_processor(stream: DataFrame, key: list[str], processor: KeyedProcessor,
 
 
 class OrderedProcessor(KeyedProcessor):
-    """Takes rows in event time: they wait until no earlier one can come.
+    """Takes rows, and what falls due between them, in event time.
 
-    ``columns`` are what ``on_row`` needs of a row, ``us`` and ``tie`` first.  Rows of
-    a NULL key are left out, as the batch operators leave them out; ``run_processor``
-    adds to the key whether it is one.
+    Rows wait until the watermark has passed them.  Then they and the key's due time are
+    taken in one order of time: what is due before a row takes effect before it.  What a key
+    holds is one tuple, read and written once for all rows that are ready.
+
+    ``columns`` are what ``step`` needs of a row, ``us`` and ``tie`` first, ``held`` the DDL of the
+    tuple.  Timers lie on a grid of ``grain_ms``, so that a key with rows at many times wakes up
+    once a step, and a waiting row is read and put back about delay / grain times, not once
+    for each row before it.  Rows of a NULL key are left out, as the batch operators leave them
+    out; ``run_processor`` adds to the key whether it is one.
     """
 
     columns: str = ""
+    held: str = ""
     time_mode = "eventTime"
+    grain_ms = 60_000
+
+    def step(self, key, held, row) -> tuple[tuple | None, list[tuple]]:
+        """What the key holds after ``row``, and the result rows."""
+        raise NotImplementedError
+
+    def due(self, held) -> int | None:
+        """The last time (µs) at which a row may come before ``on_due``."""
+        return None
+
+    def on_due(self, key, held) -> tuple[tuple | None, list[tuple]]:
+        return None, []
+
+    def place(self, row) -> tuple:
+        """Rows are taken in this order."""
+        return row[:2]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.waiting = handle.getListState("waiting", self.columns)
+        self.kept = handle.getValueState("held", self.held)
         self.names = [field.split()[0] for field in self.columns.split(", ")]
         self.row = namedtuple("Row", self.names)
-        super().init(handle)
+
+    def _wake(self, us: int) -> None:
+        self.handle.registerTimer(-(-us // (1000 * self.grain_ms)) * self.grain_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = None
@@ -128,53 +145,63 @@ class OrderedProcessor(KeyedProcessor):
                 low = int(kept["us"].min())
                 first = low if first is None else min(first, low)
         if first is not None:
-            self.handle.registerTimer(_due_ms(first))
+            self._wake(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now_us = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = sorted((tuple(r) for r in self.waiting.get()), key=lambda r: r[:2]) if self.waiting.exists() else []
-        ready = sum(r[0] <= now_us for r in rows)
-        out = [o for r in rows[:ready] for o in self.on_row(key, self.row(*r))]
-        if ready:
-            rest = rows[ready:]
-            if rest:
-                self.waiting.put(rest)
-                self.handle.registerTimer(_due_ms(rest[0][0]))
-            else:
-                self.waiting.clear()
-        out += self.on_watermark(key, now_us)
+        rows = [self.row(*r) for r in self.waiting.get()] if self.waiting.exists() else []
+        ready = sorted((r for r in rows if r.us <= now_us), key=self.place)
+        rest = [r for r in rows if r.us > now_us]
+        before = held = tuple(self.kept.get()) if self.kept.exists() else None
+        out: list[tuple] = []
+        for row in ready:
+            while held is not None and (due := self.due(held)) is not None and due < row.us:
+                held, more = self.on_due(key, held)
+                out += more
+            held, more = self.step(key, held, row)
+            out += more
+        while held is not None and (due := self.due(held)) is not None and due <= now_us:
+            held, more = self.on_due(key, held)
+            out += more
+        if ready and rest:
+            self.waiting.put([tuple(r) for r in rest])
+        elif ready:
+            self.waiting.clear()
+        if held is None and before is not None:
+            self.kept.clear()
+        elif held != before:
+            self.kept.update(held)
+        wakes = [r.us for r in rest]
+        if held is not None and self.due(held) is not None:
+            wakes.append(self.due(held))
+        if wakes:
+            # behind the grid point just reached: rows and dues at or before the watermark are done
+            self._wake(max(min(wakes), now_us + 1))
         yield from self._frame(out)
 
-    def on_watermark(self, key, now_us: int) -> Iterator[tuple]:
-        return iter(())
-
 
 class AnchoredFailures(OrderedProcessor):
     """Warns of each failure less than ``within_us`` after the first of its streak.
 
-    Wants a boolean ``fail``.  State: first failure and length of the open streak.
+    Wants a boolean ``fail``.  Held: first failure and length of the open streak.
     """
 
     output = "user_id bigint, first_us bigint, last_us bigint, msg string"
     columns = "us bigint, tie bigint, fail boolean"
+    held = "first_us bigint, size bigint"
 
     def __init__(self, within_us: int, label: str = "login fail in 2s for %d times."):
         self.within_us, self.label = within_us, label
 
-    def open(self, handle):
-        self.streak = handle.getValueState("streak", "first_us bigint, size bigint")
-
-    def on_row(self, key, row):
+    def step(self, key, held, row):
         if not row.fail:
-            self.streak.clear()
-        elif not self.streak.exists():
-            self.streak.update((int(row.us), 1))
-        else:
-            first_us, size = self.streak.get()
-            if row.us - first_us < self.within_us:
-                yield (key[0], first_us, int(row.us), self.label % size)
-            self.streak.update((first_us, size + 1))
+            return None, []
+        if held is None:
+            return (int(row.us), 1), []
+        first_us, size = held
+        warned = row.us - first_us < self.within_us
+        return (first_us, size + 1), [(key[0], first_us, int(row.us), self.label % size)] if warned else []
 
 
 class ChainedFailures(OrderedProcessor):
@@ -182,66 +209,43 @@ class ChainedFailures(OrderedProcessor):
 
     output = "user_id bigint, first_us bigint, last_us bigint, msg string"
     columns = "us bigint, tie bigint, fail boolean"
+    held = "us bigint"
 
     def __init__(self, within_us: int, label: str = "login fail"):
         self.within_us, self.label = within_us, label
 
-    def open(self, handle):
-        self.saved = handle.getValueState("saved", "us bigint")
-
-    def on_row(self, key, row):
+    def step(self, key, held, row):
         if not row.fail:
-            self.saved.clear()
-        elif not self.saved.exists():
-            self.saved.update((int(row.us),))
-        else:
-            (saved,) = self.saved.get()
-            if row.us - saved <= self.within_us:
-                yield (key[0], saved, int(row.us), self.label)
-                self.saved.update((int(row.us),))
+            return None, []
+        if held is None or row.us - held[0] > self.within_us:
+            return held or (int(row.us),), []
+        return (int(row.us),), [(key[0], held[0], int(row.us), self.label)]
 
 
-class FailureBursts(KeyedProcessor):
+class FailureBursts(OrderedProcessor):
     """A timer burst: the first failure waits ``wait_us``; a success cancels; two or
     more failures when the wait ends give one warning."""
 
     output = "user_id bigint, first_us bigint, last_us bigint, msg string"
-    time_mode = "eventTime"
+    columns = "us bigint, tie bigint, fail boolean"
+    held = "first_us bigint, last_us bigint, size bigint"
 
     def __init__(self, wait_us: int, label: str = "login fail in 2s for %d times."):
         self.wait_us, self.label = wait_us, label
 
-    def open(self, handle):
-        self.burst = handle.getValueState("burst", "first_us bigint, last_us bigint, size bigint, due_ms bigint")
-
-    def on_row(self, key, row):
-        if self.burst.exists():
-            first_us, last_us, size, due_ms = self.burst.get()
-            if row.us > due_ms * 1000:
-                # the wait ended before this row, whether or not its timer has fired
-                yield from self._end(key)
-        if self.burst.exists():
-            first_us, last_us, size, due_ms = self.burst.get()
-            if row.fail:
-                self.burst.update((first_us, int(row.us), size + 1, due_ms))
-            else:
-                self.handle.deleteTimer(due_ms)
-                self.burst.clear()
-        elif row.fail:
-            due_ms = (int(row.us) + self.wait_us) // 1000
-            self.handle.registerTimer(due_ms)
-            self.burst.update((int(row.us), int(row.us), 1, due_ms))
-
-    def _end(self, key):
-        first_us, last_us, size, due_ms = self.burst.get()
-        self.handle.deleteTimer(due_ms)
-        self.burst.clear()
-        if size >= 2:
-            yield (key[0], first_us, last_us, self.label % size)
-
-    def on_timer(self, key, at_ms):
-        if self.burst.exists() and self.burst.get()[3] == at_ms:
-            yield from self._end(key)
+    def step(self, key, held, row):
+        if not row.fail:
+            return None, []
+        if held is None:
+            return (int(row.us), int(row.us), 1), []
+        return (held[0], int(row.us), held[2] + 1), []
+
+    def due(self, held):
+        return held[0] + self.wait_us
+
+    def on_due(self, key, held):
+        first_us, last_us, size = held
+        return None, [(key[0], first_us, last_us, self.label % size)] if size >= 2 else []
 
 
 class ClickCap(OrderedProcessor):
@@ -253,114 +257,80 @@ class ClickCap(OrderedProcessor):
 
     output = "user_id bigint, target string, tie bigint, tag string"
     columns = "us bigint, tie bigint, day bigint"
+    held = "day bigint, size bigint"
 
     def __init__(self, cap: int, day_offset_us: int):
         self.cap, self.day_offset_us = cap, day_offset_us
 
-    def open(self, handle):
-        self.seen = handle.getValueState("seen", "day bigint, size bigint")
-
-    def on_row(self, key, row):
-        day, size = int(row.day), 0
-        if self.seen.exists():
-            stored_day, stored = self.seen.get()
-            size = stored if day == stored_day else 0
-        if size == 0:
-            self.handle.registerTimer(_due_ms((day + 1) * 86_400_000_000 - self.day_offset_us))
-        if size < self.cap:
-            yield (key[0], key[1], int(row.tie), "pass")
-        elif size == self.cap:
-            yield (key[0], key[1], int(row.tie), "blacklist")
-        self.seen.update((day, size + 1))
-
-    def on_watermark(self, key, now_us):
-        if self.seen.exists() and self.seen.get()[0] < (now_us + self.day_offset_us) // 86_400_000_000:
-            self.seen.clear()
-        return iter(())
+    def step(self, key, held, row):
+        size = held[1] if held and held[0] == row.day else 0
+        tag = "pass" if size < self.cap else "blacklist" if size == self.cap else None
+        return (int(row.day), size + 1), [(key[0], key[1], int(row.tie), tag)] if tag else []
+
+    def due(self, held):
+        return (held[0] + 1) * 86_400_000_000 - self.day_offset_us - 1
 
 
-class OrderStatus(KeyedProcessor):
-    """Create and pay of an order in either order, with a timer for the missing one.
+class OrderStatus(OrderedProcessor):
+    """``order_status`` for streams: create and pay of an order, with a timer for the missing pay.
 
-    Wants ``kind`` ('create' or 'pay').  Each result clears the order's state.
+    Wants ``kind`` ('create' or 'pay').  A create that is not paid in time is held ``late_us``
+    longer for a late pay, then times out.
     """
 
     output = "order_id bigint, status string"
-    time_mode = "eventTime"
+    columns = "us bigint, tie bigint, kind string"
+    held = "create_us bigint"
 
-    def __init__(self, within_us: int):
-        self.within_us = within_us
+    def __init__(self, within_us: int, late_us: int = 0):
+        self.within_us, self.late_us = within_us, late_us
 
-    def open(self, handle):
-        self.wait = handle.getValueState("wait", "kind string, due_us bigint")
+    def place(self, row):
+        return row.us, row.kind != "create", row.tie
+
+    def step(self, key, held, row):
+        in_time = held is not None and row.us - held[0] <= self.within_us
+        if row.kind == "create":
+            return (int(row.us),), [] if held is None or in_time else [(key[0], TIMEOUT)]
+        if row.kind != "pay":
+            return held, []
+        return None, [(key[0], NOT_CREATED if held is None else PAID if in_time else PAID_LATE)]
 
-    def _close(self):
-        _, due_us = self.wait.get()
-        self.handle.deleteTimer(due_us // 1000)
-        self.wait.clear()
+    def due(self, held):
+        return held[0] + self.within_us + self.late_us
 
-    def _open(self, kind, due_us):
-        self.handle.registerTimer(due_us // 1000)
-        self.wait.update((kind, due_us))
+    def on_due(self, key, held):
+        return None, [(key[0], TIMEOUT)]
 
-    def on_row(self, key, row):
-        waiting, due_us = self.wait.get() if self.wait.exists() else (None, None)
-        if row.kind == "create":
-            if waiting == "pay":
-                self._close()
-                yield (key[0], "payed")
-            else:
-                self._open("create", int(row.us) + self.within_us)
-        elif row.kind == "pay":
-            if waiting == "create":
-                self._close()
-                yield (key[0], "payed" if row.us <= due_us else "payed but already timeout")
-            else:
-                self._open("pay", int(row.us))
-
-    def on_timer(self, key, at_ms):
-        waiting = self.wait.get()[0] if self.wait.exists() else None
-        self.wait.clear()
-        yield (key[0], "payed but not created" if waiting == "pay" else "timeout")
-
-
-class TwoStreamMatch(KeyedProcessor):
-    """First come, first matched: a row waits for the other side until its timer.
+
+class TwoStreamMatch(OrderedProcessor):
+    """``first_come_match`` for streams: a row waits for the other side until its time is over.
 
     Wants ``side`` ('pay' or 'receipt').  A further row of the side that waits
-    takes its place, as there is one slot per side.
+    takes its place, as there is one slot.
     """
 
     output = "tx_id string, pay_tie bigint, receipt_tie bigint, tag string"
-    time_mode = "eventTime"
+    columns = "us bigint, tie bigint, side string"
+    held = "us bigint, tie bigint, side string"
 
     def __init__(self, pay_wait_us: int = 5_000_000, receipt_wait_us: int = 3_000_000):
         self.wait_us = {"pay": pay_wait_us, "receipt": receipt_wait_us}
 
-    def open(self, handle):
-        self.slots = {
-            "pay": handle.getValueState("pay", "tie bigint"),
-            "receipt": handle.getValueState("receipt", "tie bigint"),
-        }
-
-    def on_row(self, key, row):
-        other = self.slots["receipt" if row.side == "pay" else "pay"]
-        if other.exists():
-            (tie,) = other.get()
-            pair = (int(row.tie), tie) if row.side == "pay" else (tie, int(row.tie))
-            for slot in self.slots.values():
-                slot.clear()
-            yield (key[0], *pair, "matched")
-        else:
-            self.handle.registerTimer((int(row.us) + self.wait_us[row.side]) // 1000)
-            self.slots[row.side].update((int(row.tie),))
-
-    def on_timer(self, key, at_ms):
-        for side, tag in (("pay", "unmatched-pays"), ("receipt", "unmatched-receipts")):
-            if self.slots[side].exists():
-                (tie,) = self.slots[side].get()
-                self.slots[side].clear()
-                yield (key[0], tie, None, tag) if side == "pay" else (key[0], None, tie, tag)
+    def step(self, key, held, row):
+        if row.side not in self.wait_us:
+            return held, []
+        if held is None or held[2] == row.side:
+            return (int(row.us), int(row.tie), row.side), []
+        pair = (int(row.tie), held[1]) if row.side == "pay" else (held[1], int(row.tie))
+        return None, [(key[0], *pair, MATCHED)]
+
+    def due(self, held):
+        return held[0] + self.wait_us[held[2]]
+
+    def on_due(self, key, held):
+        lone = (held[1], None, LEFT_ONLY) if held[2] == "pay" else (None, held[1], RIGHT_ONLY)
+        return None, [(key[0], *lone)]
 
 
 class SequenceMatch(KeyedProcessor):

@@ -1,12 +1,23 @@
 """Streams against the batch operators on the same rows."""
 
+import random
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from footfall.functions import micros
-from footfall.operators import anchored_alerts, chained_alerts, click_cap, match_sequence, reconcile, top_n
+from footfall.operators import (
+    anchored_alerts,
+    chained_alerts,
+    click_cap,
+    failure_bursts,
+    first_come_match,
+    match_sequence,
+    order_status,
+    reconcile,
+    top_n,
+)
 from footfall.operators.windows import sliding_counts, tumbling_counts
 from footfall.plans import hot_items, traffic
 from footfall.streaming.changelog import apply_changes, ranking_changes, retracting_top_n_writer
@@ -203,9 +214,10 @@ def test_late_rows_are_set_apart(spark, tmp_path):
     # windows of 60 s every 10 s; the watermark is 999 s, windows live 30 s longer
     feed.add([(3, at(905)), (4, at(915)), (5, at(1001))])
     path = str(tmp_path / "split")
-    feed.run(feed.stream("1000 days"), writer=late_splitting_writer(path, "event_time", "1 second", "60 seconds", "10 seconds", "30 seconds"))
+    writer = late_splitting_writer(path, "event_time", "1 second", "60 seconds", "10 seconds", "30 seconds", ["id"])
+    feed.run(feed.stream("1000 days"), writer=writer)
     assert sorted(r.id for r in spark.read.parquet(f"{path}/late").collect()) == [3]
-    assert sorted(r.id for r in spark.read.parquet(f"{path}/main").collect()) == [1, 2, 4, 5]
+    assert sorted(r.id for r in spark.read.parquet(f"{path}/kept").collect()) == [1, 2, 4, 5]
 
 
 EVENT = "user_id bigint, us bigint, tie bigint, fail boolean, event_time timestamp"
@@ -231,14 +243,17 @@ def test_failure_alerts(spark, tmp_path, failures, processor, batch):
     same(got, want)
 
 
-def test_failure_bursts(spark, tmp_path):
+END = int(at(10_000_000).timestamp()) * 1_000_000
+
+
+def test_failure_bursts(spark, tmp_path, failures):
     feed = Feed(spark, str(tmp_path), EVENT)
-    row = lambda user, s, fail: (user, int(at(s).timestamp()) * 1_000_000, s, fail, at(s))
-    feed.add([row(1, 0, True), row(1, 1, True), row(1, 2, True), row(1, 3, True), row(2, 0, True), row(2, 1, False)])
-    feed.add([row(2, 2, True), row(3, 1000, False)]).add([row(4, 5000, False)])
-    got = feed.run(run_processor(feed.stream(), ["user_id"], FailureBursts(2_000_000))).collect()
-    base = int(at(0).timestamp()) * 1_000_000
-    assert [tuple(r) for r in got] == [(1, base, base + 2_000_000, "login fail in 2s for 3 times.")]
+    feed.add(failures.filter("tie < 400")).add(failures.filter("tie >= 400")).add([(None, END, None, None, at(10_000_000))])
+    got = feed.run(run_processor(feed.stream(), ["user_id"], FailureBursts(12 * 3_600_000_000)))
+    want = failure_bursts(failures, ["user_id"], "event_time", "tie", F.col("fail"), "12 hours")
+    want = want.select("user_id", micros("first_fail_time").alias("first_us"), micros("last_fail_time").alias("last_us"), "msg")
+    assert want.count() > 5
+    same(got, want)
 
 
 def test_click_cap(spark, tmp_path, behavior):
@@ -262,27 +277,41 @@ def test_order_status(spark, tmp_path):
     schema = "order_id bigint, kind string, us bigint, tie bigint, event_time timestamp"
     row = lambda order, kind, s: (order, kind, int(at(s).timestamp()) * 1_000_000, s, at(s))
     feed = Feed(spark, str(tmp_path), schema)
-    # 1 in time, 2 at the limit, 3 never paid, 4 never created, 5 late within one batch
+    # 1 in time, 2 at the limit, 3 never paid, 4 never created, 5 late, 6 too late, 7 pays before it is created in a later batch
     feed.add([row(1, "create", 0), row(1, "pay", 10), row(2, "create", 0), row(2, "pay", 900), row(3, "create", 5),
-              row(4, "pay", 20), row(5, "create", 0), row(5, "pay", 901)])
-    feed.add([row(9, "create", 5000), row(9, "pay", 5001)]).add([row(8, "create", 9000), row(8, "pay", 9001)])
-    got = feed.run(run_processor(feed.stream(), ["order_id"], OrderStatus(900_000_000)))
-    assert {r.order_id: r.status for r in got.collect()} == {
-        1: "payed", 2: "payed", 3: "timeout", 4: "payed but not created", 5: "payed but already timeout", 8: "payed", 9: "payed",
-    }
+              row(4, "pay", 20), row(5, "create", 0), row(5, "pay", 901), row(6, "pay", 1001), row(7, "pay", 50)])
+    feed.add([row(6, "create", 0), row(7, "create", 40), row(9, "create", 5000), row(9, "pay", 5001)])
+    feed.add([(None, None, END, None, at(10_000_000))])
+    late = run_processor(feed.stream("2 hours"), ["order_id"], OrderStatus(900_000_000, 100_000_000))
+    got = sorted((r.order_id, r.status) for r in feed.run(late).collect())
+    assert got == [
+        (1, "payed"), (2, "payed"), (3, "timeout"), (4, "payed but not created"), (5, "payed but already timeout"),
+        (6, "payed but not created"), (6, "timeout"), (7, "payed"), (9, "payed"),
+    ]
+    batch = order_status(spark.read.schema(schema).parquet(f"{tmp_path}/in"), "order_id", "event_time", "tie",
+                         F.col("kind") == "create", F.col("kind") == "pay", "15 minutes", late_within="100 seconds")
+    assert sorted((r.order_id, r.status) for r in batch.collect()) == got
 
 
 def test_two_stream_match(spark, tmp_path):
     schema = "tx_id string, side string, us bigint, tie bigint, event_time timestamp"
     row = lambda tx, side, s, tie: (tx, side, int(at(s).timestamp()) * 1_000_000, tie, at(s))
     feed = Feed(spark, str(tmp_path), schema)
-    feed.add([row("a", "pay", 0, 1), row("a", "receipt", 2, 2), row("b", "pay", 1, 3), row("c", "receipt", 2, 4)])
-    feed.add([row("z", "pay", 500, 5), row("z", "receipt", 501, 6)]).add([row("y", "pay", 900, 7), row("y", "receipt", 901, 8)])
-    got = feed.run(run_processor(feed.stream(), ["tx_id"], TwoStreamMatch()))
-    assert sorted((r.tx_id, r.pay_tie, r.receipt_tie, r.tag) for r in got.collect()) == [
-        ("a", 1, 2, "matched"), ("b", 3, None, "unmatched-pays"), ("c", None, 4, "unmatched-receipts"),
-        ("y", 7, 8, "matched"), ("z", 5, 6, "matched"),
-    ]
+    feed.add([row("a", "pay", 0, 1), row("a", "receipt", 2, 2), row("b", "pay", 1, 3), row("c", "receipt", 2, 4), row("d", "receipt", 6, 6)])
+    # d's pay comes in a later batch, but earlier; e's first pay is replaced; f's receipt is late by a second
+    feed.add([row("d", "pay", 1, 5), row("e", "pay", 1, 7), row("e", "pay", 3, 8), row("e", "receipt", 8, 9), row("f", "pay", 1, 10), row("f", "receipt", 7, 11)])
+    draw = random.Random(4)
+    feed.add([row(f"r{draw.randrange(4)}", draw.choice(["pay", "receipt"]), draw.randrange(60, 400), 100 + i) for i in range(200)])
+    feed.add([(None, None, END, None, at(10_000_000))])
+    got = feed.run(run_processor(feed.stream("2 hours"), ["tx_id"], TwoStreamMatch()))
+    rows = spark.read.schema(schema).parquet(f"{tmp_path}/in")
+    want = first_come_match(rows, "tx_id", "event_time", "tie", F.col("side") == "pay", parts=30)
+    same(got, want.withColumnsRenamed({"left_tie": "pay_tie", "right_tie": "receipt_tie"}))
+    known = got.filter("tx_id < 'r'").collect()
+    assert {(r.tx_id, r.pay_tie, r.receipt_tie, r.tag) for r in known} == {
+        ("a", 1, 2, "matched"), ("b", 3, None, "unmatched-pays"), ("c", None, 4, "unmatched-receipts"), ("d", 5, 6, "matched"),
+        ("e", 8, 9, "matched"), ("f", 10, None, "unmatched-pays"), ("f", None, 11, "unmatched-receipts"),
+    }
 
 
 @pytest.mark.parametrize("contiguity", ["strict", "relaxed"])
