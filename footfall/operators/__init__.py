@@ -10,10 +10,13 @@ from footfall.operators.uniques import (
     bitmap_rollup,
     bitmap_uniques,
     count_bitmaps,
+    error_bound,
     exact_uniques,
     merge_bitmaps,
     sketch_rollup,
     sketch_uniques,
+    sliding_sketches,
+    sliding_uniques,
 )
 from footfall.operators.windows import (
     expand_runs,

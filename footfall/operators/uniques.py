@@ -6,13 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.hashing import poly_offset
-from footfall.functions.times import as_col, event_time
+from footfall.functions.times import as_col, duration_us, event_time
 
 
 def _window(df: DataFrame, ts: str, size: str) -> Column:
     return F.window(event_time(df, ts), size)
 
 
+def _ms(duration: str) -> int:
+    return duration_us(duration) // 1000
+
+
 def exact_uniques(df: DataFrame, user: str, ts: str, size: str, count: str = "count") -> DataFrame:
     """Distinct users per window.
 
@@ -90,3 +94,34 @@ def sketch_rollup(df: DataFrame, user: str, ts: str, size: str, log_k: int = 12)
 def sketch_uniques(df: DataFrame, user: str, ts: str, size: str, log_k: int = 12, count: str = "count") -> DataFrame:
     rollup = sketch_rollup(df, user, ts, size, log_k)
     return rollup.select("window_end", F.hll_sketch_estimate("sketch").alias(count))
+
+
+#: Relative standard error of a sketch with 2**log_k registers, times the square root of their number.
+_SPREAD = 1.04
+
+
+def sliding_sketches(panes: DataFrame, size: str, slide: str) -> DataFrame:
+    """Sketches of sliding windows from those of their panes, ``sketch_rollup`` of one ``slide``.
+
+    A pane's sketch, a few KiB whatever the number of users, goes to the windows it lies in and
+    is merged there; stored rollups serve windows of any multiple of the slide.
+    """
+    ends = F.sequence(F.col("window_end"), F.col("window_end") + F.lit(_ms(size) - _ms(slide)), F.lit(_ms(slide)).cast("bigint"))
+    placed = panes.select(F.explode(ends).alias("window_end"), "sketch")
+    return placed.groupBy("window_end").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sliding_uniques(df: DataFrame, user: str, ts: str, size: str, slide: str, count: str = "count") -> DataFrame:
+    """Distinct users per sliding window, exactly.
+
+    A user's panes are distinct before they are listed by window, so repeated visits are not.
+    """
+    pane = F.unix_millis(_window(df, ts, slide).end).alias("_pane")
+    seen = df.select(user, pane).distinct()
+    ends = F.sequence(F.col("_pane"), F.col("_pane") + F.lit(_ms(size) - _ms(slide)), F.lit(_ms(slide)).cast("bigint"))
+    return seen.select(user, F.explode(ends).alias("window_end")).groupBy("window_end").agg(F.count_distinct(user).alias(count))
+
+
+def error_bound(log_k: int, deviations: float = 4.0) -> float:
+    """The relative error that an estimate keeps to but for one in 15,000, at four standard deviations."""
+    return deviations * _SPREAD / 2 ** (log_k / 2)

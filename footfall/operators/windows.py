@@ -58,22 +58,33 @@ def naive_sliding_counts(
 def pane_counts(
     df: DataFrame, keys: list[str], ts: str, size: str, slide: str, live_from: Column | None = None
 ) -> DataFrame:
-    """Rows per (keys, pane of one slide): ``_n`` rows that count in the window ends
-    ``[_start, _stop)``, in epoch µs.
+    """Rows per (keys, pane): ``_n`` rows that count in the window ends ``[_start, _stop)``, in epoch µs.
+
+    A pane is one slide long, or as long as size and slide allow where one is no multiple of the other.
 
     ``live_from`` is the first window end that a row may still count in, for late rows.
     """
     size_us, slide_us = duration_us(size), duration_us(slide)
-    if size_us % slide_us:
-        raise ValueError("size must be a multiple of slide")
-    first = floor_to(micros(ts), slide_us) + F.lit(slide_us)
+    first, stop = end_range(micros(ts), size_us, slide_us)
     count = F.count(F.lit(1)).alias("_n")
-    if live_from is None:
-        panes = df.groupBy(*keys, first.alias("_start")).agg(count)
-        return panes.withColumn("_stop", F.col("_start") + F.lit(size_us))
-    stop = first + F.lit(size_us)
-    panes = df.groupBy(*keys, F.greatest(first, live_from).alias("_start"), stop.alias("_stop")).agg(count)
-    return panes.filter("_start < _stop")
+    if live_from is not None:
+        panes = df.groupBy(*keys, F.greatest(first, live_from).alias("_start"), stop.alias("_stop")).agg(count)
+        return panes.filter("_start < _stop")
+    if size_us % slide_us:  # starts and stops lie on two grids, whose cells are the panes
+        return df.groupBy(*keys, first.alias("_start"), stop.alias("_stop")).agg(count)
+    return df.groupBy(*keys, first.alias("_start")).agg(count).withColumn("_stop", F.col("_start") + F.lit(size_us))
+
+
+def end_range(us: Column, size_us: int, slide_us: int) -> tuple[Column, Column]:
+    """The window ends that a time counts in, from the first to before the second, in steps of the slide.
+
+    Windows start at whole slides, so their ends lie ``size`` behind these.
+    """
+    if size_us % slide_us == 0:
+        first = floor_to(us, slide_us) + F.lit(slide_us)
+        return first, first + F.lit(size_us)
+    first = floor_to(us - F.lit(size_us), slide_us) + F.lit(slide_us + size_us)
+    return first, floor_to(us, slide_us) + F.lit(slide_us + size_us)
 
 
 def runs_of_panes(
@@ -82,13 +93,14 @@ def runs_of_panes(
 ) -> DataFrame:
     """The running sum over panes, as described at ``sliding_count_runs``."""
     size_us, slide_us = duration_us(size), duration_us(slide)
-    block_us = duration_us(block) if block else 24 * size_us
+    block_us = duration_us(block) if block else -(-24 * size_us // slide_us) * slide_us
     if block_us % slide_us or block_us < size_us:
         raise ValueError("block must be a multiple of slide and not shorter than size")
+    grid = size_us % slide_us  # window ends lie so far behind whole slides
 
-    b0 = step_number(F.col("_start"), block_us)
-    b1 = step_number(F.col("_stop") - F.lit(slide_us), block_us)
-    edge = b1 * F.lit(block_us)
+    b0 = step_number(F.col("_start") - F.lit(grid), block_us)
+    b1 = step_number(F.col("_stop") - F.lit(slide_us + grid), block_us)
+    edge = b1 * F.lit(block_us) + F.lit(grid)
 
     def step(block_no: Column, at: Column, delta: Column) -> Column:
         return F.struct(block_no.alias(BLOCK), at.alias("_end"), delta.alias("_d"))

@@ -18,6 +18,7 @@ from footfall.operators import (
     blacklist,
     chained_alerts,
     click_cap,
+    error_bound,
     failure_bursts,
     first_come_match,
     interval_join,
@@ -25,7 +26,11 @@ from footfall.operators import (
     order_status,
     passed,
     reconcile,
+    sketch_rollup,
     sliding_count_runs,
+    sliding_counts,
+    sliding_sketches,
+    sliding_uniques,
     split_late,
     summarize_runs,
 )
@@ -45,6 +50,10 @@ ORDER_WITHIN = "12 hours"
 # a jitter of up to an hour, fixed per event, makes an arrival order with late rows
 JITTER = "event_id * 7919 % 3600 * 1000000"
 LATE = dict(delay="1 minute", size="10 minutes", slide="5 seconds", lateness="5 minutes")
+RELISTED = dict(delay="10 minutes", size="20 minutes", slide="10 minutes", lateness="15 minutes")
+# a size that is no multiple of the slide
+UNEVEN = ("10 minutes", "4 minutes")
+SKETCH_BITS = 12
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,14 +98,14 @@ def hot_pages(spark, sf_dir):
 
 
 def hot_pages_daily(spark, sf_dir):
-    """Over a day by the hour: dense counts, where chunks have floors and rows are pruned."""
+    """Over a day by the hour: dense counts, most pages in every window."""
     ranked = traffic.hot_pages(requests(spark, sf_dir), method="view", size="1 day", slide="1 hour")
     return ranked.select("window_end", "url", "count", "row_num")
 
 
-def _late_events(df: DataFrame) -> DataFrame:
+def _late_events(df: DataFrame, late: dict[str, str] = LATE) -> DataFrame:
     arrival = micros("event_time") + F.expr(JITTER)
-    return split_late(df, "event_time", arrival, "event_id", **LATE)
+    return split_late(df, "event_time", arrival, "event_id", **late)
 
 
 def late_split(spark, sf_dir):
@@ -104,15 +113,40 @@ def late_split(spark, sf_dir):
     return tagged.select("event_id", "tag", "watermark_us")
 
 
-def hot_pages_late(spark, sf_dir):
+def _hot_pages_late(spark, sf_dir, late):
     log = requests(spark, sf_dir).filter(F.col("method") == "view")
-    live = _late_events(log).filter(F.col("tag") != "late")
+    live = _late_events(log, late).filter(F.col("tag") != "late")
     ranked = traffic.hot_pages(
-        live, size=LATE["size"], slide=LATE["slide"], live_from=F.col("live_from_us"), method="view"
+        live, size=late["size"], slide=late["slide"], live_from=F.col("live_from_us"), method="view"
     )
     return ranked.select("window_end", "url", "count", "row_num")
 
 
+def hot_pages_late(spark, sf_dir):
+    return _hot_pages_late(spark, sf_dir, LATE)
+
+
+def hot_pages_relisted(spark, sf_dir):
+    """Windows of 20 minutes every ten, with rows that come up to a quarter of an hour after a window has ended."""
+    return _hot_pages_late(spark, sf_dir, RELISTED)
+
+
+def views_uneven(spark, sf_dir):
+    """Views of ten minutes every four minutes, which is no whole part of ten."""
+    views = behavior(spark, sf_dir).filter(F.col("behavior") == "view")
+    return sliding_counts(views, [], "event_time", *UNEVEN).select("window_end", "count")
+
+
+def unique_visitors_sliding_sketch(spark, sf_dir):
+    """Visitors of a day, every hour: exactly, and whether the sketches' estimate keeps to its error bound."""
+    views = behavior(spark, sf_dir).filter(F.col("behavior") == "view")
+    panes = sketch_rollup(views, "user_id", "event_time", "1 hour", SKETCH_BITS)
+    sketched = sliding_sketches(panes, "1 day", "1 hour").select("window_end", F.hll_sketch_estimate("sketch").alias("_estimate"))
+    exact = sliding_uniques(views, "user_id", "event_time", "1 day", "1 hour")
+    close = F.abs(F.col("_estimate") - F.col("count")) <= F.col("count") * error_bound(SKETCH_BITS)
+    return exact.join(sketched, "window_end", "left").select("window_end", "count", F.coalesce(close, F.lit(False)).alias("within_bound"))
+
+
 def page_views(spark, sf_dir):
     return traffic.page_views(behavior(spark, sf_dir), kind="view")
 
@@ -327,6 +361,9 @@ QUERIES: dict[str, Query] = {
     "hot_pages": hot_pages,
     "hot_pages_daily": hot_pages_daily,
     "hot_pages_late": hot_pages_late,
+    "hot_pages_relisted": hot_pages_relisted,
+    "views_uneven": views_uneven,
+    "unique_visitors_sliding_sketch": unique_visitors_sliding_sketch,
     "late_split": late_split,
     "page_views": page_views,
     "page_views_salted": page_views_salted,

@@ -66,6 +66,14 @@ tagged AS (
   FROM arrived
 )"""
 
+_RELATE = (
+    _LATE.replace("60000000 AS wm", "600000000 AS wm")
+    .replace("(us // 5000000) * 5000000 + 600000000 - 1000 + 300000000 <= wm", "(us // 600000000) * 600000000 + 1200000000 - 1000 + 900000000 <= wm")
+    .replace("e - 1000 + 300000000 > wm", "e - 1000 + 900000000 > wm")
+    .replace("range((us // 5000000 + 1) * 5000000, (us // 5000000) * 5000000 + 605000000, 5000000)",
+             "range((us // 600000000 + 1) * 600000000, (us // 600000000) * 600000000 + 1800000000, 600000000)")
+)
+
 _CAPPED = """
 numbered AS (
   SELECT event_id, user_id, event_type, us,
@@ -206,6 +214,24 @@ ORACLES: dict[str, str] = {
           FROM tagged
         ) WHERE wm IS NULL OR window_end * 1000 - 1000 + 300000000 > wm
         GROUP BY k, window_end""", "k", 3, "url"))),
+    "hot_pages_relisted": _with(
+        _BEHAVIOR,
+        _RELATE.format(source="(SELECT * FROM behavior WHERE event_type = 'view')"),
+        body=_RENAME.format(_top("""
+        SELECT k, window_end, count(*) AS cnt
+        FROM (
+          SELECT k, wm, unnest(range((us // 600000000 + 1) * 600000, (us // 600000000 + 1) * 600000 + 1200000, 600000)) AS window_end
+          FROM tagged
+        ) WHERE wm IS NULL OR window_end * 1000 - 1000 + 900000000 > wm
+        GROUP BY k, window_end""", "k", 3, "url"))),
+    "views_uneven": _with(_BEHAVIOR, body="""
+        SELECT s * 240000 + 600000 AS window_end, count(*) AS "count"
+        FROM (SELECT unnest(range((us - 600000000) // 240000000 + 1, us // 240000000 + 1)) AS s
+              FROM behavior WHERE event_type = 'view') GROUP BY s"""),
+    "unique_visitors_sliding_sketch": _with(_BEHAVIOR, body="""
+        SELECT window_end, count(DISTINCT user_id) AS "count", true AS within_bound
+        FROM (SELECT user_id, unnest(range((us // 3600000000 + 1) * 3600000, (us // 3600000000 + 25) * 3600000, 3600000)) AS window_end
+              FROM behavior WHERE event_type = 'view') GROUP BY window_end"""),
     "late_split": _with(
         _BEHAVIOR, _LATE.format(source="behavior"), body="SELECT event_id, tag, wm AS watermark_us FROM tagged"),
     "page_views": _with(_BEHAVIOR, body=_VIEWS),
@@ -345,6 +371,9 @@ ORACLES: dict[str, str] = {
 ORACLES |= {
     "stream_page_views": ORACLES["page_views"],
     "stream_unique_visitors": ORACLES["unique_visitors"],
+    "stream_unique_visitors_bitmap": ORACLES["unique_visitors_bitmap"],
+    "stream_views_uneven": ORACLES["views_uneven"],
+    "stream_hot_pages_late": ORACLES["hot_pages_relisted"],
     "stream_hot_items": ORACLES["hot_items"],
     "stream_hot_pages": ORACLES["hot_pages"],
     "stream_channel_counts_daily": ORACLES["channel_counts_daily"],

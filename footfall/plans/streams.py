@@ -19,11 +19,11 @@ from footfall.functions import micros
 from footfall.operators import interval_join, sliding_counts, summarize_runs, top_n
 from footfall.operators.uniques import exact_uniques
 from footfall.operators.windows import expand_runs, tumbling_counts
-from footfall.plans.catalog import JITTER, LATE
+from footfall.plans.catalog import JITTER, LATE, RELISTED, UNEVEN
 from footfall.session import pin_zone, shared_folder, state_partitions
 from footfall.streaming.changelog import apply_changes, retracting_top_n_writer
-from footfall.streaming.late import Settled, late_splitting_writer, run_settled, settled
-from footfall.streaming.panes import close_windows, sliding_writer
+from footfall.streaming.late import Settled, late_splitting_writer, released, run_settled, settled
+from footfall.streaming.panes import close_windows, pane_length, sliding_writer
 from footfall.streaming.processors import (
     AnchoredFailures,
     ChainedFailures,
@@ -33,7 +33,9 @@ from footfall.streaming.processors import (
     TwoStreamMatch,
     run_processor,
 )
-from footfall.streaming.sinks import Writer, read_latest, run_available, top_n_writer, upsert_writer
+from footfall.streaming.registers import merged_rankings, page_rankings, visitor_bits
+from footfall.streaming.sinks import Writer, append_writer, run_available, top_n_writer
+from footfall.streaming.snapshots import read_snapshot, snapshot_writer
 
 DELAY = "1 hour"
 #: Longer than any window, day, wait or join range below.
@@ -109,8 +111,9 @@ def stream_hot_items(spark, sf_dir, **options):
 
 def stream_hot_items_retract(spark, sf_dir, **options):
     """The ranking that the change log of the retracting stream leads to; open windows are in it."""
+    keep = f"1 hour {options.get('delay', DELAY)}"  # a window and the watermark's delay
     out = _written(spark, "hot-items-retract", *_item_counts(spark, sf_dir, close=False, **options), "update",
-                   lambda path: retracting_top_n_writer(path, "item_id", 5))
+                   lambda path: retracting_top_n_writer(path, "item_id", 5, keep))
     changes = spark.read.parquet(f"{out}/changes")
     return apply_changes(changes, ["window_end", "row_num"]).select("window_end", "item_id", "count", "row_num")
 
@@ -119,8 +122,8 @@ def stream_page_views_upsert(spark, sf_dir, **options):
     """Page views kept in a keyed table by updates; open windows are in it."""
     views = _of_type(spark, sf_dir, "view", close=False, **options)
     counts = tumbling_counts(views.rows, [], "event_time", "1 hour")
-    out = _written(spark, "page-views-upsert", [views], counts, "update", upsert_writer)
-    return read_latest(spark, out, ["window_end"])
+    out = _written(spark, "page-views-upsert", [views], counts, "update", lambda path: snapshot_writer(path, ["window_end"]))
+    return read_snapshot(spark, out)
 
 
 def stream_interval_join(spark, sf_dir, **options):
@@ -214,6 +217,37 @@ def stream_late_rows(spark, sf_dir, delay="20 minutes", files_per_trigger=None):
     return spark.read.parquet(f"{folder}/late").select("event_id", "user_id")
 
 
+def stream_unique_visitors_bitmap(spark, sf_dir, **options):
+    views = _of_type(spark, sf_dir, "view", **options)
+    added = visitor_bits(views.rows, "user_id", "event_time", "1 hour")
+    stored = spark.read.parquet(_written(spark, "unique-bits", [views], added))
+    return stored.groupBy("window_end").agg(F.sum("added").alias("count"))
+
+
+def stream_hot_pages_late(spark, sf_dir, files_per_trigger=None):
+    """``hot_pages_relisted`` on a stream: windows are ranked when they end, and again after late rows."""
+    views = _events(spark, sf_dir, F.col("event_type") == "view", files_per_trigger)
+    rows = views.select(
+        F.get_json_object("props", "$.k").cast("bigint").alias("url"), "event_id", "event_time",
+        (micros("event_time") + F.expr(JITTER)).alias("arrival"),
+    )
+    folder = shared_folder(spark, "hot-pages-late")
+    size, slide, lateness = (RELISTED[k] for k in ("size", "slide", "lateness"))
+    run_available(rows, f"{folder}/splitting", writer=late_splitting_writer(folder, "event_time", arrival=["arrival", "event_id"], **RELISTED))
+    kept = released(spark, folder, rows, "event_time", [RELISTED["delay"], size, lateness], CLOSE_AFTER)
+    ranked = page_rankings(kept.rows, "event_time", 3, size, slide, lateness)
+    out = _written(spark, "rankings", [kept], ranked, make=append_writer)
+    return merged_rankings(spark, out, 3).select("window_end", "url", "count", "row_num")
+
+
+def stream_views_uneven(spark, sf_dir, **options):
+    """Views of ten minutes every four minutes, which is no whole part of ten."""
+    views = _of_type(spark, sf_dir, "view", **options)
+    panes = tumbling_counts(views.rows, [], "event_time", pane_length(*UNEVEN))
+    runs = _swept(spark, "uneven", [views], panes, [], *UNEVEN)
+    return expand_runs(runs, UNEVEN[1]).select("window_end", "count")
+
+
 def _swept(spark, label, sources, panes, keys, size, slide, then=None):
     folder = shared_folder(spark, label)
     writer = sliding_writer(f"{folder}/windows", keys, size, slide, then)
@@ -245,6 +279,8 @@ def stream_channel_counts_daily(spark, sf_dir, **options):
 STREAM_QUERIES = {
     "stream_page_views": stream_page_views,
     "stream_unique_visitors": stream_unique_visitors,
+    "stream_unique_visitors_bitmap": stream_unique_visitors_bitmap,
+    "stream_views_uneven": stream_views_uneven,
     "stream_hot_items": stream_hot_items,
     "stream_hot_items_retract": stream_hot_items_retract,
     "stream_page_views_upsert": stream_page_views_upsert,
@@ -255,6 +291,7 @@ STREAM_QUERIES = {
     "stream_click_cap": stream_click_cap,
     "stream_order_status": stream_order_status,
     "stream_two_stream_match": stream_two_stream_match,
+    "stream_hot_pages_late": stream_hot_pages_late,
     "stream_late_split": stream_late_split,
     "stream_late_rows": stream_late_rows,
     "stream_hot_pages": stream_hot_pages,

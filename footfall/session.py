@@ -63,6 +63,45 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/footfall/{label}-{uuid.uuid4().hex}"
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and ``path`` in its terms."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    files, at = _files(spark, path)
+    files.delete(at, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    files, at = _files(spark, source)
+    files.mkdirs(_files(spark, target.rsplit("/", 1)[0])[1])
+    if not files.rename(at, _files(spark, target)[1]):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or None if there is none."""
+    files, at = _files(spark, path)
+    if not files.exists(at):
+        return None
+    return "\n".join(r.value for r in spark.read.text(path).collect())
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Puts a small file in the place of the one before, in one step."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files, at = _files(spark, path)
+    beside = hadoop.Path(f"{path}.{uuid.uuid4().hex}")
+    out = files.create(beside)
+    out.write(bytearray(text.encode()))
+    out.close()
+    modes = spark._jvm.java.lang.reflect.Array.newInstance(hadoop.Options.Rename.OVERWRITE.getClass(), 1)
+    modes[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration()).rename(beside, at, modes)
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, per_core: int = 1) -> Iterator[None]:
     """Streams started inside get state partitions by the number of cores, where nobody has chosen one.

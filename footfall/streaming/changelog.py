@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.functions.times import duration_us
 from footfall.operators.topn import top_n
-from footfall.streaming.sinks import Writer, _store, read_latest
+from footfall.session import drop_folder
+from footfall.streaming.sinks import Writer, _store
 
 INSERT, RETRACT = "+", "-"
 
@@ -34,31 +36,34 @@ def ranking_changes(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFram
     )
 
 
-def retracting_top_n_writer(path: str, id_col: str, n: int, count: str = "count") -> Writer:
-    """Keeps counts and ranking changes below ``path``.
+def retracting_top_n_writer(path: str, id_col: str, n: int, keep: str, count: str = "count") -> Writer:
+    """Keeps the counts of open windows and ranking changes below ``path``.
 
-    For counts in update mode: a batch brings the counts that changed.  They are
-    added to the log of counts; the windows they touch are ranked before and
-    after, and the difference is stored under ``changes``.
+    For counts in update mode: a batch brings the counts that changed.  They are put over the open
+    windows' counts, a table that each batch writes anew; the windows they touch are ranked
+    before and after, and the difference is stored under ``changes``.  Windows that end ``keep`` or
+    more before the last one leave the table, so what a batch reads does not grow with what the stream has
+    seen: ``keep`` is the window's size plus the watermark's delay, behind which none can change.
     """
-    counts, changes = f"{path}/counts", f"{path}/changes"
+    keep_ms = duration_us(keep) // 1000
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        _store(batch.select("window_end", id_col, count), counts, batch_id)
-        stored = spark.read.parquet(f"{counts}/batch_id={batch_id}")
-        low, high = stored.agg(F.min("window_end"), F.max("window_end")).first()
-        if low is None:
-            return
-        touched = stored.select("window_end").distinct()
-
-        def ranked(before: int) -> DataFrame:
-            latest = read_latest(spark, counts, ["window_end", id_col], before)
-            near = latest.filter(F.col("window_end").between(low, high))
-            return top_n(near.join(touched, "window_end", "left_semi"), id_col, n, count)
-
-        diff = ranking_changes(ranked(batch_id), ranked(batch_id + 1), ["window_end", "row_num"])
-        _store(diff, changes, batch_id)
+        spark, key = batch.sparkSession, ["window_end", id_col]
+        table = lambda k: f"{path}/open/batch_id={k}"
+        _store(batch.select(*key, count), f"{path}/batch", batch_id)
+        new = spark.read.schema(batch.select(*key, count).schema).parquet(f"{path}/batch/batch_id={batch_id}")
+        old = spark.read.schema(new.schema).parquet(table(batch_id - 1)) if batch_id > 0 else new.limit(0)
+        both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+        latest = both.groupBy(*key).agg(F.max_by(count, "_new").alias(count))
+        last = latest.agg(F.max("window_end")).first()[0]
+        kept = latest if last is None else latest.filter(F.col("window_end") > F.lit(last - keep_ms))
+        _store(kept, f"{path}/open", batch_id)
+        touched = new.select("window_end").distinct()
+        now = latest.join(touched, "window_end", "left_semi")
+        before = old.join(touched, "window_end", "left_semi")
+        _store(ranking_changes(top_n(before, id_col, n, count), top_n(now, id_col, n, count), ["window_end", "row_num"]), f"{path}/changes", batch_id)
+        for folder in (table(batch_id - 2), f"{path}/batch/batch_id={batch_id - 2}"):  # a retry needs the one before
+            drop_folder(spark, folder)
 
     return write
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from footfall.functions.times import duration_us, micros, micros_to_ts
 from footfall.operators.cuts import CUT, ordered_cuts, running_before
 from footfall.operators.late import LATE, window_tags
+from footfall.session import move_folder
 from footfall.streaming.sinks import Writer, _store, run_available
 
 
@@ -71,14 +72,9 @@ class Settled:
         """Moves the next batch; False if there is none."""
         if not self.batches:
             return False
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        main = hadoop.Path(f"{self.folder}/main")
-        files = main.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        files.mkdirs(main)
         for batch_id in self.batches.pop(0):
             name = f"batch_id={batch_id}"
-            if not files.rename(hadoop.Path(f"{self.folder}/kept/{name}"), hadoop.Path(f"{self.folder}/main/{name}")):
-                raise OSError(f"could not release {self.folder}/kept/{name}")
+            move_folder(self.spark, f"{self.folder}/kept/{name}", f"{self.folder}/main/{name}")
         return True
 
 
@@ -93,17 +89,25 @@ def settled(
     watermark's reach, as a source's end would: it closes all windows and timers of up to that
     length.  Rows without a time are kept.
     """
-    spark = stream.sparkSession
     run_available(stream, f"{path}/splitting", writer=late_rows_writer(path, ts, delay, arrival))
+    return released(stream.sparkSession, path, stream, ts, [delay], close_after)
+
+
+def released(
+    spark: SparkSession, path: str, stream: DataFrame, ts: str, delays: Sequence[str], close_after: str | None = None
+) -> Settled:
+    """What a splitting writer has kept under ``path``, with a watermark that is the sum of ``delays`` behind."""
+    behind_us = sum(duration_us(d) for d in delays)
     peaks = spark.read.parquet(f"{path}/peaks").orderBy("batch_id").collect()  # one row a batch
     batches = [[r.batch_id] for r in peaks]
+    schema = spark.read.parquet(f"{path}/kept").drop("batch_id").schema if peaks else stream.schema
     if close_after and peaks and peaks[-1].peak is not None:
-        end = micros_to_ts(F.lit(peaks[-1].peak + duration_us(delay) + duration_us(close_after)))
-        nulls = [end.alias(c) if c == ts else F.lit(None).cast(t).alias(c) for c, t in stream.dtypes]
+        end = micros_to_ts(F.lit(peaks[-1].peak + behind_us + duration_us(close_after)))
+        nulls = [end.alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
         last = peaks[-1].batch_id + 1
         _store(spark.range(1).select(*nulls), f"{path}/kept", last)
         batches[-1].append(last)
-    rows = spark.readStream.schema(stream.schema).parquet(f"{path}/main/batch_id=*").withWatermark(ts, delay)
+    rows = spark.readStream.schema(schema).parquet(f"{path}/main/batch_id=*").withWatermark(ts, f"{behind_us} microseconds")
     return Settled(spark, path, rows, batches)
 
 

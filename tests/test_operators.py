@@ -16,6 +16,7 @@ from footfall.operators import (
     chained_alerts,
     click_cap,
     count_bitmaps,
+    error_bound,
     exact_uniques,
     expand_runs,
     interval_join,
@@ -27,9 +28,12 @@ from footfall.operators import (
     rank_within,
     reconcile,
     salted_tumbling_counts,
+    sketch_rollup,
     sketch_uniques,
     sliding_count_runs,
     sliding_counts,
+    sliding_sketches,
+    sliding_uniques,
     split_late,
     top_n,
     top_n_sliding,
@@ -108,12 +112,32 @@ def test_window_edges(spark):
 
 def test_bad_windows(log):
     df, _ = log
-    with pytest.raises(ValueError):
-        sliding_counts(df, ["user"], "ts", "10 minutes", "7 seconds")
     with pytest.raises(ValueError):
         sliding_counts(df, ["user"], "ts", "10 minutes", "5 seconds", block="5 minutes")
 
 
+@pytest.mark.parametrize("size, slide", [("10 minutes", "4 minutes"), ("50 seconds", "7 seconds")])
+def test_sizes_that_are_no_multiple_of_the_slide(log, size, slide):
+    df, _ = log
+    for keys in ([], ["user"]):
+        want = naive_sliding_counts(df, keys, "ts", size, slide)
+        got = sliding_counts(df, keys, "ts", size, slide)
+        assert rows(got, *keys, "window_end", "count") == rows(want, *keys, "window_end", "count")
+
+
+def test_sliding_sketches_keep_to_their_bound(spark):
+    """More users than a sketch counts exactly: merged panes give the same estimate as one sketch, within the bound."""
+    df = spark.range(60_000).select((F.col("id") * 7919 % 20_011).alias("user"), F.timestamp_seconds(F.col("id") + BASE).alias("ts"))
+    panes = sketch_rollup(df, "user", "ts", "1 hour", 12)
+    got = sliding_sketches(panes, "6 hours", "1 hour").select("window_end", F.hll_sketch_estimate("sketch").alias("estimate"))
+    both = sliding_uniques(df, "user", "ts", "6 hours", "1 hour").join(got, "window_end").collect()
+    assert len(both) == 17 + 5 and max(r["count"] for r in both) > 15_000
+    assert any(r.estimate != r["count"] for r in both)
+    assert all(abs(r.estimate - r["count"]) <= error_bound(12) * r["count"] for r in both)
+    naive = df.groupBy(F.window("ts", "6 hours", "1 hour").alias("w")).agg(F.count_distinct("user").alias("n"))
+    assert {(r.w.end.timestamp() * 1000, r.n) for r in naive.collect()} == {(r.window_end, r["count"]) for r in both}
+
+
 def test_salted_count(log):
     df, _ = log
     salted = salted_tumbling_counts(df, "ts", "1 hour", ["id"])

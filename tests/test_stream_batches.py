@@ -16,6 +16,7 @@ DELAY_US = 6 * 3_600_000_000
 KINDS = {
     "stream_page_views": ["view"], "stream_unique_visitors": ["view"], "stream_hot_items": ["view"], "stream_hot_pages": ["view"],
     "stream_hot_items_retract": ["view"], "stream_page_views_upsert": ["view"],
+    "stream_unique_visitors_bitmap": ["view"], "stream_views_uneven": ["view"],
     "stream_order_status": ["signup", "purchase"], "stream_two_stream_match": ["click", "purchase"],
 }
 
@@ -53,7 +54,7 @@ def on_time(arrivals, kinds=None):
     return kept
 
 
-@pytest.mark.parametrize("name", sorted(set(STREAM_QUERIES) - {"stream_late_split", "stream_late_rows"}))
+@pytest.mark.parametrize("name", sorted(set(STREAM_QUERIES) - {"stream_late_split", "stream_late_rows", "stream_hot_pages_late"}))
 def test_batches_give_what_a_row_wise_rule_keeps(spark, arrivals, cut, tmp_path, name):
     if name == "stream_interval_join":  # each side has a watermark of its own
         kept = on_time(arrivals, ["click"]) + on_time(arrivals, ["purchase"])
@@ -90,7 +91,7 @@ def test_nothing_is_dropped_behind_the_split(spark, cut):
     assert spark.read.parquet(f"{folder}/counts").select("batch_id").distinct().count() >= 2
 
 
-@pytest.mark.parametrize("name", ["stream_late_split", "stream_late_rows"])
+@pytest.mark.parametrize("name", ["stream_late_split", "stream_late_rows", "stream_hot_pages_late"])
 def test_late_queries_over_files_in_order_of_arrival(spark, tmp_path, name):
     events = spark.read.parquet(f"{SF}/events.parquet")
     arrival = F.expr("unix_micros(cast(ts AS timestamp)) + event_id * 7919 % 3600 * 1000000")

@@ -32,6 +32,7 @@ from footfall.streaming.processors import (
     TwoStreamMatch,
     run_processor,
 )
+from footfall.streaming.registers import merged_rankings, page_rankings
 from footfall.streaming.sinks import (
     append_writer,
     compact_log,
@@ -42,6 +43,7 @@ from footfall.streaming.sinks import (
     top_n_writer,
     upsert_writer,
 )
+from footfall.streaming.snapshots import read_snapshot, snapshot_writer
 
 SF = "/root/testdata/sf0.001/events.parquet"
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -144,7 +146,7 @@ def test_ranking_of_closed_windows(spark, tmp_path, behavior_feed, behavior):
 def test_retracting_ranking(spark, tmp_path, behavior_feed, behavior):
     counts = hot_items.item_counts(behavior_feed.stream(), size="1 day", slide="12 hours", kind="view")
     path = str(tmp_path / "top")
-    behavior_feed.run(counts, mode="update", writer=retracting_top_n_writer(path, "item_id", 3))
+    behavior_feed.run(counts, mode="update", writer=retracting_top_n_writer(path, "item_id", 3, keep="2 days"))
     changes = spark.read.parquet(f"{path}/changes")
     want = hot_items.hot_items(behavior, n=3, size="1 day", slide="12 hours", kind="view")
     same(before_end(apply_changes(changes, ["window_end", "row_num"])), want)
@@ -152,6 +154,68 @@ def test_retracting_ranking(spark, tmp_path, behavior_feed, behavior):
     assert changes.filter("op = '-'").count() > 0
 
 
+def test_a_batch_of_ranking_changes_reads_open_windows_only(spark, tmp_path):
+    path, hour = str(tmp_path / "top"), 3_600_000
+    write = retracting_top_n_writer(path, "id", 2, keep="2 hours")
+    sizes, truth = {}, {}
+    for k in range(12):  # each batch counts on in the last window and starts the next one
+        rows = [(end * hour, i, (i * 7 + k) % 11 + 1) for end in (k, k + 1) for i in range(5)]
+        truth.update({(e, i): n for e, i, n in rows})
+        write(spark.createDataFrame(rows, "window_end bigint, id bigint, count bigint").coalesce(1), k)
+        if k == 7:  # a batch that runs again changes nothing
+            write(spark.createDataFrame(rows, "window_end bigint, id bigint, count bigint").coalesce(1), k)
+        open_ = spark.read.parquet(f"{path}/open/batch_id={k}")
+        sizes[k] = (open_.count(), len(open_.inputFiles()), len(list((tmp_path / "top" / "open").iterdir())))
+    assert sizes[11] == sizes[5] and sizes[11][0] == 15 - 5
+    got = apply_changes(spark.read.parquet(f"{path}/changes"), ["window_end", "row_num"])
+    want = top_n(spark.createDataFrame([(*k, n) for k, n in truth.items()], "window_end bigint, id bigint, count bigint"), "id", 2)
+    same(got, want)
+
+
+def test_snapshot_readers_see_one_version(spark, tmp_path):
+    path = str(tmp_path / "table")
+    write = snapshot_writer(path, ["k"], buckets=4)
+    rows = lambda *r: spark.createDataFrame(r, "k bigint, v string")
+    table = lambda df: {r.k: r.v for r in df.collect()}
+    with pytest.raises(ValueError, match="no batch"):
+        read_snapshot(spark, path)
+    write(rows(*[(k, "a") for k in range(20)]), 0)
+    reader = read_snapshot(spark, path)
+    write(rows((3, "b"), (None, "n"), (100, "b")), 1)
+    assert table(reader) == {k: "a" for k in range(20)}  # still the version it has taken
+    write(rows((3, "again")), 1)  # a batch that runs again
+    assert table(read_snapshot(spark, path)) == {**{k: "a" for k in range(20)}, 3: "b", None: "n", 100: "b"}
+    folders = []
+    for k in range(2, 12):
+        write(rows((5, f"v{k}")), k)
+        folders.append(len(list((tmp_path / "table" / "data").iterdir())))
+    assert table(read_snapshot(spark, path))[5] == "v11" and len(table(read_snapshot(spark, path))) == 22
+    assert len(read_snapshot(spark, path).inputFiles()) <= 4 and max(folders) <= 6
+    write(rows(), 12)
+    assert len(table(read_snapshot(spark, path))) == 22
+
+
+def test_rankings_change_with_late_rows_and_are_freed(spark, tmp_path):
+    schema = "url bigint, event_time timestamp, live_from_us bigint"
+    feed = Feed(spark, str(tmp_path), schema)
+    # windows of 60 s every 60 s, kept for 30 s; rows are read 90 s behind
+    feed.add([(1, at(1), None), (2, at(2), None), (2, at(3), None), (None, at(4), None)])
+    feed.add([(7, at(75), None)]).add([(7, at(75), None)])  # the first window has ended
+    feed.add([(1, at(5), None), (1, at(6), None), (7, at(76), None)])  # late rows that still count
+    feed.add([(7, at(400), None)]).add([(7, at(401), None)])
+    ranked = page_rankings(feed.stream("90 seconds"), "event_time", 2, "60 seconds", "60 seconds", "30 seconds", parts=3)
+    path = str(tmp_path / "ranked")
+    feed.run(ranked, writer=append_writer(path))
+    end = int(at(60).timestamp()) * 1000
+    first = spark.read.parquet(path).filter(F.col("window_end") == end)
+    assert first.select("batch_id").distinct().count() > 1  # ranked again
+    got = merged_rankings(spark, path, 2).filter(F.col("window_end") == end).orderBy("row_num").collect()
+    assert [(r.url, r["count"]) for r in got] == [(1, 3), (2, 2)]
+    state = spark.read.format("statestore").option("path", f"{tmp_path}/checkpoint").option("stateVarName", "counts").load()
+    ends = {r[0] for r in state.select("key.window_end").collect()}
+    assert ends and min(ends) > end  # the first window's map is gone
+
+
 def test_ranking_changes(spark):
     old = spark.createDataFrame([(1, 1, "a", 5), (1, 2, "b", 4)], "window_end int, row_num int, id string, count int")
     new = spark.createDataFrame([(1, 1, "b", 6), (1, 2, "a", 5), (2, 1, "c", 1)], old.schema)
