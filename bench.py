@@ -11,6 +11,7 @@ import sys
 import time
 
 from footfall.plans.catalog import QUERIES
+from footfall.plans.logs import LOG_QUERIES
 from footfall.plans.streams import STREAM_QUERIES
 from footfall.session import local_session
 
@@ -26,7 +27,7 @@ def main(names: list[str]) -> None:
     spark = local_session(cores, shuffle_partitions=int(cores) if cores.isdigit() else 8)
     for name in ("page_views", "hot_items"):  # the first queries of a session pay for its start-up
         run(QUERIES[name](spark, sf_dir))
-    seconds, queries = {}, {**QUERIES, **STREAM_QUERIES}
+    seconds, queries = {}, {**QUERIES, **LOG_QUERIES, **STREAM_QUERIES}
     for name in names or queries:
         begin = time.perf_counter()
         run(queries[name](spark, sf_dir))

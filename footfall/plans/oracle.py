@@ -358,6 +358,36 @@ ORACLES: dict[str, str] = {
           WHERE event_type = 'click' AND event_id NOT IN (SELECT click_id FROM pairs)
         UNION ALL SELECT NULL, event_id, 'purchase_only' FROM behavior
           WHERE event_type = 'purchase' AND event_id NOT IN (SELECT purchase_id FROM pairs)"""),
+    "log_behavior": _with(_BEHAVIOR, body="""
+        SELECT CASE event_type WHEN 'view' THEN 'pv' ELSE event_type END AS behavior, CAST(k % 10 AS INTEGER) AS category_id,
+               count(*) AS n, CAST(sum(k) AS BIGINT) AS items, count(DISTINCT user_id) AS users, max(us // 1000000) AS last_ts
+        FROM behavior GROUP BY ALL"""),
+    "log_ad_clicks": _with(_BEHAVIOR, body="""
+        SELECT 'province ' || user_id % 5 AS province, 'a city, quoted' AS city, k % 7 AS ad_id, count(*) AS n,
+               max(us // 1000000) AS last_ts
+        FROM behavior WHERE event_type = 'click' GROUP BY ALL"""),
+    "log_logins": _with(_BEHAVIOR, body="""
+        SELECT user_id, '10.0.0.' || user_id % 256 AS ip, count(*) FILTER (event_type = 'error') AS fails, count(*) AS n,
+               min(us // 1000000) AS first_ts
+        FROM behavior GROUP BY ALL"""),
+    "log_payments": _with(
+        _BEHAVIOR,
+        """pays AS (SELECT 'tx' || event_id AS tx_id, us // 1000000 AS s FROM behavior WHERE event_type = 'purchase')""",
+        """receipts AS (
+          SELECT 'tx' || event_id AS tx_id, CASE event_id % 2 WHEN 0 THEN 'wechat' ELSE 'alipay' END AS pay_channel,
+                 us // 1000000 + event_id % 13 - 5 AS s
+          FROM behavior WHERE event_type = 'purchase' AND event_id % 3 > 0 OR event_type = 'click' AND event_id % 10 = 0)""",
+        """met AS (SELECT p.tx_id, pay_channel FROM pays p JOIN receipts r ON p.tx_id = r.tx_id AND r.s - p.s BETWEEN -3 AND 5)""",
+        body="""
+        SELECT tx_id, pay_channel, 'matched' AS tag FROM met
+        UNION ALL SELECT tx_id, NULL, 'unmatched-pays' FROM pays WHERE tx_id NOT IN (SELECT tx_id FROM met)
+        UNION ALL SELECT tx_id, pay_channel, 'unmatched-receipts' FROM receipts WHERE tx_id NOT IN (SELECT tx_id FROM met)"""),
+    "channel_windows": _with(_BEHAVIOR, body=f"""
+        SELECT strftime(make_timestamp((window_end - 3600000) * 1000), '%Y-%m-%d %H:%M:%S.0') AS window_start,
+               strftime(make_timestamp(window_end * 1000), '%Y-%m-%d %H:%M:%S.0') AS window_end,
+               CASE channel WHEN 0 THEN 'app-store' WHEN 1 THEN 'huawei-store' ELSE 'wechat' END AS channel, behavior, cnt AS "count"
+        FROM ({_sliding("(SELECT k % 3 AS channel, event_type AS behavior, us FROM behavior WHERE event_type <> 'error')",
+                        "channel, behavior", 3_600_000, 1_800_000)})"""),
     "kafka_decode": _with(_BEHAVIOR, body="""
         SELECT event_type AS behavior, CAST(k % 10 AS INTEGER) AS category_id, count(*) AS n,
                CAST(sum(k) AS BIGINT) AS items, max(us // 1000000) AS last_ts
@@ -383,6 +413,18 @@ ORACLES |= {
     "stream_fail_anchor": ORACLES["fail_anchor"],
     "stream_fail_last_matched": ORACLES["fail_last_matched"],
     "stream_fail_bursts": ORACLES["fail_bursts"],
+    "stream_capped_by_province": _with(
+        _BEHAVIOR, _CAPPED,
+        """located AS (
+          SELECT n_name AS province, us FROM numbered
+          JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE n <= 2
+        )""",
+        body=f"""
+        SELECT province, window_end // 86400000 AS day, count(*) AS windows, CAST(sum(cnt) AS BIGINT) AS total, max(cnt) AS peak
+        FROM ({_sliding("located", "province", 3_600_000, 5_000)}) GROUP BY ALL"""),
+    "stream_tagged_clicks": _with(_BEHAVIOR, _CAPPED, body="""
+        SELECT CASE WHEN n <= 2 THEN 'pass' ELSE 'blacklist' END AS tag, user_id, count(*) AS n
+        FROM numbered WHERE n <= 3 GROUP BY ALL"""),
     "stream_order_status": ORACLES["order_status_held"],
     "stream_two_stream_match": ORACLES["two_stream_match"],
     "stream_late_split": ORACLES["late_split"],

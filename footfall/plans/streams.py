@@ -22,7 +22,7 @@ from footfall.operators.windows import expand_runs, tumbling_counts
 from footfall.plans.catalog import JITTER, LATE, RELISTED, UNEVEN
 from footfall.session import pin_zone, shared_folder, state_partitions
 from footfall.streaming.changelog import apply_changes, retracting_top_n_writer
-from footfall.streaming.late import Settled, late_splitting_writer, released, run_settled, settled
+from footfall.streaming.late import Settled, late_rows_writer, late_splitting_writer, released, run_settled, settled
 from footfall.streaming.panes import close_windows, pane_length, sliding_writer
 from footfall.streaming.processors import (
     AnchoredFailures,
@@ -34,7 +34,7 @@ from footfall.streaming.processors import (
     run_processor,
 )
 from footfall.streaming.registers import merged_rankings, page_rankings, visitor_bits
-from footfall.streaming.sinks import Writer, append_writer, run_available, top_n_writer
+from footfall.streaming.sinks import Writer, append_writer, run_available, tagged_writer, top_n_writer
 from footfall.streaming.snapshots import read_snapshot, snapshot_writer
 
 DELAY = "1 hour"
@@ -162,7 +162,7 @@ def stream_fail_bursts(spark, sf_dir, **options):
     return _failures(spark, sf_dir, "fail-bursts", FailureBursts(43_200_000_000), **options)
 
 
-def stream_click_cap(spark, sf_dir, **options):
+def _clicks(spark, sf_dir, **options):
     day_offset = 28_800_000_000
     events = settled_events(spark, sf_dir, "clicks", **options)
     clicks = events.rows.select(
@@ -170,10 +170,47 @@ def stream_click_cap(spark, sf_dir, **options):
         F.col("event_id").alias("tie"), "event_time",
     )
     clicks = clicks.withColumn("day", F.expr(f"(us + {day_offset}) div 86400000000"))
-    out = _machine(spark, "click-cap", events, clicks, ["user_id", "target"], ClickCap(2, day_offset))
+    processor = ClickCap(2, day_offset)
+    processor.grain_ms = GRAIN_MS
+    return events, run_processor(clicks, ["user_id", "target"], processor)
+
+
+def stream_click_cap(spark, sf_dir, **options):
+    events, tagged = _clicks(spark, sf_dir, **options)
+    out = spark.read.parquet(_written(spark, "click-cap", [events], tagged))
     return out.select("user_id", F.col("target").alias("event_type"), F.col("tie").alias("event_id"), "tag")
 
 
+def stream_tagged_clicks(spark, sf_dir, **options):
+    """The click cap's main and side output, each in a table of its own, counted by user."""
+    events, tagged = _clicks(spark, sf_dir, **options)
+    folder, tags = shared_folder(spark, "tagged"), ("pass", "blacklist")
+    _written(spark, "tagging", [events], tagged, make=lambda path: tagged_writer({t: f"{folder}/{t}" for t in tags}))
+    tables = [spark.read.parquet(f"{folder}/{t}").withColumn("tag", F.lit(t)) for t in tags]
+    return tables[0].unionByName(tables[1]).groupBy("tag", "user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_capped_by_province(spark, sf_dir, **options):
+    """Windows of an hour every five seconds by province, of the clicks that a state machine lets through; by day.
+
+    The machine gives rows when the watermark has passed them, so the count behind it has a
+    watermark of its own.  A batch's rows may be a step of the machine's timers older than those before.
+    """
+    events, tagged = _clicks(spark, sf_dir, **options)
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_nationkey")
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_nationkey", F.col("n_name").alias("province"))
+    kept = tagged.filter("tag = 'pass'").join(customer, F.col("user_id") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    ).select("province", "us", "tie", F.timestamp_micros("us").alias("event_time"))
+    folder, behind = shared_folder(spark, "passed"), f"{GRAIN_MS} milliseconds"
+    writer = late_rows_writer(folder, "event_time", behind, ["us", "tie"])
+    with state_partitions(spark):
+        run_settled([events], lambda: run_available(kept, f"{folder}/checkpoint", writer=writer))
+    passed = released(spark, folder, kept, "event_time", [behind], CLOSE_AFTER)
+    panes = tumbling_counts(passed.rows.select("province", "event_time"), ["province"], "event_time", "5 seconds")
+    return summarize_runs(_swept(spark, "provinces", [passed], panes, ["province"], "1 hour", "5 seconds"), ["province"], "5 seconds")
+
+
 def stream_order_status(spark, sf_dir, **options):
     """Sign-ups and purchases as creates and pays; a late pay is waited for a day longer."""
     kind = F.when(F.col("event_type") == "signup", "create").when(F.col("event_type") == "purchase", "pay")
@@ -289,6 +326,8 @@ STREAM_QUERIES = {
     "stream_fail_last_matched": stream_fail_last_matched,
     "stream_fail_bursts": stream_fail_bursts,
     "stream_click_cap": stream_click_cap,
+    "stream_tagged_clicks": stream_tagged_clicks,
+    "stream_capped_by_province": stream_capped_by_province,
     "stream_order_status": stream_order_status,
     "stream_two_stream_match": stream_two_stream_match,
     "stream_hot_pages_late": stream_hot_pages_late,

@@ -255,7 +255,7 @@ class ClickCap(OrderedProcessor):
     event time, one day is open at a time; its count goes when the day has ended.
     """
 
-    output = "user_id bigint, target string, tie bigint, tag string"
+    output = "user_id bigint, target string, us bigint, tie bigint, tag string"
     columns = "us bigint, tie bigint, day bigint"
     held = "day bigint, size bigint"
 
@@ -265,7 +265,7 @@ class ClickCap(OrderedProcessor):
     def step(self, key, held, row):
         size = held[1] if held and held[0] == row.day else 0
         tag = "pass" if size < self.cap else "blacklist" if size == self.cap else None
-        return (int(row.day), size + 1), [(key[0], key[1], int(row.tie), tag)] if tag else []
+        return (int(row.day), size + 1), [(key[0], key[1], int(row.us), int(row.tie), tag)] if tag else []
 
     def due(self, held):
         return (held[0] + 1) * 86_400_000_000 - self.day_offset_us - 1
