@@ -1,8 +1,11 @@
 """Token counts by offset-mapped attribution.
 
 A document is encoded whole, once; each token's character span is then joined to the
-document's sections by position.  A token that crosses a boundary goes to the section
-that holds most of its characters, and to the earlier one if two hold equally many.
+document's sections by position, as intervals.  A token that crosses a boundary goes to the
+section that holds most of its characters, and to the earlier one if two hold equally many.
+Sections are whatever divides a text: lines, sentences, or windows of a number of characters,
+as context windows and storage blocks are cut.  Windows cut words and tokens; lines do not, as no
+token of a word-bound vocabulary spans white space.
 """
 
 from __future__ import annotations
@@ -18,6 +21,10 @@ from footfall.llm.common import sliced, table
 from footfall.llm.tokens import encode, remembered, tokenizer_path
 
 
+#: Characters of a section in the query.
+SECTION_CHARS = 1000
+
+
 def section_ends(text: str, separator: str = "\n") -> np.ndarray:
     """Where the sections of a text end: each holds the separator that ends it."""
     cuts, at = [], text.find(separator)
@@ -29,6 +36,13 @@ def section_ends(text: str, separator: str = "\n") -> np.ndarray:
     return np.array(cuts, dtype=np.int64)
 
 
+def window_ends(text: str, size: int) -> np.ndarray:
+    """Where windows of ``size`` characters of a text end; the last may be shorter."""
+    ends = np.arange(size, len(text) + size, size, dtype=np.int64)
+    ends = np.minimum(ends, len(text))
+    return ends if len(ends) else np.zeros(1, dtype=np.int64)
+
+
 def attribute(spans: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The section of each span (start, end); ``ends`` are the sections' ends in order.
 
@@ -47,12 +61,14 @@ def attribute(spans: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def section_tokens(
-    docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", text: str = "text", separator: str = "\n"
+    docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", text: str = "text", separator: str = "\n",
+    window: int | None = None,
 ) -> DataFrame:
     """One row per section: ``key``, ``section``, ``first_char``, ``end_char``, ``n_tokens``, ``crossing``.
 
-    Sections are what the separator ends, in order from 0; their counts add up to the
-    whole document's.  ``crossing`` counts the section's tokens that reach into another.
+    Sections are windows of ``window`` characters or, without it, what the separator ends, in
+    order from 0; their counts add up to the whole document's.  ``crossing`` counts the
+    section's tokens that reach into another.
     A null or empty text is one empty section with no token.  Rows are treated one by
     one: repeated and null keys and further columns do no harm.
     """
@@ -64,7 +80,7 @@ def section_tokens(
             found = encode(part.column("text"), path, spans=True)
             owners, numbers, begins, ends_, tokens, crossing = [], [], [], [], [], []
             for row, text in enumerate(part.column("text").to_pylist()):
-                spans, ends = found.spans[found.ends[row] : found.ends[row + 1]], section_ends(text, separator)
+                spans, ends = found.spans[found.ends[row] : found.ends[row + 1]], (window_ends(text, window) if window else section_ends(text, separator))
                 where = attribute(spans, ends)
                 starts = np.concatenate([[0], ends[:-1]])
                 across = (spans[:, 0] < starts[where]) | (spans[:, 1] > ends[where])
@@ -91,5 +107,5 @@ def section_tokens(
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every line of every document."""
-    return section_tokens(table(spark, sf_dir, "documents"))
+    """Tokens of every thousand characters of every document."""
+    return section_tokens(table(spark, sf_dir, "documents"), window=SECTION_CHARS)

@@ -1,11 +1,13 @@
 """License scans by a positional index of rare words.
 
 Each licence template is a run of words with a mandatory key phrase.  The index holds, for
-every template, the word of its key phrase with the highest inverse document frequency,
-counted over all documents, and its position in the template.  A file looks up its own
-highest-IDF licence words there; each posting fixes, by relative position, where the
-template would begin.  Of such a candidate the key phrase is verified word by word, and
-the rest is scored by the IDF of the words that stand where the template has them.
+every template, the three words of its key phrase (two, of short ones) with the highest inverse
+document frequency, counted over all documents, with their positions in the template.  A file
+looks up its own highest-IDF licence words there; each posting fixes, by relative position,
+where the template would begin.  The begins that the postings of the rarest, the second and the
+third word give are intersected; what all of them agree on is a candidate.  Of it the key
+phrase is verified word by word, and the rest is scored by the IDF of the words that stand
+where the template has them.
 
 Any accepted place holds its template's whole key phrase, so none is missed.  Everything is a
 DataFrame expression on one row's words; nothing but the counts of the few licence words
@@ -52,6 +54,8 @@ NOTICES = [
     ("cc0", "cc0 1 0 universal public domain dedication", "public domain dedication"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software"),
 ]
+#: Words of each key phrase that the index holds.
+POSTINGS = 3
 #: A template counts from this share of its words' weight on.
 ENOUGH = 0.5
 
@@ -96,9 +100,14 @@ def word_weights(docs: DataFrame, key: str = "doc_id", text: str = "text") -> di
     return {w: math.log((documents + 1) / (counts.get(w, 0) + 1)) + 1 for w in VOCABULARY}
 
 
-def _anchor(t: Template, weights: dict[str, float]) -> int:
-    """Position in the template of the rarest word of its key phrase; the first of equals."""
-    return t.key_at + max(range(len(t.key)), key=lambda i: (weights[t.key[i]], -i))
+def _postings(t: Template, weights: dict[str, float]) -> list[int]:
+    """Positions in the template of the ``POSTINGS`` rarest words of its key phrase, rarest first; the first of equals.
+
+    A shorter phrase repeats its rarest word's.
+    """
+    ranked = sorted(range(len(t.key)), key=lambda i: (-weights[t.key[i]], i))[:POSTINGS]
+    ranked += ranked[:1] * (POSTINGS - len(ranked))
+    return [t.key_at + i for i in ranked]
 
 
 def scan(docs: DataFrame, weights: dict[str, float], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -110,10 +119,9 @@ def scan(docs: DataFrame, weights: dict[str, float], key: str = "doc_id", text:
     digits.  A null or empty text has no word.  Rows are judged one by one: repeats, null
     keys and further columns do no harm.
     """
-    anchors = [(t.words[_anchor(t, weights)], i, _anchor(t, weights)) for i, t in enumerate(TEMPLATES)]
-    postings = F.array(*[
-        F.struct(F.lit(w).alias("word"), F.lit(i).alias("template"), F.lit(at).alias("at")) for w, i, at in anchors
-    ])
+    index = [_postings(t, weights) for t in TEMPLATES]
+    # by rank: the words that templates have there, and their postings
+    ranks = [[(t.words[at[r]], i, at[r]) for i, (t, at) in enumerate(zip(TEMPLATES, index))] for r in range(POSTINGS)]
     library = F.array(*[
         F.struct(
             F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), _strings(t.words).alias("words"),
@@ -122,15 +130,26 @@ def scan(docs: DataFrame, weights: dict[str, float], key: str = "doc_id", text:
         )
         for t in TEMPLATES
     ])
-    rare = sorted({w for w, _, _ in anchors})
     words = F.col("words")
-    # the file's rare licence words with their numbers, looked up in the index
     numbered = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("i")))
-    hits = F.when(F.arrays_overlap(words, _strings(rare)), F.filter(numbered, lambda h: h["word"].isin(rare)))
-    candidates = F.flatten(F.transform("hits", lambda h: F.transform(
-        F.filter(postings, lambda p: p["word"] == h["word"]),
-        lambda p: F.struct(F.element_at(library, p["template"] + 1).alias("t"), (h["i"] - p["at"]).alias("start")),
-    )))
+
+    def begins(rank: list[tuple[str, int, int]]) -> Column:
+        """Where templates begin, as the file's words of this rank have it."""
+        rare = sorted({w for w, _, _ in rank})
+        postings = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(i).alias("template"), F.lit(at).alias("at")) for w, i, at in rank])
+        hits = F.filter(numbered, lambda h: h["word"].isin(rare))
+        return F.flatten(F.transform(hits, lambda h: F.transform(
+            F.filter(postings, lambda p: p["word"] == h["word"]),
+            lambda p: F.struct(p["template"].alias("template"), (h["i"] - p["at"]).alias("start")),
+        )))
+
+    # the rarest words first: most files have none, and the others' postings need not be read
+    first = F.when(F.arrays_overlap(words, _strings(sorted({w for w, _, _ in ranks[0]}))), begins(ranks[0]))
+    agreed = F.col("begins")
+    for rank in ranks[1:]:
+        agreed = F.array_intersect(agreed, begins(rank))
+    agreed = F.when(F.size("begins") > 0, agreed)
+    candidates = F.transform("agreed", lambda c: F.struct(F.element_at(library, c["template"] + 1).alias("t"), c["start"].alias("start")))
     key_stands = lambda c: (c["start"] + c["t"]["key_at"] >= 0) & (
         F.slice(words, F.greatest(c["start"] + c["t"]["key_at"], F.lit(0)) + 1, c["t"]["key_size"]) == c["t"]["key"]
     )
@@ -149,7 +168,7 @@ def scan(docs: DataFrame, weights: dict[str, float], key: str = "doc_id", text:
         c["t"]["label"].alias("label"), c["t"]["base"].alias("base"), c["start"].alias("start"), share(c).alias("share")
     ))
     found = F.coalesce(F.filter(scored, lambda c: c["share"] >= ENOUGH), F.array())
-    rows = _words(docs, key, text).select("key", "words", hits.alias("hits"))
+    rows = _words(docs, key, text).select("key", "words", first.alias("begins")).select("key", "words", agreed.alias("agreed"))
     rows = rows.select("key", F.size("words").cast("long").alias("n_words"), found.alias("found"))
     base = F.filter("found", lambda c: c["base"])
     starts = F.transform(base, lambda c: c["start"].cast("long"))

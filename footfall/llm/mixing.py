@@ -8,6 +8,7 @@ random order.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,26 +27,63 @@ def hashed_unit(*parts: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") / F.lit(UNIT)
 
 
-def poisson_cdf(rate: Column) -> Column:
-    """P(count <= k) for k from 0 to where the rest is less than 2**-52."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    log_mass = lambda k: k * F.log(rate) - rate - F.aggregate(
-        F.sequence(F.lit(1), F.greatest(k, F.lit(1)).cast("int")), F.lit(0.0), lambda s, i: s + F.log(i.cast("double"))
+#: Counts so many standard deviations, and some more, from the mean have a chance of under 2**-52.
+REACH, MORE = 12, 40
+
+
+def _log_factorial(n: Column) -> Column:
+    """ln n! by Stirling's series, to some 14 digits from n = 16 on; 0 for the n below, where sums start at 0."""
+    x = n.cast("double") + 1
+    power = lambda p: F.pow(x, F.lit(float(p)))
+    series = (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi)
+    series = series + 1 / (12 * x) - 1 / (360 * power(3)) + 1 / (1260 * power(5)) - 1 / (1680 * power(7))
+    return F.when(n > 0, series).otherwise(0.0)
+
+
+def poisson_tables(rates: DataFrame) -> DataFrame:
+    """Adds to ``source``, ``rate`` the ``least`` count and ``cdf``, P(count <= k) for k from ``least`` on.
+
+    Counts with a chance of under 2**-52 on either side are left out, so a table has some
+    24 times the root of the rate.  Masses are taken in logarithms, where ln k! is a running
+    sum over rows of (source, count), and so are their sums.
+    """
+    spread = F.lit(REACH) * F.sqrt("rate") + MORE
+    low = F.floor(F.col("rate") - spread)
+    least = F.when(low < 16, 0).otherwise(low).cast("long")  # the series needs 16
+    last = F.ceil(F.col("rate") + spread).cast("long")
+    each = rates.filter("rate > 0").select(
+        "source", "rate", least.alias("least"), F.explode(F.sequence(least, last)).alias("k")
+    )
+    upto = Window.partitionBy("source").orderBy("k")
+    steps = F.sum(F.when(F.col("k") > F.col("least"), F.log(F.col("k").cast("double"))).otherwise(0.0)).over(upto)
+    log_mass = F.col("k") * F.log("rate") - F.col("rate") - _log_factorial(F.col("least")) - steps
+    summed = each.select("source", "least", "k", F.exp(log_mass).alias("mass")).select(
+        "source", "least", "k", F.sum("mass").over(upto).alias("sum")
+    )
+    tables = summed.groupBy("source").agg(
+        F.first("least").alias("least"), F.sort_array(F.collect_list(F.struct("k", "sum")))["sum"].alias("cdf")
     )
-    masses = F.transform(F.sequence(F.lit(0), last), lambda k: F.exp(log_mass(k.cast("double"))))
-    empty = F.array().cast("array<double>")
-    sums = F.aggregate(
-        masses, F.struct(F.lit(0.0).alias("sum"), empty.alias("all")),
-        lambda s, p: F.struct((s["sum"] + p).alias("sum"), F.concat(s["all"], F.array(s["sum"] + p)).alias("all")),
+    joined = rates.join(tables.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of")), "left").drop("_of")
+    return joined.withColumn("least", F.coalesce("least", F.lit(0).cast("long"))).withColumn(
+        "cdf", F.coalesce("cdf", F.array(F.lit(1.0)))
     )
-    return F.when(rate > 0, sums["all"]).otherwise(F.array(F.lit(1.0)))
+
+
+def sorted_before(values: Column, x: Column) -> Column:
+    """How many of the ascending ``values`` are at most ``x``, by binary search."""
+    halves = F.array(*[F.lit(1 << b) for b in range(30, -1, -1)])
+    inside = F.filter(halves, lambda h: h <= F.size(values))
+    step = lambda low, h: F.when(
+        low + h <= F.size(values), F.when(F.get(values, low + h - 1) <= x, low + h).otherwise(low)
+    ).otherwise(low)
+    return F.aggregate(inside, F.lit(0), step)
 
 
 def source_rates(
     docs: DataFrame, weights: Mapping[str | None, float] | None = None, total: int | None = None,
     source: str = "source", text: str = "text",
 ) -> DataFrame:
-    """One row per source: ``source``, ``rate`` and ``cdf``.
+    """One row per source: ``source``, ``rate``, ``least`` and ``cdf``.
 
     A source's size is its characters plus one per document, over all its documents.
     ``weights`` are shares by source, in any unit; sources that it lacks get none, and
@@ -62,11 +100,11 @@ def source_rates(
         given = docs.sparkSession.createDataFrame([(k, float(v)) for k, v in weights.items()], schema)
         joined = sizes.join(given, F.col("source").eqNullSafe(F.col("named")), "left")
         shared = joined.select("source", "size", F.coalesce("weight", F.lit(0.0)).alias("weight"))
-    every = Window.partitionBy()  # over one row per source
-    whole = F.lit(float(total)) if total is not None else F.sum("size").over(every)
-    rate = F.col("weight") / F.sum("weight").over(every) * whole / F.col("size")
-    rated = shared.select("source", F.coalesce(rate, F.lit(0.0)).alias("rate"))
-    return rated.withColumn("cdf", poisson_cdf(F.col("rate")))
+    shared = written(shared, work_folder(docs.sparkSession, "sizes"))
+    size, weight = shared.agg(F.sum("size"), F.sum("weight")).first()
+    whole = float(total) if total is not None else float(size or 0)
+    rate = F.col("weight") / F.lit(float(weight or 1)) * F.lit(whole) / F.col("size")
+    return poisson_tables(shared.select("source", F.coalesce(rate, F.lit(0.0)).alias("rate")))
 
 
 def poisson_mix(
@@ -89,7 +127,7 @@ def poisson_mix(
     # a small table, whose size Spark knows before it chooses the join
     rates = written(source_rates(docs, weights, total, source, text), work_folder(docs.sparkSession, "rates"))
     joined = rows.join(rates, F.col(f"row.{source}").eqNullSafe(F.col("source")))
-    copies = F.size(F.filter("cdf", lambda c: F.col("drawn") >= c))
+    copies = (F.col("least") + sorted_before(F.col("cdf"), F.col("drawn"))).cast("int")
     counted = joined.select("row", "rate", copies.alias("copies")).filter(F.col("copies") > 0)
     each = counted.select("row", "rate", "copies", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     place = hashed_unit(

@@ -112,6 +112,22 @@ class Shard:
         return np.where(sure, found, -1)
 
 
+    def documents(self, begin: int, end: int) -> np.ndarray:
+        """The documents from ``begin`` to ``end``, each key's first one as the index finds it."""
+        found = np.arange(begin, end)
+        keyed = np.flatnonzero(self.keyed[begin:end])
+        first = self.find(self.keys[begin:end][keyed])
+        if (first < 0).any():
+            raise ValueError("the index does not know a key of its shard")
+        again = np.flatnonzero(first != found[keyed])
+        # behind the first of its key a document follows the one before
+        if (self.keys[first[again]] != self.keys[found[keyed][again]]).any() or (first[again] > found[keyed][again]).any():
+            raise ValueError("the index leads to another key's document")
+        first[again] = found[keyed][again]
+        found[keyed] = first
+        return found
+
+
 def write_store(
     docs: DataFrame, folder: str, tokenizer: str | None = None, key: str = "doc_id", text: str = "text",
     shard_chars: int = 48 << 20,
@@ -121,13 +137,15 @@ def write_store(
     An id END follows each document.  Null texts are empty; documents without key come
     first and have no index entry; those that repeat a key follow each other, in an order
     that the text decides.  Shards hold about ``shard_chars`` characters, as a sample of
-    the keys divides them; a hot key is divided by its texts.  An empty table gives no shard.
+    the keys divides them; a hot key is divided by its texts, a hot text by its copies.  An empty table gives no shard.
     """
     spark = docs.sparkSession
     path = tokenizer or tokenizer_path()
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    dealt = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(max(1, -(-total // shard_chars)), "key", "tie")
+    # rows equal in key and text, as mixing makes them, may be many shards full: their copies are told apart, too
+    placed = rows.withColumn("tie", F.xxhash64("text")).withColumn("copy", F.monotonically_increasing_id())
+    dealt = placed.repartitionByRange(max(1, -(-total // shard_chars)), "key", "tie", "copy")
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
@@ -171,7 +189,9 @@ def _by_shard(manifest: DataFrame) -> DataFrame:
 def read_store(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
     """Every document from the files: ``key``, ``start``, ``n_tokens``, ``ids_crc32``, and ``ids`` if asked for.
 
-    ``start`` counts the ids of all documents before; the checksum is of the ids as
+    Each shard answers for its own keys: a key's document is found by ``Shard.find``, through place,
+    fingerprint and offset.  Only documents that repeat a key, behind the first, and those
+    without one are taken in their order.  ``start`` counts the ids of all documents before; the checksum is of the ids as
     little-endian unsigned 32-bit integers.
     """
 
@@ -182,7 +202,8 @@ def read_store(spark: SparkSession, folder: str, with_ids: bool = False) -> Data
                 index = Shard.read(folder, shard)
                 with files.open_input_file(f"{path}/shard-{shard}.ids") as f:
                     for at in range(0, len(index.keys), 2000):
-                        ends = index.starts[at : at + 2001]
+                        documents = index.documents(at, min(at + 2000, len(index.keys)))
+                        ends = np.append(index.starts[documents], index.starts[documents[-1] + 1])
                         f.seek(int(ends[0]) * index.width)
                         ids = np.frombuffer(f.read(int(ends[-1] - ends[0]) * index.width), f"<u{index.width}").astype("<u4")
                         cuts = (ends - ends[0]).tolist()

@@ -1,5 +1,6 @@
 """Corpus operators against brute force, exact round trips and held-out labels, and on odd tables."""
 
+import math
 import re
 import zlib
 from itertools import product
@@ -43,6 +44,20 @@ def test_license_notice_with_a_changed_word(spark):
     assert got[2] == (0, "", 0.0)
 
 
+def test_postings_are_the_rarest_words_of_the_key_phrase(spark, odd):
+    weights = licenses.word_weights(odd)
+    for t in licenses.TEMPLATES:
+        places = licenses._postings(t, weights)
+        assert len(places) == 3 and len(set(places)) == min(3, len(t.key))
+        left = [weights[w] for i, w in enumerate(t.key) if t.key_at + i not in places]
+        assert not left or min(weights[t.words[p]] for p in places) >= max(left)
+    # words of a key phrase at other distances agree on no begin
+    text = "gnu public license general gnu x general x public x license mit x license by cc"
+    docs = spark.createDataFrame([(1, text), (2, text + " gnu general public license")], "doc_id long, text string")
+    got = by_id(licenses.scan(docs, weights), "n_base", "first_word", "base_labels")
+    assert got == {1: (0, None, ""), 2: (1, 16, "gpl")}
+
+
 # decontamination
 
 
@@ -261,6 +276,29 @@ def test_token_files_round_trip(spark, odd, none, tmp_path):
     assert store.token_file_rows(none).count() == 0
 
 
+def test_copies_of_a_text_may_fill_many_shards(spark, tmp_path):
+    """A third of all rows are one key and text, some others share a key; nulls have none."""
+    copies, folder = 300, str(tmp_path / "store")
+    rows = [(5, "the very same text " * 20)] * copies + [(i, f"text number {i} " * 20) for i in range(600)] + [(None, "nobody's")] * 3
+    store.write_store(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), folder, shard_chars=20_000)
+    manifest = spark.read.parquet(f"{folder}/manifest")
+    assert manifest.filter("first_key <= 5 AND last_key >= 5").count() > 3
+    got = store.read_store(spark, folder, with_ids=True).orderBy("start").collect()
+    assert len(got) == len(rows) and sum(r.key == 5 for r in got) == copies + 1
+    assert [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got[:-1]]]).tolist()
+    found = store.lookup(spark.createDataFrame([(5,), (6,)], "doc_id long"), folder)
+    assert found.count() == copies + 2
+
+
+def test_rows_come_through_the_index(tmp_path):
+    keys, keyed = np.array([0, 0, 3, 3, 3, 8, 9]), np.array([False, False, True, True, True, True, True])
+    shard = store.Shard.build(2, keys, keyed, np.full(7, 4))
+    assert shard.documents(0, 7).tolist() == list(range(7)) and shard.documents(3, 6).tolist() == [3, 4, 5]
+    shard.prints = shard.prints ^ np.uint32(1)
+    with pytest.raises(ValueError, match="does not know"):
+        shard.documents(0, 7)
+
+
 def test_perfect_hash():
     rng = np.random.default_rng(3)
     for n in (0, 1, 2, 10, 5000):
@@ -290,6 +328,32 @@ def test_attribution_by_brute_force(spark, odd, none):
     assert attribution.section_tokens(none).count() == 0
 
 
+def test_windows_that_cut_tokens(spark, odd):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 60").select("doc_id", "text").unionByName(
+        odd.filter("doc_id in (2, 3, 11, 12)").selectExpr("doc_id + 1000 AS doc_id", "text"))
+    got = attribution.section_tokens(docs, window=7)
+    rows = {(r.doc_id, r.section): (r.first_char, r.end_char, r.n_tokens, r.crossing) for r in got.collect()}
+    count = 0
+    for r in docs.collect():
+        text = r.text or ""
+        encoded = tokens.load(tokens.tokenizer_path()).encode(text, add_special_tokens=False)
+        bounds = [(a, min(a + 7, len(text))) for a in range(0, max(len(text), 1), 7)]
+        own, across = [0] * len(bounds), [0] * len(bounds)
+        for a, b in encoded.offsets:
+            held = [max(0, min(b, e) - max(a, s)) for s, e in bounds[a // 7 : (b - 1) // 7 + 1]]
+            at = a // 7 + held.index(max(held))
+            own[at] += 1
+            across[at] += len(held) > 1
+        for i, (a, b) in enumerate(bounds):
+            assert rows[r.doc_id, i] == (a, b, own[i], across[i])
+            count += 1
+    assert count == len(rows) and sum(r[3] for r in rows.values()) > 1000
+
+
+def test_the_query_has_tokens_over_boundaries(spark):
+    assert attribution.op8_token_counts(spark, SF).agg(F.sum("crossing")).first()[0] > 100
+
+
 def test_a_token_over_boundaries():
     spans, ends = np.array([[0, 2], [1, 5], [2, 4], [4, 10], [9, 9]]), np.array([3, 4, 10])
     assert attribution.attribute(spans, ends).tolist() == [0, 0, 0, 2, 2]
@@ -367,8 +431,34 @@ def test_mixing_reaches_its_weights(spark, odd, none):
     assert mixing.mixed_documents(none).count() == 0
 
 
-def test_poisson_cdf_for_any_rate(spark):
-    rates = spark.createDataFrame([(0.0,), (0.1,), (3.0,), (900.0,)], "rate double").select("rate", mixing.poisson_cdf(F.col("rate")).alias("cdf"))
-    for r in rates.collect():
-        masses = np.diff([0, *r.cdf])
-        assert masses.sum() == pytest.approx(1) and (np.arange(len(masses)) * masses).sum() == pytest.approx(r.rate)
+def test_poisson_tables_for_any_rate(spark):
+    given = [0.0, 0.1, 3.0, 60.5, 900.0, 1e6]
+    rates = spark.createDataFrame([(str(i), r) for i, r in enumerate(given)], "source string, rate double")
+    for r in mixing.poisson_tables(rates).collect():
+        if not r.rate:
+            assert r.cdf == [1.0] and r.least == 0
+            continue
+        mass = np.array([math.exp(k * math.log(r.rate) - r.rate - math.lgamma(k + 1)) for k in range(r.least, r.least + len(r.cdf))])
+        assert np.abs(np.cumsum(mass) - np.array(r.cdf)).max() < 1e-8 and abs(r.cdf[-1] - 1) < 1e-8
+        assert len(r.cdf) < 24 * r.rate**0.5 + 100
+
+
+def test_a_very_high_rate_gives_the_rows_of_the_sql(spark):
+    docs = spark.createDataFrame([(1, "big", "x" * 300_000), (2, "tiny", ""), (3, "tiny", "abc")], "doc_id long, source string, text string")
+    mixed = mixing.poisson_mix(docs, {"big": 1, "tiny": 2}, ordered=False)
+    counts = {r.doc_id: r.n for r in mixed.groupBy("row.doc_id").agg(F.max("copies").alias("n")).collect()}
+    assert 30_000 < counts[2] < 50_000 and 30_000 < counts[3] < 50_000
+    con = duckdb.connect()
+    con.register("documents", docs.withColumn("lang", F.lit("")).toPandas())
+    even = mixing.poisson_mix(docs.withColumn("lang", F.lit("")), ordered=False)
+    columns = "doc_id, copy, copies"
+    assert difference(even.select("row.doc_id", "copy", "copies"), con, f"SELECT {columns} FROM ({mixing.mix_sql('documents', '*')})") is None
+
+
+def test_binary_search(spark):
+    values = [0.5, 1.0, 1.0, 2.5, 7.0]
+    asked = spark.createDataFrame([(x,) for x in (0.0, 0.5, 1.0, 2.4, 2.5, 6.9, 7.0, 9.0)], "x double")
+    for size in range(len(values) + 1):
+        held = F.array(*[F.lit(v) for v in values[:size]]).cast("array<double>")
+        for r in asked.select("x", mixing.sorted_before(held, F.col("x")).alias("n")).collect():
+            assert r.n == sum(v <= r.x for v in values[:size])
