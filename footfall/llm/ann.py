@@ -138,10 +138,15 @@ def _tile_products(tiles: DataFrame, width: int, most: int) -> DataFrame:
             return None
         rough = q @ v.T
         rough[qid[:, None] == vid[None]] = -np.inf
-        if len(v) > most:
+        keys = np.unique(vid)
+        if len(keys) > most:
+            each = rough
+            if len(keys) < len(v):  # rows that repeat a key count once
+                order = np.argsort(vid, kind="stable")
+                each = np.maximum.reduceat(rough[:, order], np.searchsorted(vid[order], keys), axis=1)
             # rounding may differ from the exact sums by far less than this
-            floor = -np.partition(-rough, most - 1, axis=1)[:, most - 1]
-            slack = 1e-9 * (1 + np.abs(floor))
+            floor = -np.partition(-each, most - 1, axis=1)[:, most - 1]
+            slack = 1e-12 * np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max()
         else:
             floor, slack = np.full(len(q), -np.inf), np.zeros(len(q))
         r, c = np.nonzero((rough >= (floor - slack)[:, None]) & np.isfinite(rough))
@@ -212,7 +217,8 @@ def nearest(
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor
     do rows without key or of another length than most.  Ties in the product go to the
-    smaller key.  Rows that repeat a key count once, with their best product.  A vector is
+    smaller key.  Rows that repeat a key count once, with their best product, and a query key that is
+    repeated asks with all of its vectors.  A vector is
     posted to at most ``copies`` lists within ``replicate`` times its least distance, a
     query reads all lists within ``prune`` times its own, or, if those hold less than twice
     ``k`` keys, times the distance up to which lists hold that many; no list is cut short.
@@ -268,15 +274,15 @@ def nearest(
     homes, enough = np.zeros(lists), 2 * (k + 1)
     for row in postings.groupBy("id").agg(F.min("list").alias("list")).groupBy("list").count().collect():  # a row a list
         homes[row["list"]] = row["count"]
-    asking = _valid(vectors.filter(F.coalesce(queries, F.lit(False))), key, vector).filter(F.size("v") == width).dropDuplicates(["id"])
+    asking = _valid(vectors.filter(F.coalesce(queries, F.lit(False))), key, vector).filter(F.size("v") == width).dropDuplicates(["id", "v"])
     probes = written(asking.mapInArrow(ask, kind), f"{folder}/probes")
     cut = _blocks(postings, BLOCK).join(_blocks(probes, QUERY_BLOCK).withColumnRenamed("blocks", "asked"), "list")
     cut = written(cut, f"{folder}/cut")  # a row a list
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    tiles = postings.join(cut, "list").select("list", own("blocks").alias("x"), all_of("asked").alias("y"), F.lit(0).alias("side"), "id", "v")
+    own = lambda n, *of: F.pmod(F.xxhash64(*of), F.col(n)).cast("int")
+    tiles = postings.join(cut, "list").select("list", own("blocks", "id", "v").alias("x"), all_of("asked").alias("y"), F.lit(0).alias("side"), "id", "v")
     tiles = tiles.unionByName(
-        probes.join(cut, "list").select("list", own("asked").alias("y"), all_of("blocks").alias("x"), F.lit(1).alias("side"), "id", "v")
+        probes.join(cut, "list").select("list", own("asked", "id", "v").alias("y"), all_of("blocks").alias("x"), F.lit(1).alias("side"), "id", "v")
     )
     found = _tile_products(tiles, width, k).groupBy("query", "id").agg(F.max("score").alias("score"))
     return top_ranked(found, k)

@@ -4,8 +4,10 @@ A text is cut into pieces, and each piece is tagged as the beginning of a secret
 one, or outside.  The score of a tagging adds up, piece by piece, weights for the piece's
 shape, the kinds and shapes of its neighbours, a keyword close before it and features of
 the whole file, and weights for neighbouring tags; Viterbi finds the best tagging.  The
-weights maximise the likelihood of a bounded sample in which the patterns mark the secrets,
-in texts as they are and with other values and keywords put in their place.
+weights maximise the likelihood of a bounded sample of texts, in which the patterns mark the
+secrets, and of the same texts with made-up secrets that no pattern marks (bare values, issued
+prefixes, headers, credentials in addresses) and with what only looks like one (ids, paths, images
+and versions) put into them.
 """
 
 from __future__ import annotations
@@ -33,11 +35,12 @@ KINDS = ("assign", "access", "hex", "crf")
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 PIECES = re.compile(r"""[^=:"'`]+|[=:"'`]+""")
-KEYWORD = r"(?i)pass|secret|token|api|key|cred|auth"
+KEYWORD = r"(?i)pass|secret|token|api|key|cred|auth|bearer"
 OUT, BEGIN, IN = range(3)
 #: Features of a piece, each one of so many values: shape, kind before and after, a keyword
-#: within five pieces before, short shape before and after, file.
-SIZES = (576, 6, 6, 2, 9, 9, 6)
+#: within five pieces before, short shape before and after, file, its own kind.
+SIZES = (576, 7, 7, 2, 9, 9, 6, 7)
+EDGE = 6  # the kind beyond a text's ends
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -69,7 +72,7 @@ def _describe(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         switches[odd] = np.digitize(changes.to_numpy(zero_copy_only=False), [2, 5])
     shape = ((((size * 2 + lower) * 2 + upper) * 2 + digit) * 2 + symbol) * 2 + hexed
     kind = np.zeros(len(pieces), dtype=np.int64)
-    for value, pattern in ((1, KEYWORD), (4, "://|@"), (3, r"""^["'`]+$"""), (2, """^["'`]*[=:]+["'`]*$""")):
+    for value, pattern in ((1, KEYWORD), (4, "://|@"), (3, r"""^["'`]+$"""), (2, """^["'`]*[=:]+["'`]*$"""), (5, "base64,")):
         kind[has(pattern) == 1] = value
     return shape * 3 + switches, kind, digit * 4 + upper * 2 + symbol
 
@@ -101,7 +104,9 @@ class Pieces:
         sizes = np.maximum(np.bincount(text, minlength=texts), 1)
         digits = np.digitize(np.bincount(text, self.short >= 4, texts) / sizes, [0.01, 0.1])
         file = (np.bincount(text, keyed, texts) > 0) * 3 + digits
-        columns = [self.shape, before(self.kind, 5), after(self.kind, 5), near, before(self.short, 8), after(self.short, 8), file[text]]
+        columns = [
+            self.shape, before(self.kind, EDGE), after(self.kind, EDGE), near, before(self.short, 8), after(self.short, 8), file[text], self.kind
+        ]
         offsets = np.concatenate([[0], np.cumsum(SIZES)[:-1]])
         return np.stack([c + o for c, o in zip(columns, offsets, strict=True)], axis=1)
 
@@ -240,29 +245,77 @@ def _value(rng: np.random.Generator) -> str:
     return "".join(letters[i] for i in rng.integers(len(letters), size=rng.integers(16, 48)))
 
 
-def _with_secret(text: str, rng: np.random.Generator) -> str:
-    """The text with a made-up secret put between two of its words."""
-    keyword = ["password", "secret", "token", "api_key", "apikey"][rng.integers(5)]
-    made = keyword + [" = ", "=", ": "][rng.integers(3)] + ['"{}"', "{}", "'{}'"][rng.integers(3)].format(_value(rng))
+_ALNUM = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+
+def _drawn(rng: np.random.Generator, letters: str, size: int) -> str:
+    return "".join(letters[i] for i in rng.integers(len(letters), size=size))
+
+
+def made_secret(rng: np.random.Generator) -> tuple[str, str, str]:
+    """What stands before a made-up secret, the secret, and what stands behind it."""
+    pick = lambda *options: options[rng.integers(len(options))]
+    value = _value(rng)
+    kind = rng.integers(5)
+    if kind == 0:
+        quote = pick('"', "", "'")
+        return pick("password", "secret", "token", "api_key", "apikey") + pick(" = ", "=", ": ") + quote, value, quote
+    if kind == 1:
+        return pick("the key is ", "use the password ", "my token ", "credentials ", "secret key ", "the api key was "), value, ""
+    if kind == 2:
+        prefix = pick("ghp_", "sk_live_", "xoxb-", "glpat-", "AIza", "npm_", "hf_")
+        return pick("", "with ", "key ", "export "), prefix + _drawn(rng, _ALNUM, int(rng.integers(20, 40))), ""
+    if kind == 3:
+        parts = ["eyJ" + _drawn(rng, _ALNUM, int(rng.integers(15, 40))) for _ in range(2)] + [_drawn(rng, _ALNUM + "-_", 43)]
+        return pick("Authorization: Bearer ", "bearer ", "X-Auth-Key: "), pick(".".join(parts), value), ""
+    return f"{pick('https', 'postgres', 'ftp')}://{_drawn(rng, _ALNUM[:26], 6)}:", value.replace("/", "x") + f"@{_drawn(rng, _ALNUM[:26], 8)}.org", ""
+
+
+def made_lookalike(rng: np.random.Generator) -> str:
+    """What has the shape of a secret and is none."""
+    hexes = lambda n: _drawn(rng, "0123456789abcdef", n)
+    return [
+        lambda: "id " + "-".join(hexes(n) for n in (8, 4, 4, 4, 12)),
+        lambda: "data:image/png;base64," + _drawn(rng, _ALNUM + "+/", int(rng.integers(60, 200))),
+        lambda: f"https://{_drawn(rng, _ALNUM[:26], 9)}.org/{_drawn(rng, _ALNUM[:26], 7)}/{rng.integers(10**6)}?page={rng.integers(99)}",
+        lambda: f"IMG_{rng.integers(20100101, 20301231)}_{rng.integers(10**6)}.jpg",
+        lambda: f"version {rng.integers(9)}.{rng.integers(99)}.{rng.integers(99)}-rc{rng.integers(9)}",
+        lambda: "commit " + hexes(int(rng.integers(7, 12))),
+        lambda: f"order {rng.integers(10**9, 10**12)} of {rng.integers(2000, 2030)}-{rng.integers(1, 12):02}-{rng.integers(1, 28):02}",
+        lambda: "/".join(_drawn(rng, _ALNUM[:26], int(rng.integers(3, 12))) for _ in range(5)) + f"/file{rng.integers(99)}.txt",
+        lambda: _drawn(rng, _ALNUM[:26], 12) + _drawn(rng, _ALNUM[26:52], 1) + _drawn(rng, _ALNUM[:26], 12),
+    ][rng.integers(9)]()
+
+
+def planted(text: str, rng: np.random.Generator, secret: bool) -> tuple[str, list[tuple[int, int]], list[tuple[int, int]]]:
+    """The text with a secret or a lookalike between two of its words: the text, secrets put in, and all that was put in."""
     spaces = [m.end() for m in SPACE.finditer(text)] or [0]
     at = spaces[rng.integers(len(spaces))]
-    return f"{text[:at]} {made} {text[at:]}"
-
-
-def windows_of(texts: list[str], reach: int = 20) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Training windows: around each marked secret, and one in every 200 pieces besides."""
+    before, value, behind = made_secret(rng) if secret else (made_lookalike(rng), "", "")
+    made = before + value + behind
+    start = at + 1 + len(before)
+    spans = [(start, start + len(value))] if secret else []
+    return f"{text[:at]} {made} {text[at:]}", spans, [(at + 1, at + 1 + len(made))]
+
+
+def windows_of(
+    texts: list[tuple[str, list[tuple[int, int]], list[tuple[int, int]]]], reach: int = 20
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Training windows: around each secret, marked by a pattern or put in, around all that was put in, and one
+    in every 200 pieces besides."""
     found = []
-    pieces = cut(pa.array(texts, pa.string()))
+    pieces = cut(pa.array([t for t, _, _ in texts], pa.string()))
     features = pieces.features()
-    for row, text in enumerate(texts):
-        spans, marked = piece_spans(text), sorted(_marked(text))
+    for row, (text, secrets, placed) in enumerate(texts):
+        spans, marked = piece_spans(text), sorted(_marked(text) + secrets)
         tags = np.zeros(len(spans), dtype=np.int64)
         for i, (a, b) in enumerate(spans):
             for s, e in marked:
                 if s < b and a < e:
                     tags[i] = BEGIN if a <= s or not i or not tags[i - 1] else IN
         own = features[pieces.ends[row] : pieces.ends[row + 1]]
-        centres = [*np.flatnonzero(tags == BEGIN).tolist(), *range(row % 50, len(spans), 200)]
+        put = [i for i, (a, b) in enumerate(spans) if any(s <= a and b <= e for s, e in placed)]
+        centres = [*np.flatnonzero(tags == BEGIN).tolist(), *put[:1], *range(row % 50, len(spans), 200)]
         for c in centres:
             found.append((own[max(0, c - reach) : c + reach], tags[max(0, c - reach) : c + reach]))
     return [w for w in found if len(w[1])]
@@ -272,8 +325,8 @@ def learn(docs: DataFrame, documents: int = 250, longest: int = 20_000, key: str
     """Fits the field on about ``documents`` texts with a keyword or a key's shape and as many others.
 
     Both are drawn by a hash of the key among texts of up to ``longest`` characters, which
-    bounds what the driver receives.  Every text is learned as it is and, with a secret
-    made up from a fixed seed put into it, once more.
+    bounds what the driver receives.  Every text is learned as it is, twice with a secret put into it
+    and once with a lookalike, all made up from a fixed seed.
     """
     rows = docs.select(F.col(text).cast("string").alias("text"), F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1 << 30)).alias("draw"))
     rows = rows.filter(F.length("text").between(1, longest)).withColumn(
@@ -284,7 +337,8 @@ def learn(docs: DataFrame, documents: int = 250, longest: int = 20_000, key: str
         chosen |= (F.col("likely") == likely) & (F.col("draw") < F.lit(documents / n * (1 << 30)))
     texts = sorted(r[0] for r in rows.filter(chosen).select("text").collect())
     rng = np.random.default_rng(11)
-    return fit(windows_of(texts + [_with_secret(t, rng) for t in texts]))
+    made = [planted(t, rng, secret) for secret in (True, True, False) for t in texts]
+    return fit(windows_of([(t, [], []) for t in texts] + made))
 
 
 def scan(docs: DataFrame, field: Field, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -85,3 +85,33 @@ def test_the_graph_reaches_what_a_scan_finds():
     got[r, c] = True
     assert (got & want).sum() >= 0.97 * want.sum()
     assert np.allclose(near, d[r, c])
+
+
+def test_a_repeated_query_key_asks_with_all_its_vectors(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(200, 6)))]
+    twice = [(20, (1e6 * rng.normal(size=6)).tolist()), (20, rng.normal(size=6).tolist()), (40, rows[40][1])]
+    want = {}
+    for q, x in rows + twice:
+        if q % 20 == 0:
+            for i, v in rows + twice:
+                if i != q:
+                    score = float(np.cumsum(np.array(x) * np.array(v))[-1])
+                    want.setdefault(q, {})[i] = max(want.get(q, {}).get(i, -np.inf), score)
+    for order in (1, -1):
+        df = spark.createDataFrame((rows + twice)[::order], "vec_id long, embedding array<double>").repartition(3)
+        got = ann.nearest(df, F.col("vec_id") % 20 == 0).collect()
+        for q, scores in want.items():
+            best = sorted(scores.items(), key=lambda s: (-s[1], s[0]))[:20]
+            assert [(r.vec_id, r.score) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == best
+
+
+def test_products_near_zero_of_long_vectors(spark):
+    """Rounding follows the norms, not the products."""
+    rng = np.random.default_rng(9)
+    q = np.array([1e8, 1e8, 1.0])
+    rows = [(0, q.tolist())] + [(i, [1e8, -1e8, float(x)]) for i, x in enumerate(rng.normal(size=60), 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    exact = sorted(((-float(np.cumsum(q * np.array(v))[-1]), i) for i, v in rows[1:]))[:20]
+    assert [(r.vec_id, r.score) for r in got] == [(i, -s) for s, i in exact]

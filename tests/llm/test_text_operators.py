@@ -225,6 +225,29 @@ def test_viterbi_finds_the_best_tagging():
             assert score(tuple(tags[a:b])) == pytest.approx(best)
 
 
+def test_secrets_that_no_pattern_marks(spark):
+    """Held-out texts with made-up secrets and lookalikes: recall, and what is tagged without need."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").filter("length(text) between 200 and 4000")
+    field = secrets.learn(docs.filter("doc_id % 3 > 0"))
+    texts = [r.text for r in docs.filter("doc_id % 3 = 0").orderBy("doc_id").limit(600).collect()]
+    rng = np.random.default_rng(99)
+
+    def tagged(texts):
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        spans = by_id(secrets.scan(rows, field), "spans")
+        return [[tuple(map(int, x.split(":")[1:])) for x in spans[i].split(",") if x.startswith("crf")] for i in range(len(texts))]
+
+    meets = lambda spans, a, b: any(s < b and a < e for s, e in spans)
+    with_secret = [secrets.planted(t, rng, True) for t in texts]
+    unmarked = [(t, s[0]) for t, s, _ in with_secret if not meets([x[1:] for x in secrets.base_spans(t)], *s[0])]
+    caught = sum(meets(found, *s) for (_, s), found in zip(unmarked, tagged([t for t, _ in unmarked])))
+    assert len(unmarked) > 300 and caught > 0.9 * len(unmarked)
+    alike = [secrets.planted(t, rng, False) for t in texts]
+    flagged = sum(meets(found, *p[0]) for (_, _, p), found in zip(alike, tagged([t for t, _, _ in alike])))
+    assert flagged < 0.03 * len(alike)
+    assert sum(map(len, tagged(texts))) < 0.01 * len(texts)
+
+
 def test_secrets_are_found(spark, odd, none):
     docs = spark.read.parquet(f"{LARGER}/documents.parquet")
     field = secrets.learn(docs)
