@@ -155,11 +155,13 @@ def _tile_products(tiles: DataFrame, width: int, most: int) -> DataFrame:
         return first_of_each(qid[r], vid[c], score)
 
     def first_of_each(q: np.ndarray, v: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The best of each query; a posting that several lists hold counts once."""
-        order = np.lexsort((v, -score, q))
+        """The best of each query; a key that several lists or rows hold counts once, with its best product."""
+        order = np.lexsort((-score, v, q))
         q, v, score = q[order], v[order], score[order]
         new = np.concatenate([[True], (q[1:] != q[:-1]) | (v[1:] != v[:-1])])[: len(q)]
         q, v, score = q[new], v[new], score[new]
+        order = np.lexsort((v, -score, q))
+        q, v, score = q[order], v[order], score[order]
         keep = np.arange(len(q)) - np.searchsorted(q, q, "left") < most
         return q[keep], v[keep], score[keep]
 
