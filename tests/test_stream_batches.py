@@ -40,6 +40,8 @@ def cut(spark, arrivals, tmp_path_factory):
     for low, high in ((0, 500), (500, 10_000)):
         part = numbered.filter(F.col("event_id").between(low, high - 1)).coalesce(1)
         part.write.mode("append").parquet(f"{folder}/events.parquet")
+    for name in ("customer", "nation"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
     return folder
 
 
