@@ -285,6 +285,27 @@ def _cross_tiles(members: DataFrame, roots: DataFrame, bits: DataFrame) -> DataF
     ).join(bits, "node")
 
 
+def _salts(spark: SparkSession) -> int:
+    """Parts of a group of copies: one a shuffle partition, at least 64."""
+    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _named(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with ``root`` and ``least``, the smallest ``doc`` of the root's rows; both null without a node.
+
+    A group may hold a third of all rows, as copies in one node or as nodes of one root.  No
+    join or aggregate has a whole group under one key: parts of (node, salt) are found
+    first, then of (root, salt), and a root's name goes back the same way.
+    """
+    parts = rows.filter("node is not null").groupBy("node", "salt").agg(F.min("doc").alias("part_least"))
+    parts = parts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    wide = parts.groupBy("root", "salt").agg(F.min("part_least").alias("wide_least"))
+    names = wide.groupBy("root").agg(F.min("wide_least").alias("least"))
+    wide = wide.select("root", "salt").join(names, "root")
+    parts = parts.select("node", "salt", "root").join(wide, ["root", "salt"])
+    return rows.join(parts, ["node", "salt"], "left")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``doc``, ``text_key``, ``n_shingles``, ``root``, ``component_id``.
 
@@ -297,7 +318,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     folder = work_folder(spark, "ngrams")
     rows = _texts(docs, key, text)
     bitmap, common = _count_shingles(rows, folder)
-    sets = written(_sets(rows, bitmap, common), f"{folder}/sets")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(_salts(spark))).cast("int").alias("salt")
+    sets = written(_sets(rows, bitmap, common).select("*", salt), f"{folder}/sets")
     partners = sets.filter(F.col("prefix").isNotNull())
     arrays = written(partners.select("node", "bits", "shingles").dropDuplicates(["node"]), f"{folder}/arrays")
     band = F.floor(F.log("n") / BAND).cast("int")
@@ -325,10 +347,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         # a component is a star: its nodes' links to the root stand for all found before
         links = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(found)
         roots = written(components(links, f"{folder}/components-{turn}"), f"{folder}/roots-{turn}")
-    rooted = sets.select("doc", "text_key", "n", "node").join(roots, "node", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
-    names = rooted.filter("root is not null").groupBy("root").agg(F.min("doc").alias("least"))
-    named = rooted.join(names, "root", "left")
+    named = _named(sets.select("doc", "text_key", "n", "node", "salt"), roots)
     return named.select(
         "doc", "text_key", F.col("n").alias("n_shingles"), "root",
         F.when(F.col("root").isNull(), F.col("doc")).otherwise(F.col("least")).alias("component_id"),
