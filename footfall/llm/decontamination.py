@@ -16,8 +16,9 @@ Windows are laid where they can match: a window that reaches the similarity has
 of the item, so a window begins where the shared shingle has it begin, once per run of
 shared shingles.  All others have similarity 0 or less than a neighbour.
 
-Everything is a DataFrame expression.  A document's words never leave its row but for the
-windows; the benchmark's shingles are broadcast while they are few, which is counted.
+Everything is a DataFrame expression.  What is broadcast is counted first: the benchmark's
+shingles and the changed keys up to BROADCAST_ROWS rows.  With more, joins shuffle: of a
+document its places go, a hash each, and its words once to the windows laid in it.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from footfall.llm.licenses import WORD
 WORDS, RADIUS, BLOCKS = 5, 15, 4
 #: All changes of a 16-bit block by up to RADIUS // BLOCKS bits.
 CHANGES = [sum(1 << b for b in bits) for n in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), n)]
-#: Benchmark shingles up to which they are broadcast, some 100 bytes each.
+#: Rows of shingles or of changed keys up to which they are broadcast, some 100 bytes each.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -49,6 +50,11 @@ def _shingles(words: Column, size: Column | int) -> Column:
     )
 
 
+def _placed(words: Column, size: int) -> Column:
+    """``k``, ``p``, ``hash``: the size, place and hash of each run of ``size`` words."""
+    return F.transform(_shingles(words, size), lambda h, p: F.struct(F.lit(size).alias("k"), p.alias("p"), h.alias("hash")))
+
+
 def simhash(words: str) -> Column:
     """64 bits: bit b is set if more of the words' hashes have it than not."""
     return F.expr(f"""
@@ -75,6 +81,59 @@ def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     return sized.withColumn("print", simhash("item_words")).withColumn("row", F.monotonically_increasing_id())
 
 
+def _windows(rows: DataFrame, anchors: DataFrame, sizes: list[int], few: bool) -> DataFrame:
+    """``doc``, ``text_key``, ``start``, ``n``, ``k``, ``window`` of the places where an item may begin.
+
+    Documents are read once for all ``sizes`` of shingles.  If the anchors are ``few`` they are
+    broadcast and windows are cut from the row at hand; else only places and the word
+    before them are shuffled, and the texts come once to the starts that are found.
+    """
+    placed = [_placed(F.col("words"), size) for size in sizes]
+    if not placed:
+        return rows.filter(F.lit(False)).selectExpr("doc", "text_key", "0 as start", "0 as n", "0 as k", "words as window")
+    places = rows.select("doc", "text_key", "words", F.explode(F.concat(*placed)).alias("of"))
+    ahead = F.when(F.col("of.p") > 0, F.element_at("words", F.col("of.p"))).alias("ahead")
+    places = places.select("doc", "text_key", *(["words"] if few else []), "of.k", "of.p", "of.hash", ahead)
+    met = places.join(F.broadcast(anchors) if few else anchors.hint("merge"), ["k", "hash"])
+    # of a run of shared shingles, the first
+    met = met.filter((F.col("t") == 0) | (F.col("p") == 0) | (F.col("ahead") != F.col("before")))
+    laid = met.withColumn("start", F.greatest(F.col("p") - F.col("t"), F.lit(0)))
+    window = F.slice("words", F.col("start") + 1, F.col("n")).alias("window")
+    at = ["doc", "text_key", "start", "n"]
+    if few:
+        return laid.select(*at, "k", window).groupBy(*at).agg(F.first("k").alias("k"), F.first("window").alias("window"))
+    laid = laid.groupBy(*at).agg(F.first("k").alias("k"))
+    # a text that repeats under one key is needed once
+    keyed = lambda of: of.withColumn("named", F.coalesce(F.col("doc").cast("string"), F.lit(""))).withColumn("keyless", F.col("doc").isNull())
+    texts = keyed(rows).drop("doc").dropDuplicates(["named", "keyless", "text_key"])
+    return keyed(laid).join(texts, ["named", "keyless", "text_key"]).select(*at, "k", window)
+
+
+def _changed(keys: DataFrame) -> DataFrame:
+    """``keys`` with every key up to RADIUS // BLOCKS bits away in place of each key."""
+    changes = F.array(*[F.lit(c).cast("long") for c in CHANGES])
+    return keys.withColumn("key", F.explode(F.transform(changes, lambda c: c.bitwiseXOR(F.col("key")))))
+
+
+def _meeting(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """``at``, ``print``, ``row``, ``item_print`` where a window and an item of its size meet in a block.
+
+    The side with fewer rows is the one whose keys are changed.  That side is broadcast up
+    to BROADCAST_ROWS changed keys; with more, both are shuffled by size, block and key.
+    """
+    blocked = lambda of, *kept: of.select(*kept, F.explode(_block_keys("print")).alias("of")).select("*", "of.block", "of.key").drop("of")
+    probes = blocked(windows, "at", "n", "print")
+    index = blocked(items, "row", "n", "print").withColumnRenamed("print", "item_print")
+    n_windows, n_items = windows.count(), items.count()
+    changed = min(n_windows, n_items) * BLOCKS * len(CHANGES)
+    side = F.broadcast if changed <= BROADCAST_ROWS else lambda of: of.hint("merge")
+    if n_items <= n_windows:
+        index = side(_changed(index))
+    else:
+        probes = side(_changed(probes))
+    return probes.join(index, ["n", "block", "key"])
+
+
 def _rare(items: DataFrame, similarity: int) -> DataFrame:
     """``hash``, ``n`` and ``row`` of the rarest shingles of each item, one of which any window that reaches the similarity has."""
     every = items.select("row", "n", "print", F.posexplode(_shingles(F.col("item_words"), F.col("k"))).alias("t", "hash"))
@@ -106,29 +165,12 @@ def leaks(
     anchors = items.select("n", "k", "item_words", F.posexplode(_shingles(F.col("item_words"), F.col("k"))).alias("t", "hash"))
     anchors = anchors.select("hash", "n", "k", "t", F.when(F.col("t") > 0, F.element_at("item_words", F.col("t"))).alias("before")).distinct()
     anchors = written(anchors, f"{folder}/anchors")
-    if anchors.count() <= BROADCAST_ROWS:
-        anchors = F.broadcast(anchors)
     text_ = F.col(text).cast("string")
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text_).alias("text_key"), _words(text_).alias("words"))
-    windows = None
-    for size in sizes:
-        places = rows.select("doc", "text_key", "words", F.posexplode(_shingles(F.col("words"), size)).alias("p", "hash"))
-        met = places.join(anchors.filter(F.col("k") == size), "hash")
-        # of a run of shared shingles, the first
-        met = met.filter((F.col("t") == 0) | (F.col("p") == 0) | (F.element_at("words", F.greatest("p", F.lit(1))) != F.col("before")))
-        start = F.greatest(F.col("p") - F.col("t"), F.lit(0))
-        laid = met.select("doc", "text_key", start.alias("start"), "n", "k", F.slice("words", start + 1, F.col("n")).alias("window"))
-        windows = laid if windows is None else windows.unionByName(laid)
-    if windows is None:
-        windows = rows.filter(F.lit(False)).selectExpr("doc", "text_key", "0 as start", "0 as n", "0 as k", "words as window")
-    windows = windows.groupBy("doc", "text_key", "start", "n").agg(F.first("k").alias("k"), F.first("window").alias("window"))
+    windows = _windows(rows, anchors, sizes, anchors.count() <= BROADCAST_ROWS)
     windows = windows.withColumn("print", simhash("window")).withColumn("at", F.monotonically_increasing_id())
     windows = written(windows, f"{folder}/windows")
-    changes = F.array(*[F.lit(c).cast("long") for c in CHANGES])
-    index = items.select("row", F.col("n").alias("item_n"), F.col("print").alias("item_print"), F.explode(_block_keys("print")).alias("of"))
-    near = index.select("row", "item_n", "item_print", "of.block", F.explode(F.transform(changes, lambda c: c.bitwiseXOR(F.col("of.key")))).alias("key"))
-    probes = windows.select("at", "n", "print", F.explode(_block_keys("print")).alias("of")).select("at", "n", "print", "of.block", "of.key")
-    found = probes.join(near, (probes.n == near.item_n) & (probes.block == near.block) & (probes.key == near.key))
+    found = _meeting(windows, items)
     apart = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
     found = found.filter(apart <= RADIUS).select("at", "row")
     rare = written(_rare(items, similarity), f"{folder}/rare")

@@ -382,9 +382,54 @@ def test_a_token_over_boundaries():
     assert attribution.attribute(spans, ends).tolist() == [0, 0, 0, 2, 2]
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("more_windows", [True, False])
+def test_many_items_are_shuffled_with_the_same_rows(spark, odd, none, monkeypatch, more_windows):
+    """Beyond the limit of rows nothing is broadcast, whichever side's keys are changed."""
+    docs, items = edited(2)
+    copies = 4 if more_windows else 1
+    docs = [(i + 1000 * c, t) for i, t in docs for c in range(copies)] + [(None, docs[0][1]), (None, docs[0][1]), (3, docs[1][1])]
+    items += [] if more_windows else [(500 + i, f"one of {i} items that nothing holds at all") for i in range(80)]
+    items += [(900, "two words"), (901, None), (902, "")]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    few = sorted(map(str, decontamination.leaks(docs, items).collect()))
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, decontamination.leaks(docs, items).collect())) == few and len(few) > 10
+    assert more_windows or decontamination.leaks(odd, items).count() == decontamination.leaks(none, items).count() == 0
+    shapes = {"at": spark.range(100).withColumnRenamed("id", "at"), "row": spark.range(10 if more_windows else 200).withColumnRenamed("id", "row")}
+    sides = [df.selectExpr(name, "5 as n", f"xxhash64({name}) as print") for name, df in shapes.items()]
+    plan = _plan(decontamination._meeting(*sides))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 # n-grams
 
 
+def test_names_of_large_groups_are_found_in_parts(spark, monkeypatch):
+    """One node of many copies, one root of many nodes: no task of a join or a count meets a whole group."""
+    monkeypatch.setattr(ngrams, "_salts", lambda spark: 8)
+    copies = [(i, 5) for i in range(100, 500)]
+    near = [(i, 1000 + i) for i in range(500, 900)]
+    rest = [(i, i) for i in range(2000, 2100)] + [(1, None), (None, None), (None, 5), (None, 3000)]
+    rows = spark.createDataFrame(copies + near + rest, "doc long, node long").withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(8)))
+    roots = spark.createDataFrame([(5, 5)] + [(n, 1500) for _, n in near], "node long, root long")
+    got = [(r.doc, r.node, r.root, r.least) for r in ngrams._named(rows, roots).collect()]
+    expected = [(d, n, 5 if n == 5 else 1500 if n and 1500 <= n < 1900 else n,
+                 None if n in (None, 3000) else 100 if n == 5 else 500 if 1500 <= n < 1900 else n) for d, n in copies + near + rest]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = _plan(ngrams._named(rows, roots))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one exchange goes by the root alone, that of names already found in parts
+    assert len(set(re.findall(r"hashpartitioning\(root#", re.sub(r"hashpartitioning\(root#\d+L?, salt", "", plan)))) == 1
+    assert re.search(r"hashpartitioning\(node#\d+L?, salt#", plan)
+
+
 def test_links_at_the_limit(spark, odd, none):
     base = [f"w{i}" for i in range(94)]  # 90 shingles
     words = {1: base, 2: base[:-10], 3: [*base[5:], *[f"x{i}" for i in range(20)]], 4: base[:76], 5: base[:75], 6: ["a", "b"], 7: ["a", "b"], 8: ["A", "B"]}
