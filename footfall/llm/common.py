@@ -16,8 +16,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def lower_ascii(text: Column) -> Column:
-    """Lower-cases A-Z alone; null becomes the empty text."""
-    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    """Lower-cases A-Z alone; null becomes the empty text.
+
+    A text of as many bytes as characters is ASCII, where ``lower`` does the same in one pass.
+    """
+    whole = F.coalesce(text, F.lit(""))
+    return F.when(F.length(whole) == F.octet_length(whole), F.lower(whole)).otherwise(F.translate(whole, UPPER, LOWER))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

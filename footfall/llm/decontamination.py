@@ -36,6 +36,8 @@ WORDS, RADIUS, BLOCKS = 5, 15, 4
 CHANGES = [sum(1 << b for b in bits) for n in range(RADIUS // BLOCKS + 1) for bits in combinations(range(16), n)]
 #: Rows of shingles or of changed keys up to which they are broadcast, some 100 bytes each.
 BROADCAST_ROWS = 1_000_000
+#: Places of a text that are looked up together; more if the longest item has more words.
+STRETCH = 512
 
 
 def _words(text: Column) -> Column:
@@ -50,9 +52,26 @@ def _shingles(words: Column, size: Column | int) -> Column:
     )
 
 
-def _placed(words: Column, size: int) -> Column:
-    """``k``, ``p``, ``hash``: the size, place and hash of each run of ``size`` words."""
-    return F.transform(_shingles(words, size), lambda h, p: F.struct(F.lit(size).alias("k"), p.alias("p"), h.alias("hash")))
+def _placed(words: Column, size: int, first: Column, most: int) -> Column:
+    """``k``, ``p``, ``hash``: the size, place and hash of ``most`` runs of ``size`` words from place ``first`` on."""
+    count = F.least(F.size(words) - first - size + 1, F.lit(most))
+    run = lambda i: F.struct(F.lit(size).alias("k"), (i - 1).alias("p"), F.xxhash64(F.slice(words, i, size)).alias("hash"))
+    return F.when(count < 1, F.array().cast("array<struct<k:int,p:int,hash:bigint>>")).otherwise(
+        F.transform(F.sequence(first + 1, first + count), run)
+    )
+
+
+def _stretches(rows: DataFrame, places: int, reach: int) -> DataFrame:
+    """``rows`` cut into ``places`` places each: the first of them, ``at``, counted from ``base``, and ``words`` from there on.
+
+    A stretch has ``reach`` words more on either side.  A place that is exploded takes the
+    words beside it along: those of its stretch, not those of a whole long text.
+    """
+    begins = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(places))
+    base = lambda b: F.greatest(b - reach, F.lit(0))
+    of = F.transform(begins, lambda b: F.struct(
+        base(b).alias("base"), (b - base(b)).alias("at"), F.slice("words", base(b) + 1, b - base(b) + places + reach).alias("words")))
+    return rows.select("doc", "text_key", F.explode(of).alias("of")).select("doc", "text_key", "of.base", "of.at", "of.words")
 
 
 def simhash(words: str) -> Column:
@@ -81,24 +100,26 @@ def _items(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     return sized.withColumn("print", simhash("item_words")).withColumn("row", F.monotonically_increasing_id())
 
 
-def _windows(rows: DataFrame, anchors: DataFrame, sizes: list[int], few: bool) -> DataFrame:
+def _windows(rows: DataFrame, anchors: DataFrame, sizes: list[int], reach: int, few: bool) -> DataFrame:
     """``doc``, ``text_key``, ``start``, ``n``, ``k``, ``window`` of the places where an item may begin.
 
-    Documents are read once for all ``sizes`` of shingles.  If the anchors are ``few`` they are
+    Documents are read once for all ``sizes`` of shingles; the longest item has ``reach`` words.  If the anchors are ``few`` they are
     broadcast and windows are cut from the row at hand; else only places and the word
     before them are shuffled, and the texts come once to the starts that are found.
     """
-    placed = [_placed(F.col("words"), size) for size in sizes]
-    if not placed:
+    if not sizes:
         return rows.filter(F.lit(False)).selectExpr("doc", "text_key", "0 as start", "0 as n", "0 as k", "words as window")
-    places = rows.select("doc", "text_key", "words", F.explode(F.concat(*placed)).alias("of"))
+    most = max(STRETCH, reach)
+    placed = [_placed(F.col("words"), size, F.col("at"), most) for size in sizes]
+    places = _stretches(rows, most, reach).select("doc", "text_key", "base", "words", F.explode(F.concat(*placed)).alias("of"))
     ahead = F.when(F.col("of.p") > 0, F.element_at("words", F.col("of.p"))).alias("ahead")
-    places = places.select("doc", "text_key", *(["words"] if few else []), "of.k", "of.p", "of.hash", ahead)
+    place = (F.col("base") + F.col("of.p")).alias("p")
+    places = places.select("doc", "text_key", *(["base", "words"] if few else []), "of.k", place, "of.hash", ahead)
     met = places.join(F.broadcast(anchors) if few else anchors.hint("merge"), ["k", "hash"])
     # of a run of shared shingles, the first
     met = met.filter((F.col("t") == 0) | (F.col("p") == 0) | (F.col("ahead") != F.col("before")))
     laid = met.withColumn("start", F.greatest(F.col("p") - F.col("t"), F.lit(0)))
-    window = F.slice("words", F.col("start") + 1, F.col("n")).alias("window")
+    window = F.slice("words", F.col("start") - F.col("base") + 1, F.col("n")).alias("window")
     at = ["doc", "text_key", "start", "n"]
     if few:
         return laid.select(*at, "k", window).groupBy(*at).agg(F.first("k").alias("k"), F.first("window").alias("window"))
@@ -106,6 +127,7 @@ def _windows(rows: DataFrame, anchors: DataFrame, sizes: list[int], few: bool) -
     # a text that repeats under one key is needed once
     keyed = lambda of: of.withColumn("named", F.coalesce(F.col("doc").cast("string"), F.lit(""))).withColumn("keyless", F.col("doc").isNull())
     texts = keyed(rows).drop("doc").dropDuplicates(["named", "keyless", "text_key"])
+    window = F.slice("words", F.col("start") + 1, F.col("n")).alias("window")
     return keyed(laid).join(texts, ["named", "keyless", "text_key"]).select(*at, "k", window)
 
 
@@ -161,13 +183,13 @@ def leaks(
     """
     folder = work_folder(docs.sparkSession, "leaks")
     items = written(_items(benchmark, item, item_text), f"{folder}/items")
-    sizes = sorted(r[0] for r in items.select("k").distinct().collect())  # five at most
+    longest = {r["k"]: r["n"] for r in items.groupBy("k").agg(F.max("n").alias("n")).collect()}  # five rows at most
     anchors = items.select("n", "k", "item_words", F.posexplode(_shingles(F.col("item_words"), F.col("k"))).alias("t", "hash"))
     anchors = anchors.select("hash", "n", "k", "t", F.when(F.col("t") > 0, F.element_at("item_words", F.col("t"))).alias("before")).distinct()
     anchors = written(anchors, f"{folder}/anchors")
     text_ = F.col(text).cast("string")
     rows = docs.select(F.col(key).alias("doc"), F.xxhash64(text_).alias("text_key"), _words(text_).alias("words"))
-    windows = _windows(rows, anchors, sizes, anchors.count() <= BROADCAST_ROWS)
+    windows = _windows(rows, anchors, sorted(longest), max(longest.values(), default=0), anchors.count() <= BROADCAST_ROWS)
     windows = windows.withColumn("print", simhash("window")).withColumn("at", F.monotonically_increasing_id())
     windows = written(windows, f"{folder}/windows")
     found = _meeting(windows, items)

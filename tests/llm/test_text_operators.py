@@ -13,6 +13,7 @@ from oracle_check import difference
 from pyspark.sql import functions as F
 
 from footfall.llm import attribution, decontamination, langid, licenses, mixing, ngrams, quality, secrets, store, tokens
+from footfall.llm.common import lower_ascii
 from footfall.llm.components import components
 from footfall.llm.mph import PerfectHash
 
@@ -124,6 +125,38 @@ def test_edits_at_edges_and_in_runs_are_found(spark, tmp_path):
     assert difference(got, con, decontamination.leaks_sql()) is None
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_stretches_of_long_texts_lose_no_place(spark, tmp_path, monkeypatch, broadcast):
+    """Items at every place of a stretch and across its ends, in texts of many stretches."""
+    rng = np.random.default_rng(3)
+    items = [(i, " ".join(f"i{i}x{j}" for j in range(n))) for i, n in enumerate((3, 5, 9, 24))]
+    docs = [(4, ""), (5, None), (6, "i0x0 i0x1 i0x2"), (7, items[3][1])]
+    for offset in range(49):
+        words = [f"w{x}" for x in rng.integers(1 << 40, size=offset)]
+        for _, text in items:
+            words += [*text.split(), *(f"w{x}" for x in rng.integers(1 << 40, size=17))]
+        docs.append((10 + offset, " ".join(words + items[3][1].split()[:21])))  # ends inside an item
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for name, rows in (("documents", docs), ("benchmark", items)):
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}/*.parquet')")
+    if not broadcast:
+        monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    for stretch in (1, 512):
+        monkeypatch.setattr(decontamination, "STRETCH", stretch)
+        got = decontamination.leaks(docs, items).selectExpr("doc doc_id", "item item_id", "similarity", "first_word", "places")
+        assert got.count() == 4 * 49 + 2
+        assert difference(got, con, decontamination.leaks_sql()) is None
+
+
+def test_lower_case_of_letters_beside_others(spark):
+    texts = ["AbC xyz Z9", "\u00c0\u00c9 Ab \u0130I \u017fK \u212a", "\u65e5\u672c ABC", "", None, "\x00A\x7fZ[@`{"]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select(lower_ascii(F.col("text"))).collect()
+    assert [r[0] for r in got] == ["abc xyz z9", "\u00c0\u00c9 ab \u0130i \u017fk \u212a", "\u65e5\u672c abc", "", "", "\x00a\x7fz[@`{"]
+
+
 # quality and language
 
 
