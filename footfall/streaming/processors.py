@@ -3,7 +3,8 @@
 Input frames carry ``us`` (event time, µs) and ``tie``.  An ``OrderedProcessor`` keeps
 rows until the watermark has passed them and takes them, and its timers, in order of time,
 so its result does not depend on batches or arrival.  Beyond waiting rows it holds a
-handful of values per key.  ``run_processor`` wires a processor to a stream.
+handful of values per key.  Its keys share state and timers by bucket, as a call into the
+state costs far more than a row does.  ``run_processor`` wires a processor to a stream.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -55,7 +58,8 @@ class KeyedProcessor(StatefulProcessor):
     def _frame(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
         if rows:
             names = [field.split()[0] for field in self.output.split(", ")]
-            yield pd.DataFrame(rows, columns=names)
+            # as they are: a NULL would turn a column's integers to floats
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     def close(self) -> None:
         pass
@@ -63,7 +67,23 @@ class KeyedProcessor(StatefulProcessor):
 
 #: What stands for NULL on the way to Python, where a NULL would turn a batch's integers to floats.
 _FILL = {"bigint": 0, "int": 0, "boolean": False, "string": ""}
-_KEYLESS = "_keyless"
+#: Names without a leading underscore, which frames of a group would lose.
+_KEYLESS, _BUCKET = "keyless_", "bucket_"
+
+
+def _packed(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: bytes) -> pa.Table:
+    return pa.ipc.open_stream(value).read_all()
+
+
+def _tuples(rows: pa.Table, names: list[str]) -> Iterator[tuple]:
+    return zip(*[rows.column(name).to_numpy().tolist() for name in names])
 
 
 def _filled(stream: DataFrame, key: list[str], columns: str) -> DataFrame:
@@ -83,7 +103,9 @@ def _filled(stream: DataFrame, key: list[str], columns: str) -> DataFrame:
 def run_processor(stream: DataFrame, key: list[str], processor: KeyedProcessor, mode: str = "append") -> DataFrame:
     use_rocksdb(stream.sparkSession)
     if isinstance(processor, OrderedProcessor):
-        stream, key = _filled(stream, key, processor.columns), [*key, _KEYLESS]
+        bucket = F.pmod(F.xxhash64(*key), F.lit(processor.buckets))
+        stream = _filled(stream, key, processor.columns).withColumn(_BUCKET, bucket)
+        processor.keys, key = key, [_BUCKET]
     return stream.groupBy(*key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.output,
@@ -95,21 +117,27 @@ def run_processor(stream: DataFrame, key: list[str], processor: KeyedProcessor,
 class OrderedProcessor(KeyedProcessor):
     """Takes rows, and what falls due between them, in event time.
 
-    Rows wait until the watermark has passed them.  Then they and the key's due time are
+    Rows wait until the watermark has passed them.  Then they and their keys' due times are
     taken in one order of time: what is due before a row takes effect before it.  What a key
-    holds is one tuple, read and written once for all rows that are ready.
+    holds is one tuple.
 
     ``columns`` are what ``step`` needs of a row, ``us`` and ``tie`` first, ``held`` the DDL of the
-    tuple.  Timers lie on a grid of ``grain_ms``, so that a key with rows at many times wakes up
+    tuple.  Keys are dealt over ``buckets`` by their hash.  A bucket's waiting rows are tables of
+    Arrow, one for each frame that came, and what its keys hold is another, so state and timers are called once a
+    bucket, not once a key; a wake-up reads the bucket's keys, and writes them if one has changed.
+    Timers lie on a grid of ``grain_ms``, so that a bucket with rows at many times wakes up
     once a step, and a waiting row is read and put back about delay / grain times, not once
-    for each row before it.  Rows of a NULL key are left out, as the batch operators leave them
-    out; ``run_processor`` adds to the key whether it is one.
+    for each row before it.  ``buckets`` stays as at a query's first start.  Rows of a NULL key are
+    left out, as the batch operators leave them out; ``run_processor`` marks them.
     """
 
     columns: str = ""
     held: str = ""
     time_mode = "eventTime"
     grain_ms = 60_000
+    buckets = 1024
+    #: Names of the key's columns, from ``run_processor``
+    keys: list[str] = []
 
     def step(self, key, held, row) -> tuple[tuple | None, list[tuple]]:
         """What the key holds after ``row``, and the result rows."""
@@ -128,8 +156,8 @@ class OrderedProcessor(KeyedProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.columns)
-        self.kept = handle.getValueState("held", self.held)
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.kept = handle.getValueState("held", "keys binary")
         self.names = [field.split()[0] for field in self.columns.split(", ")]
         self.row = namedtuple("Row", self.names)
 
@@ -139,42 +167,67 @@ class OrderedProcessor(KeyedProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for frame in rows:
-            kept = frame[self.names].astype(object)
-            if len(kept) and not key[-1]:
-                self.waiting.appendList(list(kept.itertuples(index=False, name=None)))
+            kept = frame.loc[~frame[_KEYLESS].astype(bool), list(dict.fromkeys([*self.keys, *self.names]))]
+            if len(kept):
+                table = pa.Table.from_pandas(kept, preserve_index=False).replace_schema_metadata()
+                self.waiting.appendValue((_packed(table),))
                 low = int(kept["us"].min())
                 first = low if first is None else min(first, low)
         if first is not None:
             self._wake(first)
         return iter(())
 
+    def _held(self) -> dict[tuple, tuple]:
+        """What the bucket's keys hold."""
+        if not self.kept.exists():
+            return {}
+        keys, n = _unpacked(self.kept.get()[0]), len(self.keys)
+        return {row[:n]: row[n:] for row in _tuples(keys, keys.column_names)}
+
+    def _hold(self, held: dict[tuple, tuple]) -> None:
+        if not held:
+            self.kept.clear()
+            return
+        columns = [pa.array(c) for c in zip(*[(*key, *values) for key, values in held.items()])]
+        self.kept.update((_packed(pa.table(columns, names=[f"c{i}" for i in range(len(columns))])),))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now_us = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = [self.row(*r) for r in self.waiting.get()] if self.waiting.exists() else []
-        ready = sorted((r for r in rows if r.us <= now_us), key=self.place)
-        rest = [r for r in rows if r.us > now_us]
-        before = held = tuple(self.kept.get()) if self.kept.exists() else None
-        out: list[tuple] = []
-        for row in ready:
-            while held is not None and (due := self.due(held)) is not None and due < row.us:
-                held, more = self.on_due(key, held)
-                out += more
-            held, more = self.step(key, held, row)
-            out += more
-        while held is not None and (due := self.due(held)) is not None and due <= now_us:
-            held, more = self.on_due(key, held)
-            out += more
-        if ready and rest:
-            self.waiting.put([tuple(r) for r in rest])
+        ready, rest = [], None
+        if self.waiting.exists():
+            rows = pa.concat_tables([_unpacked(value) for value, in self.waiting.get()])
+            passed = pc.less_equal(rows.column("us"), now_us)
+            due, rest = rows.filter(passed), rows.filter(pc.invert(passed))
+            ready = list(zip(map(self.row._make, _tuples(due, self.names)), _tuples(due, self.keys)))
+            ready.sort(key=lambda r: self.place(r[0]))
+        before = self._held()
+        held_by, out = dict(before), []
+
+        def take(key, held, more):
+            out.extend(more)
+            if held is None:
+                held_by.pop(key, None)
+            else:
+                held_by[key] = held
+            return held
+
+        for row, key in ready:
+            held = held_by.get(key)
+            while held is not None and (at := self.due(held)) is not None and at < row.us:
+                held = take(key, *self.on_due(key, held))
+            take(key, *self.step(key, held, row))
+        for key, held in list(held_by.items()):
+            while held is not None and (at := self.due(held)) is not None and at <= now_us:
+                held = take(key, *self.on_due(key, held))
+        if ready and rest.num_rows:
+            self.waiting.put([(_packed(rest),)])
         elif ready:
             self.waiting.clear()
-        if held is None and before is not None:
-            self.kept.clear()
-        elif held != before:
-            self.kept.update(held)
-        wakes = [r.us for r in rest]
-        if held is not None and self.due(held) is not None:
-            wakes.append(self.due(held))
+        if held_by != before:
+            self._hold(held_by)
+        wakes = [at for held in held_by.values() if (at := self.due(held)) is not None]
+        if rest is not None and rest.num_rows:
+            wakes.append(pc.min(rest.column("us")).as_py())
         if wakes:
             # behind the grid point just reached: rows and dues at or before the watermark are done
             self._wake(max(min(wakes), now_us + 1))

@@ -337,6 +337,32 @@ def test_click_cap(spark, tmp_path, behavior):
     same(got.drop("us"), want)
 
 
+def test_keys_share_state_and_timers(spark, tmp_path):
+    """A call into the state per key made streams of many keys slow, so timers are no more than buckets."""
+    schema = "user_id bigint, target string, us bigint, tie bigint, day bigint, event_time timestamp"
+    first, keys = int(START.timestamp()) * 1_000_000, 3 * ClickCap.buckets
+    times = F.lit(first) + F.col("id") * 1000
+    rows = spark.range(3 * keys).select(
+        (F.col("id") % keys).alias("user_id"), F.lit("a").alias("target"), times.alias("us"), F.col("id").alias("tie"),
+        F.expr(f"({first} + id * 1000) div 86400000000").alias("day"), F.timestamp_micros(times).alias("event_time"),
+    )
+    feed = Feed(spark, str(tmp_path), schema).add(rows)
+    feed.add([(None, None, END, None, None, at(10_000_000))])
+    tagged = run_processor(feed.stream("1 hour"), ["user_id", "target"], ClickCap(1, 0))
+    query = (
+        tagged.writeStream.option("checkpointLocation", f"{tmp_path}/checkpoint").option("path", f"{tmp_path}/out")
+        .format("parquet").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    timers = sum(p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress)
+    assert 0 < timers <= 2 * ClickCap.buckets
+    got = spark.read.parquet(f"{tmp_path}/out")
+    wanted = rows.filter(F.col("tie") < 2 * keys).select(
+        "user_id", "target", "us", "tie", F.when(F.col("tie") < keys, "pass").otherwise("blacklist").alias("tag")
+    )
+    same(got, wanted)
+
+
 def test_order_status(spark, tmp_path):
     schema = "order_id bigint, kind string, us bigint, tie bigint, event_time timestamp"
     row = lambda order, kind, s: (order, kind, int(at(s).timestamp()) * 1_000_000, s, at(s))
