@@ -34,7 +34,7 @@ from footfall.streaming.processors import (
     run_processor,
 )
 from footfall.streaming.registers import merged_rankings, page_rankings, visitor_bits
-from footfall.streaming.sinks import Writer, append_writer, run_available, tagged_writer, top_n_writer
+from footfall.streaming.sinks import Writer, append_writer, from_one_run, run_available, tagged_writer, top_n_writer
 from footfall.streaming.snapshots import read_snapshot, snapshot_writer
 
 DELAY = "1 hour"
@@ -203,7 +203,7 @@ def stream_capped_by_province(spark, sf_dir, **options):
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     ).select("province", "us", "tie", F.timestamp_micros("us").alias("event_time"))
     folder, behind = shared_folder(spark, "passed"), f"{GRAIN_MS} milliseconds"
-    writer = late_rows_writer(folder, "event_time", behind, ["us", "tie"])
+    writer = from_one_run(late_rows_writer(folder, "event_time", behind, ["us", "tie"]))
     with state_partitions(spark):
         run_settled([events], lambda: run_available(kept, f"{folder}/checkpoint", writer=writer))
     passed = released(spark, folder, kept, "event_time", [behind], CLOSE_AFTER)

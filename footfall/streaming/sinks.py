@@ -87,15 +87,27 @@ def top_n_writer(path: str, id_col: str, n: int, count: str = "count") -> Writer
     return write
 
 
-def tagged_writer(paths: dict[str, str], tag: str = "tag") -> Writer:
-    """Main and side outputs: each tag's rows to its own table, from one computation of the batch."""
+def from_one_run(writer: Writer) -> Writer:
+    """``writer`` over a batch that is computed once, however often ``writer`` reads it.
+
+    For batches that come from keyed state: each reading would run the state again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            for value, path in paths.items():
-                _store(batch.filter(F.col(tag) == value).drop(tag), path, batch_id)
+            writer(batch, batch_id)
         finally:
             batch.unpersist()
 
     return write
+
+
+def tagged_writer(paths: dict[str, str], tag: str = "tag") -> Writer:
+    """Main and side outputs: each tag's rows to its own table, from one computation of the batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for value, path in paths.items():
+            _store(batch.filter(F.col(tag) == value).drop(tag), path, batch_id)
+
+    return from_one_run(write)

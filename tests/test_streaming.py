@@ -21,7 +21,7 @@ from footfall.operators import (
 from footfall.operators.windows import sliding_counts, tumbling_counts
 from footfall.plans import hot_items, traffic
 from footfall.streaming.changelog import apply_changes, ranking_changes, retracting_top_n_writer
-from footfall.streaming.late import late_splitting_writer
+from footfall.streaming.late import late_rows_writer, late_splitting_writer
 from footfall.streaming.processors import (
     AnchoredFailures,
     ChainedFailures,
@@ -36,6 +36,7 @@ from footfall.streaming.registers import merged_rankings, page_rankings
 from footfall.streaming.sinks import (
     append_writer,
     compact_log,
+    from_one_run,
     print_stream,
     read_latest,
     run_available,
@@ -363,6 +364,17 @@ def test_keys_share_state_and_timers(spark, tmp_path):
     same(got, wanted)
 
 
+def test_a_batch_from_one_run(spark, tmp_path):
+    """A sort by range reads its input twice, which would run the state behind a batch twice."""
+    runs = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: runs.add(1) or x, "bigint").asNondeterministic()
+    batch = spark.range(100).select(seen("id").alias("id"), F.timestamp_seconds("id").alias("event_time"))
+    writer = from_one_run(late_rows_writer(str(tmp_path), "event_time", "1 hour", ["id"]))
+    writer(batch, 0)
+    assert runs.value == 100
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 100
+
+
 def test_order_status(spark, tmp_path):
     schema = "order_id bigint, kind string, us bigint, tie bigint, event_time timestamp"
     row = lambda order, kind, s: (order, kind, int(at(s).timestamp()) * 1_000_000, s, at(s))
