@@ -38,6 +38,8 @@ MIX = np.array(
 COUNTED = 0.3
 #: Bits of the bitmap of shared shingles (16 MB), and shingles in more documents than ``COMMON`` come last.
 SHARED_BITS, COMMON, COMMON_KEPT = 1 << 27, 64, 1_000_000
+#: Parts in which that bitmap comes to the driver, one after the other.
+PARTS = 32
 #: Longs of a document's bitmap, and the rows of a tile that are compared at once.
 LONGS, BLOCK = 32, 1024
 #: Sizes that can reach 0.8 differ by a factor of 1.25 at most; a band is a little wider.
@@ -97,7 +99,8 @@ def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 def _count_shingles(rows: DataFrame, folder: str) -> tuple[np.ndarray, np.ndarray]:
     """The bitmap of shingles that more than one row has, and the sorted common shingles.
 
-    Both have a fixed size, whatever the input.
+    Both have a fixed size, whatever the input.  The driver meets the bitmap in ``PARTS`` parts, each
+    packed by a task, so beyond the bitmap itself it holds one of them.
     """
     spark, limit = rows.sparkSession, _limit()
 
@@ -112,9 +115,16 @@ def _count_shingles(rows: DataFrame, folder: str) -> tuple[np.ndarray, np.ndarra
     longs = shared.select(
         F.shiftright(bit, 6).alias("at"), F.expr("shiftleft(1L, cast(shiftrightunsigned(token, 7) & 63 as int))").alias("bits")
     ).groupBy("at").agg(F.bit_or("bits").alias("bits"))
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = [(b.column("at").to_numpy().astype(np.int32), b.column("bits").to_numpy()) for b in batches]
+        if columns:
+            at, bits = (np.concatenate(c).tobytes() for c in zip(*columns))
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([bits])], names=["at", "bits"])
+
     bitmap = np.zeros(SHARED_BITS // 64, dtype=np.int64)
-    got = longs.toArrow()  # SHARED_BITS / 64 rows at most
-    bitmap[got["at"].to_numpy()] = got["bits"].to_numpy()
+    for part in longs.repartition(PARTS, "at").mapInArrow(packed, "at binary, bits binary").toLocalIterator():
+        bitmap[np.frombuffer(part["at"], np.int32)] = np.frombuffer(part["bits"], np.int64)
     common = shared.filter(F.col("n") > COMMON).orderBy(F.desc("n"), "token").limit(COMMON_KEPT).select("token")
     return bitmap, np.sort(common.toArrow()["token"].to_numpy())
 

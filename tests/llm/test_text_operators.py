@@ -563,3 +563,19 @@ def test_binary_search(spark):
         held = F.array(*[F.lit(v) for v in values[:size]]).cast("array<double>")
         for r in asked.select("x", mixing.sorted_before(held, F.col("x")).alias("n")).collect():
             assert r.n == sum(v <= r.x for v in values[:size])
+
+
+def test_the_bitmap_of_shared_shingles_comes_in_parts(spark, tmp_path, monkeypatch):
+    draw = np.random.default_rng(5)
+    texts = [" ".join(f"w{w}" for w in draw.integers(0, 6, 40)) for _ in range(300)] + ["", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    frame, collected = type(rows), []
+    to_arrow = frame.toArrow
+    monkeypatch.setattr(frame, "toArrow", lambda self: collected.append(self.columns) or to_arrow(self))
+    bitmap, _ = ngrams._count_shingles(ngrams._texts(rows, "doc_id", "text"), str(tmp_path / "shingles"))
+    tokens, counts = np.unique(np.concatenate(ngrams.shingle_sets(pa.array(texts))), return_counts=True)
+    at = ngrams._bit(tokens[(counts > 1) & (tokens < ngrams._limit())]).astype(np.int64)
+    wanted = np.zeros_like(bitmap)
+    np.bitwise_or.at(wanted.view(np.uint64), at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    assert len(at) > 100 and (bitmap == wanted).all()
+    assert ["at", "bits"] not in collected
